@@ -10,6 +10,11 @@ from daybook.functions.dates import parse_mixed_date
 # A plain number with an optional fraction: no exponent, no type suffix, no grouping.
 PLAIN_NUMBER = r"^\s*([+-]?)(\d+(?:\.\d*)?|\.\d+)\s*$"
 WHOLE_PART = r"^\s*[+-]?(\d*)"
+# Whole numbers short enough for 32 and 64 bit. A failed cast throws inside, so it is only tried on fitting text.
+SHORT_INT = r"^\s*[+-]?\d{1,9}\s*$"
+SHORT_BIGINT = r"^\s*[+-]?\d{1,18}\s*$"
+# What a cast to double accepts, NaN aside.
+FLOATING_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?|inf(inity)?)\s*$"
 
 
 def lenient_cast(text: Column, kind: str) -> Column:
@@ -19,13 +24,15 @@ def lenient_cast(text: Column, kind: str) -> Column:
     and so does NaN, which would otherwise poison every sum over the column.
     """
     if kind == "int":
-        return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double").try_cast("int"))
+        return (F.when(text.rlike(SHORT_INT), text.try_cast("int"))
+                .when(text.rlike(PLAIN_NUMBER), text.try_cast("double").try_cast("int")))
     if kind == "bigint":
         # Not by way of double, which is exact up to 2^53 only.
         whole = F.concat(F.regexp_extract(text, PLAIN_NUMBER, 1), F.lit("0"), F.regexp_extract(text, WHOLE_PART, 1))
-        return F.when(text.rlike(PLAIN_NUMBER), whole.try_cast("bigint"))
+        return (F.when(text.rlike(SHORT_BIGINT), text.try_cast("bigint"))
+                .when(text.rlike(PLAIN_NUMBER), whole.try_cast("bigint")))
     if kind == "double":
-        return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+        return F.when(text.rlike(FLOATING_NUMBER), text.try_cast("double"))
     if kind == "date":
         return parse_mixed_date(text)
     if kind == "string":

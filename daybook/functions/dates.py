@@ -18,25 +18,27 @@ GRAINS = {"week": "WEEK", "month": "MONTH", "quarter": "QUARTER", "year": "YEAR"
 def calendar_text_date(text: Column) -> Column:
     """Date held in the printed form of a calendar object (``YEAR=..,MONTH=..,DAY_OF_MONTH=..``)."""
     month = F.regexp_extract(text, CALENDAR_MONTH, 1).try_cast("int") + 1
-    written = F.concat_ws(
-        "-",
+    return F.concat(
         F.regexp_extract(text, CALENDAR_YEAR, 1),
-        F.lpad(month.cast("string"), 2, "0"),
-        F.lpad(F.regexp_extract(text, CALENDAR_DAY, 1), 2, "0"),
-    )
-    return F.when(text.contains("DAY_OF_MONTH="), F.try_to_date(written, "yyyy-MM-dd"))
+        F.lit("-"), F.lpad(month.cast("string"), 2, "0"),
+        F.lit("-"), F.lpad(F.regexp_extract(text, CALENDAR_DAY, 1), 2, "0"),
+    ).try_cast("date")
+
+
+def slash_text_date(text: Column) -> Column:
+    """Date out of ``MM/dd/yyyy``."""
+    return F.concat(text.substr(7, 4), F.lit("-"), text.substr(1, 2), F.lit("-"), text.substr(4, 2)).try_cast("date")
 
 
 def parse_mixed_date(text: Column) -> Column:
-    """First form that fits: ISO date or datetime, calendar text, ``MM/dd/yyyy``. Anything else is NULL.
+    """ISO date or datetime, ``MM/dd/yyyy`` or calendar text, told apart by pattern. Anything else is NULL.
 
-    Each form is guarded by its pattern, because a bare cast accepts text such as ``'2024'``.
+    Every form ends in a cast of ISO text: a failed cast costs nothing, a failed formatted parse throws per
+    row. The patterns also guard the cast, which by itself accepts text such as ``'2024'``.
     """
-    return F.coalesce(
-        F.when(text.rlike(ISO_START), text.try_cast("date")),
-        F.when(text.rlike(SLASH_DATE), F.try_to_date(text, "MM/dd/yyyy")),
-        calendar_text_date(text),
-    )
+    return (F.when(text.rlike(ISO_START), text.try_cast("date"))
+            .when(text.rlike(SLASH_DATE), slash_text_date(text))
+            .when(text.rlike(CALENDAR_YEAR), calendar_text_date(text)))
 
 
 def day_of(moment: Column) -> Column:

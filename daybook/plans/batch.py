@@ -19,7 +19,7 @@ from daybook.operators.projection import (
     drop_null_key, key_is_set, narrow, project_all, quoted, wide_name, with_date)
 from daybook.operators.quality import fk_violations
 from daybook.operators.upsert import upsert
-from daybook.sources.tables import TableStore, append_ledger, finished_steps, read_ledger
+from daybook.sources.tables import TableStore, append_ledger, finished_steps, no_rows, read_ledger
 from daybook.specs import TableSpec
 
 # Staged keys are broadcast up to this measured size; beyond it the join shuffles.
@@ -185,7 +185,7 @@ def ingest_batch(store: TableStore, raw: DataFrame, specs: Sequence[TableSpec],
     wide = store.spark.read.parquet(sheet_path(store, batch))
     keep = [c for c in BATCH_ORDER if c in wide.columns]
     result = upsert_all(store, specs, batch, lambda spec: narrow(wide, spec, keep), on_conflict)
-    store.spark.createDataFrame([], wide.schema).write.mode("overwrite").parquet(sheet_path(store, batch))
+    no_rows(store.spark, wide.schema).write.mode("overwrite").parquet(sheet_path(store, batch))
     return result
 
 

@@ -10,7 +10,7 @@ from daybook.operators.dedup import conflicting_keys, dedup_rows, latest_per_key
 from daybook.operators.projection import conform, drop_null_key, fan_out, project, quarantine, to_raw
 from daybook.operators.quality import (
     coverage, date_quality, fk_violations, pk_violations, row_flow, threshold_alerts, unusual_values, verify_columns)
-from daybook.plans.sheets import dirty_date_text
+from daybook.plans.sheets import as_given, dirty_date_text
 from daybook.queries.registry import load, query
 from daybook.specs import Buckets, ColumnSpec, TableSpec
 
@@ -47,6 +47,7 @@ def lenient_casts(spark, folder):
                 .when(form == 4, "1.234,5").when(form == 5, "abc").otherwise("NaN"))
     price = (F.when(form <= 3, F.col("l_extendedprice").cast("decimal(14,2)").cast("string"))
              .when(form == 4, "1e3").when(form == 5, "").otherwise("nan"))
+    quantity, price = as_given(quantity), as_given(price)
     return load(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         lenient_cast(quantity, "int").alias("quantity_int"), lenient_cast(quantity, "double").alias("quantity_double"),

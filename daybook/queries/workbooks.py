@@ -48,6 +48,7 @@ def stream_ingest(spark, folder):
     corrected = orders.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1000)
     for wave, sent in enumerate((orders, corrected), start=1):
         order_workbooks(sent, wave).write.mode("append").parquet(f"{base}/inbox")
-        files = spark.readStream.schema(FILE_SCHEMA).parquet(f"{base}/inbox")
+        files = spark.readStream.schema(FILE_SCHEMA).parquet(f"{base}/inbox").repartition(
+            spark.sparkContext.defaultParallelism)
         ingest_stream(decode_workbooks(files), store, [BOOKED], f"{base}/checkpoint", DATE_HEADER).awaitTermination()
     return store.read(BOOKED).withColumn("total", F.round("total", 2))

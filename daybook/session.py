@@ -17,10 +17,13 @@ def local_session(cpus: int | str = "*", memory: str = "8g", name: str = "dayboo
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Methods beyond 8000 bytes are never compiled by the JVM; wide casts are, column by column, without fusion.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 

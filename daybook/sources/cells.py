@@ -52,6 +52,8 @@ def _serial_text(serial: float, from_1904: bool) -> str:
 
 
 def _number_text(text: str) -> str:
+    if text.isascii() and text.isdigit():
+        return text
     value = float(text)
     if value.is_integer() and abs(value) < 1e15:
         return str(int(value))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.specs import TableSpec
@@ -25,10 +26,20 @@ def create_table_ddl(spec: TableSpec, location: str, database: str | None = None
             f"PARTITIONED BY (`{spec.layout.column}`) LOCATION '{location}'")
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame made without Python workers."""
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: dict[str, object]) -> DataFrame:
+    """A frame of one row made without Python workers; absent values are NULL."""
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def ensure_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     """Create the empty table folder unless it is there; a second call changes nothing."""
-    empty = spark.createDataFrame([], spec.stored_schema)
-    empty.write.mode("ignore").partitionBy(spec.layout.column).parquet(location)
+    no_rows(spark, spec.stored_schema).write.mode("ignore").partitionBy(spec.layout.column).parquet(location)
 
 
 @dataclass(frozen=True)
@@ -80,7 +91,7 @@ class TableStore:
 
     def clear(self, spec: TableSpec, path: str) -> None:
         """Empty a staging or work folder."""
-        self.write(self.spark.createDataFrame([], spec.stored_schema), spec, path)
+        self.write(no_rows(self.spark, spec.stored_schema), spec, path)
 
 
 LEDGER_SCHEMA = T.StructType([
@@ -101,14 +112,12 @@ def read_ledger(store: TableStore, batch: str) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return store.spark.createDataFrame([], LEDGER_SCHEMA)
+        return no_rows(store.spark, LEDGER_SCHEMA)
 
 
 def append_ledger(store: TableStore, batch: str, **step: object) -> None:
     """Record a finished step. One small file, which appears whole or not at all."""
-    row = [tuple(step.get(name) for name in LEDGER_SCHEMA.names)]
-    store.spark.createDataFrame(row, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(
-        _ledger_path(store, batch))
+    one_row(store.spark, LEDGER_SCHEMA, step).write.mode("append").parquet(_ledger_path(store, batch))
 
 
 def finished_steps(store: TableStore, batch: str) -> dict[tuple[str, str], dict]:
