@@ -44,16 +44,18 @@ def last_n_days(df: DataFrame, key: str, days: int = 30, as_of: date | None = No
                 layout: Periods | None = None) -> DataFrame:
     """The ``days`` days up to ``as_of`` (the newest day in the data if not given).
 
-    The newest day is one scalar, computed once and then used like a literal in the scan.
+    The newest day is one scalar, computed once and then used like a literal in the scan. With a ``layout``
+    it is looked up in the newest folder only.
     """
     if as_of is not None:
         return date_range(df, key, as_of - timedelta(days=days - 1), as_of, layout)
     first = F.date_sub(F.max(day_of(quoted(key))), days - 1)
-    out = df.filter(quoted(key) >= df.agg(first.alias("first")).scalar())
-    if layout:
-        folder = df.agg(period_start(first, layout.grain).alias("first")).scalar()
-        out = out.filter(quoted(layout.column) >= folder)
-    return out
+    if layout is None:
+        return df.filter(quoted(key) >= df.agg(first.alias("first")).scalar())
+    folder = quoted(layout.column)
+    newest = df.filter(folder == df.agg(F.max(folder).alias("newest")).scalar())
+    return df.filter((quoted(key) >= newest.agg(first.alias("first")).scalar())
+                     & (folder >= newest.agg(period_start(first, layout.grain).alias("first")).scalar()))
 
 
 def _aggregate(how: str, column: str) -> Column:

@@ -19,7 +19,7 @@ from daybook.operators.projection import (
     drop_null_key, key_is_set, narrow, project_all, quoted, wide_name, with_date)
 from daybook.operators.quality import fk_violations
 from daybook.operators.upsert import upsert
-from daybook.sources.tables import TableStore, append_ledger, finished_steps, no_rows, read_ledger
+from daybook.sources.tables import TableStore, append_ledger, finished_steps, in_folders, no_rows, read_ledger
 from daybook.specs import TableSpec
 
 # Staged keys are broadcast up to this measured size; beyond it the join shuffles.
@@ -98,12 +98,8 @@ def measure_staged(spec: TableSpec, staged: DataFrame) -> tuple[int, int]:
 
 
 def touched_part(store: TableStore, spec: TableSpec, keyed: DataFrame) -> DataFrame:
-    """The table's rows in the folders that ``keyed`` (rows with the layout column) falls in.
-
-    The broadcast side holds one value per folder: calendar periods or a fixed number of buckets.
-    """
-    folders = keyed.select(spec.layout.column).distinct()
-    return store.read(spec, with_layout=True).join(F.broadcast(folders), spec.layout.column, "left_semi")
+    """The table's rows in the folders that ``keyed`` (rows with the layout column) falls in."""
+    return in_folders(store.read(spec, with_layout=True), spec.layout.column, keyed)
 
 
 def check_parent(store: TableStore, spec: TableSpec, parent: TableSpec, staged: DataFrame, small: bool) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daybook.functions import period_start
 from daybook.operators.kpi import period_summary
 from daybook.operators.projection import quoted
+from daybook.sources.tables import in_folders
 from daybook.specs import Periods
 
 # Days after the first that may still lie in the period.
@@ -24,7 +25,7 @@ def refresh_view(df: DataFrame, key: str, grain: str, measures: Mapping[str, tup
 
 
 def in_periods(df: DataFrame, key: str, grain: str, changed: DataFrame, layout: Periods | None = None) -> DataFrame:
-    """Rows of ``df`` in the periods of the changed keys. The broadcast sides are calendar periods, one row each.
+    """Rows of ``df`` in the periods of the changed keys. The broadcast side is one row per calendar period.
 
     ``layout`` is the folder layout of the table, if it is kept by period; other folders are then not read.
     """
@@ -32,8 +33,8 @@ def in_periods(df: DataFrame, key: str, grain: str, changed: DataFrame, layout:
     if layout:
         days = F.explode(F.sequence("period", F.date_add("period", PERIOD_DAYS[grain])))
         folders = periods.select(days.alias("day")).select(
-            period_start(F.col("day"), layout.grain).alias(layout.column)).distinct()
-        df = df.join(F.broadcast(folders), layout.column, "left_semi")
+            period_start(F.col("day"), layout.grain).alias(layout.column))
+        df = in_folders(df, layout.column, folders)
     return df.join(F.broadcast(periods), period_start(quoted(key), grain) == periods["period"], "left_semi")
 
 

@@ -42,6 +42,16 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     no_rows(spark, spec.stored_schema).write.mode("ignore").partitionBy(spec.layout.column).parquet(location)
 
 
+def in_folders(df: DataFrame, folder: str, keyed: DataFrame) -> DataFrame:
+    """Rows of ``df`` in the folders that ``keyed``, which has the same folder column, falls in.
+
+    The folder names come to the driver and go into the scan as literals. There are as many as calendar
+    periods or buckets, never as many as rows. Pruning at run time would skip a batch without a filter.
+    """
+    names = [row[0] for row in keyed.select(folder).distinct().collect()]
+    return df.filter(F.col(folder).isin(names))
+
+
 @dataclass(frozen=True)
 class TableStore:
     """The tables of one root folder. One writer per table at a time.

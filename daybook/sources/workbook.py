@@ -22,6 +22,7 @@ RAW_SCHEMA = T.StructType([
     T.StructField("cells", T.MapType(T.StringType(), T.StringType(), True), False),
 ])
 ROWS_PER_BATCH = 4096
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
 _CELLS = pa.map_(pa.string(), pa.string())
 
@@ -85,7 +86,8 @@ def read_workbooks(spark: SparkSession, paths: str | Sequence[str], header: int
 
 def workbook_stream(spark: SparkSession, folder: str, header: int = 1, max_files: int | None = None) -> DataFrame:
     """Sheet rows of workbooks as they arrive in ``folder``."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.xlsx")
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option(
+        "pathGlobFilter", "*.xlsx")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return decode_workbooks(reader.load(folder), header)
