@@ -38,7 +38,7 @@ def mixed_date_parse(spark, folder):
            CASE WHEN l_orderkey % 7 <= 3 THEN CAST(trunc(l_extendedprice) AS INTEGER) END AS price_int,
            CASE WHEN l_orderkey % 7 <= 3 THEN l_extendedprice WHEN l_orderkey % 7 = 4 THEN 1000.0 END AS price_double
     FROM lineitem
-""")
+""", name="lenient_cast")
 def lenient_casts(spark, folder):
     form = F.col("l_orderkey") % 7
     whole = F.col("l_quantity").cast("int").cast("string")
@@ -164,7 +164,7 @@ def dedup_table(spark, folder):
 @query("""
     SELECT l_orderkey, l_linenumber, count(*) AS versions FROM (SELECT DISTINCT * FROM lineitem)
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
-""")
+""", name="conflicting_keys")
 def conflicting_lines(spark, folder):
     return conflicting_keys(load(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -174,7 +174,7 @@ def conflicting_lines(spark, folder):
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                      ORDER BY l_shipdate DESC, l_partkey DESC, l_quantity DESC) AS n FROM lineitem)
     WHERE n = 1
-""")
+""", name="latest_per_key")
 def latest_lines(spark, folder):
     lines = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                                                    "l_shipdate")
@@ -197,7 +197,7 @@ def path_decode(spark, folder):
     SELECT l_orderkey, nullif(l_linenumber, 7) AS line_no, count(*) AS row_count,
            CASE WHEN nullif(l_linenumber, 7) IS NULL THEN 'null key' ELSE 'repeated key' END AS reason
     FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1 OR line_no IS NULL
-""")
+""", name="pk_violations")
 def primary_key_check(spark, folder):
     lines = load(spark, folder, "lineitem").select(
         "l_orderkey", F.nullif("l_linenumber", F.lit(7)).alias("line_no"))
@@ -207,7 +207,7 @@ def primary_key_check(spark, folder):
 @query("""
     SELECT o_orderkey, count(*) AS row_count FROM orders
     WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY o_orderkey
-""")
+""", name="fk_violations")
 def foreign_key_check(spark, folder):
     return fk_violations(load(spark, folder, "orders"), load(spark, folder, "lineitem"),
                          [("o_orderkey", "l_orderkey")])
@@ -246,14 +246,14 @@ def column_coverage(spark, folder):
     UNION ALL SELECT 'quality', TRUE, count(quality), count(*), round(count(quality) / count(*), 6) FROM d
     UNION ALL SELECT 'toxic', TRUE, count(toxic), count(*), round(count(toxic) / count(*), 6) FROM d
     UNION ALL SELECT 'rating', FALSE, 0, count(*), 0.0 FROM d
-""")
+""", name="verify_columns")
 def required_columns(spark, folder):
     documents = load(spark, folder, "documents").select("doc_id", "lang")
     return verify_columns(documents.join(load(spark, folder, "labels"), "doc_id", "left"),
                           ["lang", "quality", "toxic", "rating"])
 
 
-@query("SELECT count(*) FILTER (WHERE o_orderkey % 4 <> 3) AS valid_dates, count(*) AS total_rows FROM orders")
+@query("SELECT count(*) FILTER (WHERE o_orderkey % 4 <> 3) AS valid_dates, count(*) AS total_rows FROM orders", name="date_quality")
 def date_quality_counts(spark, folder):
     return date_quality(mixed_date_parse(spark, folder), "order_date")
 
@@ -272,7 +272,7 @@ SHIPMENTS = TableSpec("shipments", (
            2 * (count(*) - count(d)) AS removed_rows,
            (SELECT count(*) FROM (SELECT DISTINCT * FROM typed WHERE d IS NOT NULL)) AS deduped_rows
     FROM typed
-""")
+""", name="row_flow")
 def row_flow_counts(spark, folder):
     lines = load(spark, folder, "lineitem")
     sheet = lines.select(dirty_date_text(F.col("l_orderkey"), F.col("l_shipdate")).alias("Datum"),
@@ -285,7 +285,7 @@ def row_flow_counts(spark, folder):
     SELECT *, CASE WHEN value < 100 THEN 'low' ELSE 'high' END AS alert FROM (
         SELECT CAST(ts AS DATE) AS day, event_type, round(sum(value), 2) AS value FROM events GROUP BY 1, 2)
     WHERE value < 100 OR value > 400
-""")
+""", name="threshold_alerts")
 def threshold_alert_days(spark, folder):
     return threshold_alerts(daily_event_values(spark, folder), "value", 100.0, 400.0)
 
@@ -304,7 +304,7 @@ def daily_event_values(spark, folder):
     SELECT day, event_type, value, round(mean_before, 4) AS mean_before,
            round((value - mean_before) / spread, 4) AS score
     FROM scored WHERE n = 7 AND spread > 0 AND abs((value - mean_before) / spread) > 1.5
-""")
+""", name="unusual_values")
 def unusual_event_days(spark, folder):
     return unusual_values(daily_event_values(spark, folder), "day", "value", 7, 1.5, ["event_type"]).select(
         "day", "event_type", "value", F.round("mean_before", 4).alias("mean_before"),

@@ -48,7 +48,7 @@ def volume_per_day(spark, folder):
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_date, l_quantity FROM lineitem
     WHERE l_shipdate BETWEEN DATE'1996-02-10' AND DATE'1997-03-31'
-""")
+""", name="date_range")
 def date_range_lines(spark, folder):
     return date_range(load(spark, folder, "lineitem"), "l_shipdate", date(1996, 2, 10), date(1997, 3, 31)).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"), "l_quantity")
@@ -60,7 +60,7 @@ def date_range_lines(spark, folder):
     UNION ALL
     SELECT o_orderkey, CAST(o_orderdate AS DATE), 'month' FROM orders
     WHERE year(o_orderdate) = 1999 AND month(o_orderdate) = 2
-""")
+""", name="period_filter")
 def period_filter_orders(spark, folder):
     orders = load(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate"))
     quarter = period_filter(orders, "o_orderdate", 1998, quarter=4).withColumn("filter", F.lit("quarter"))
@@ -72,7 +72,7 @@ def period_filter_orders(spark, folder):
 @query("""
     SELECT event_id, CAST(ts AS DATE) AS day, event_type, value FROM events
     WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - 7
-""")
+""", name="last_7_days")
 def last_7_days_events(spark, folder):
     return last_n_days(load(spark, folder, "events"), "ts", 7).select(
         "event_id", F.col("ts").cast("date").alias("day"), "event_type", "value")
@@ -81,7 +81,7 @@ def last_7_days_events(spark, folder):
 @query("""
     SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice FROM orders
     WHERE CAST(o_orderdate AS DATE) > (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 30
-""")
+""", name="last_30_days")
 def last_30_days_orders(spark, folder):
     return last_n_days(load(spark, folder, "orders"), "o_orderdate", 30).select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_totalprice")
@@ -107,7 +107,7 @@ def combine_series(spark, folder):
     return rounded(combine(orders, lines, "day"), "revenue")
 
 
-@query(SERIES_SQL.format(join="FULL"))
+@query(SERIES_SQL.format(join="FULL"), name="clustered_series")
 def clustered_daily_series(spark, folder):
     return rounded(clustered_series(
         load(spark, folder, "orders"), "o_orderdate",
@@ -118,7 +118,7 @@ def clustered_daily_series(spark, folder):
 @query("""
     SELECT round(sum(l_extendedprice), 2) AS total_price, round(avg(l_discount), 6) AS average_discount,
            round(sum(l_quantity), 2) AS total_quantity FROM lineitem
-""")
+""", name="kpi_cards")
 def kpi_card_values(spark, folder):
     cards = kpi_cards(load(spark, folder, "lineitem"), {
         "total_price": ("sum", "l_extendedprice"), "average_discount": ("avg", "l_discount"),
@@ -129,7 +129,7 @@ def kpi_card_values(spark, folder):
 
 @query("""
     SELECT CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1
-""")
+""", name="daily_trend")
 def daily_trend_lines(spark, folder):
     return daily_trend(load(spark, folder, "lineitem"), "l_shipdate", "l_quantity", "quantity")
 
@@ -140,7 +140,7 @@ def daily_trend_lines(spark, folder):
                       regr_intercept(orders, day - DATE'1970-01-01') AS intercept FROM s)
     SELECT day, orders, round(slope, 8) AS slope, round(intercept, 6) AS intercept,
            round(intercept + slope * (day - DATE'1970-01-01'), 6) AS fitted FROM s, f
-""")
+""", name="trend_line")
 def trend_line_orders(spark, folder):
     series = daily_series(load(spark, folder, "orders"), "o_orderdate", {"orders": ("count", "o_orderkey")})
     return trend_line(series, "day", "orders").withColumns({
@@ -150,7 +150,7 @@ def trend_line_orders(spark, folder):
 @query("""
     SELECT CAST(ts AS DATE) AS day, round(sum(value), 2) AS value, CAST(sum(user_id) AS BIGINT) AS user_id
     FROM events GROUP BY 1
-""")
+""", name="dual_series")
 def dual_series_events(spark, folder):
     return rounded(dual_series(load(spark, folder, "events"), "ts", "value", "user_id"), "value")
 
@@ -159,7 +159,7 @@ def dual_series_events(spark, folder):
     {'UNION ALL' if i else ''}
     SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', o_orderdate) AS DATE) AS period, o_orderstatus,
            count(*) AS orders, round(sum(o_totalprice), 2) AS revenue FROM orders GROUP BY ALL
-""" for i, grain in enumerate(("week", "month", "quarter"))))
+""" for i, grain in enumerate(("week", "month", "quarter"))), name="period_summary")
 def period_summaries(spark, folder):
     orders = load(spark, folder, "orders")
     measures = {"orders": ("count", "o_orderkey"), "revenue": ("sum", "o_totalprice")}
@@ -171,7 +171,7 @@ def period_summaries(spark, folder):
 @query("""
     SELECT year(d) AS year, quarter(d) AS quarter, month(d) AS month, weekofyear(d) AS week, count(*) AS orders
     FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY ALL
-""")
+""", name="date_parts")
 def orders_by_date_parts(spark, folder):
     day = F.col("o_orderdate").cast("date")
     parts = [column.cast("bigint").alias(name) for name, column in date_parts(day).items()]
@@ -181,7 +181,7 @@ def orders_by_date_parts(spark, folder):
 @query("""
     SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice FROM orders
     ORDER BY o_orderdate, o_orderkey LIMIT 1
-""")
+""", name="first_row")
 def first_order(spark, folder):
     return first_row(load(spark, folder, "orders"), "o_orderdate", "o_orderkey").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"), "o_totalprice")

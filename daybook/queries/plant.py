@@ -38,29 +38,29 @@ def table_sql(spec: TableSpec) -> str:
     return f"SELECT {', '.join(columns)} FROM ({DAILY_SQL})"
 
 
-def plant_tables(spark, folder) -> dict[str, DataFrame]:
+def plant_tables(spark, folder, *specs: TableSpec) -> dict[str, DataFrame]:
     sheet = with_date(plant_sheet(load(spark, folder, "lineitem")), DATE_HEADER)
-    return fan_out(sheet, PLANT_TABLES)
+    return fan_out(sheet, specs)
 
 
 @query(table_sql(OVERVIEW))
 def plant_overview(spark, folder):
-    return plant_tables(spark, folder)["overview"]
+    return plant_tables(spark, folder, OVERVIEW)["overview"]
 
 
 @query(table_sql(FLEET))
 def plant_fleet(spark, folder):
-    return plant_tables(spark, folder)["fleet"]
+    return plant_tables(spark, folder, FLEET)["fleet"]
 
 
 @query(table_sql(WASHING_MACHINES))
 def plant_washing_machines(spark, folder):
-    return plant_tables(spark, folder)["washing_machines"]
+    return plant_tables(spark, folder, WASHING_MACHINES)["washing_machines"]
 
 
 @query(table_sql(DRYING))
 def plant_drying(spark, folder):
-    return plant_tables(spark, folder)["drying"]
+    return plant_tables(spark, folder, DRYING)["drying"]
 
 
 @query(f"""
@@ -92,7 +92,7 @@ def plant_coverage(spark, folder):
            count(*) AS total, round(count({column}) / count(*), 6) AS filled_share FROM ({table_sql(spec)})
 """ for spec in PLANT_TABLES for column in KEY_COLUMNS[spec.name]))
 def plant_key_columns(spark, folder):
-    tables = plant_tables(spark, folder)
+    tables = plant_tables(spark, folder, *PLANT_TABLES)
     reports = [verify_columns(tables[name], columns).withColumn("table_name", F.lit(name))
                for name, columns in KEY_COLUMNS.items()]
     out = reports[0]
@@ -109,7 +109,7 @@ def plant_key_columns(spark, folder):
            round(intercept + slope * (day - DATE'1970-01-01'), 3) AS fitted FROM s, f
 """)
 def dashboard_production_trend(spark, folder):
-    return production_trend(plant_tables(spark, folder)["overview"]).withColumns({
+    return production_trend(plant_tables(spark, folder, OVERVIEW)["overview"]).withColumns({
         "slope": F.round("slope", 6), "intercept": F.round("intercept", 3), "fitted": F.round("fitted", 3)})
 
 
@@ -118,7 +118,7 @@ def dashboard_production_trend(spark, folder):
            round(sum(water_m3), 2) AS total_water_m3 FROM ({table_sql(OVERVIEW)})
 """)
 def dashboard_production_cards(spark, folder):
-    return production_cards(plant_tables(spark, folder)["overview"]).withColumns({
+    return production_cards(plant_tables(spark, folder, OVERVIEW)["overview"]).withColumns({
         "average_efficiency": F.round("average_efficiency", 4), "total_water_m3": F.round("total_water_m3", 2)})
 
 
@@ -127,7 +127,7 @@ def dashboard_production_cards(spark, folder):
     FROM ({table_sql(FLEET)}) GROUP BY 1
 """)
 def dashboard_fleet_utilization(spark, folder):
-    return fleet_utilization(plant_tables(spark, folder)["fleet"]).withColumn(
+    return fleet_utilization(plant_tables(spark, folder, FLEET)["fleet"]).withColumn(
         "driving_hours", F.round("driving_hours", 2))
 
 
@@ -139,7 +139,7 @@ def dashboard_fleet_utilization(spark, folder):
     SELECT day, washing_loads, drying_cycles FROM w JOIN d USING (day)
 """)
 def dashboard_equipment_usage(spark, folder):
-    tables = plant_tables(spark, folder)
+    tables = plant_tables(spark, folder, WASHING_MACHINES, DRYING)
     return equipment_usage(tables["washing_machines"], tables["drying"])
 
 
@@ -149,5 +149,5 @@ def dashboard_equipment_usage(spark, folder):
     FROM ({table_sql(OVERVIEW)}) GROUP BY 1
 """)
 def dashboard_weekly_report(spark, folder):
-    return production_report(plant_tables(spark, folder)["overview"], "week").withColumn(
+    return production_report(plant_tables(spark, folder, OVERVIEW)["overview"], "week").withColumn(
         "water_m3", F.round("water_m3", 2))

@@ -14,11 +14,10 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
-def query(sql: str | None = None):
-    """Register a function ``(spark, folder)`` under its name, with the SQL that gives the same rows."""
+def query(sql: str, name: str | None = None):
+    """Register a function ``(spark, folder)`` under its own or another name, with the SQL for the same rows."""
     def register(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        QUERIES[name or function.__name__] = function
+        SQL[name or function.__name__] = sql
         return function
     return register

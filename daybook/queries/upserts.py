@@ -89,7 +89,7 @@ UPSERT_COUNTS = f"""
 """
 
 
-@query(UPSERT_COUNTS)
+@query(UPSERT_COUNTS, name="upsert_stats")
 def upsert_counts(spark, folder):
     return upsert_stats(stored_orders(spark, folder), sent_orders(spark, folder), ["o_orderkey"])
 
@@ -149,7 +149,7 @@ def upsert_all_audit(spark, folder):
                JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate >= {SENT_FROM}))
     SELECT 'Upsert completed: Orders=' || o.affected || ', Lines=' || l.affected || ' rows' AS message,
            CAST(o.affected + l.affected AS BIGINT) AS total_rows FROM o, l
-""")
+""", name="summary_message")
 def upsert_message(spark, folder):
     stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
     counts = [
@@ -167,7 +167,7 @@ def upsert_message(spark, folder):
            CAST(0 AS BIGINT) AS staged_after,
            count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}) AS change, TRUE AS staging_cleared
     FROM orders
-""")
+""", name="table_audit")
 def table_counts(spark, folder):
     stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
     return table_audit({"orders": {
@@ -183,7 +183,7 @@ def table_counts(spark, folder):
            CASE WHEN b.c_custkey IS NULL THEN 'inserted' WHEN a.c_custkey IS NULL THEN 'deleted'
                 WHEN a.c_acctbal IS DISTINCT FROM b.c_acctbal THEN 'updated' ELSE 'unchanged' END AS change
     FROM customer b FULL JOIN after a ON a.c_custkey = b.c_custkey
-""")
+""", name="row_diff")
 def customer_diff(spark, folder):
     before = load(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     segment = F.col("c_mktsegment")
@@ -215,7 +215,7 @@ def incremental_refresh(spark, folder):
     return read_report(spark, path)
 
 
-@query(REPORT_SQL)
+@query(REPORT_SQL, name="refresh_view")
 def full_refresh(spark, folder):
     path = shared_folder(spark, "report")
     stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)

@@ -36,8 +36,8 @@ def test_every_query_has_its_sql():
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
-@pytest.mark.parametrize("name", ["volume_per_day", "mapped_projection", "upsert_orders", "upsert_counts",
-                                  "plant_drying", "dashboard_equipment_usage", "workbook_ingest", "row_flow_counts"])
+@pytest.mark.parametrize("name", ["volume_per_day", "mapped_projection", "upsert_orders", "upsert_stats",
+                                  "plant_drying", "dashboard_equipment_usage", "workbook_ingest", "row_flow"])
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     database = duckdb.connect()
