@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from daybook.operators.projection import quoted
 
 
+# The wording of the summary.
+SUMMARY_START, SUMMARY_PART, SUMMARY_BETWEEN, SUMMARY_END = "Upsert completed: ", "%s=%d", ", ", " rows"
+
+
 def _keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*[quoted(k) for k in key]).distinct()
 
@@ -94,10 +98,10 @@ def table_audit(phases: dict[str, dict[str, DataFrame]]) -> DataFrame:
 
 def summary_message(audit: DataFrame, title: str = "title", order: str = "position") -> DataFrame:
     """The audit in one line of text and the grand total. One row per table goes in, so it stays small."""
-    part = F.format_string("%s=%d", F.col(title), F.col("affected"))
+    part = F.format_string(SUMMARY_PART, F.col(title), F.col("affected"))
     parts = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), part.alias("text"))))
-    text = F.array_join(F.transform(parts, lambda p: p["text"]), ", ")
+    text = F.array_join(F.transform(parts, lambda p: p["text"]), SUMMARY_BETWEEN)
     return audit.agg(
-        F.concat(F.lit("Upsert completed: "), text, F.lit(" rows")).alias("message"),
+        F.concat(F.lit(SUMMARY_START), text, F.lit(SUMMARY_END)).alias("message"),
         F.sum("affected").alias("total_rows"),
     )

@@ -149,6 +149,11 @@ def upsert_table(store: TableStore, spec: TableSpec, batch: str, done: dict, par
         append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "merged"})
     store.write(store.worked(spec, batch), spec, store.table_path(spec), only_touched=True)
     append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "applied"})
+    clear_batch(store, spec, batch)
+
+
+def clear_batch(store: TableStore, spec: TableSpec, batch: str) -> None:
+    """Empty the staging and work folders of an applied batch."""
     store.clear(spec, store.staging_path(spec, batch))
     store.clear(spec, store.work_path(spec, batch))
 
@@ -163,6 +168,8 @@ def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_o
     by_name = {spec.name: spec for spec in specs}
     done = finished_steps(store, batch)
     for spec in specs:
+        if (spec.name, "applied") in done:
+            clear_batch(store, spec, batch)
         if (spec.name, "applied") in done or (spec.name, "skipped") in done:
             continue
         if (spec.name, "merged") not in done:

@@ -7,6 +7,7 @@ crash therefore changes nothing twice. Corrections of any age simply overwrite:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -26,9 +27,10 @@ def ingest_stream(raw: DataFrame, store: TableStore, specs: Sequence[TableSpec],
     newest file wins by default, as if the files had been taken one by one.
     """
     ledger = replace(store, ledger=f"{checkpoint.rstrip('/')}/ledger")
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]  # keeps the batches of two streams apart
 
     def apply(rows: DataFrame, number: int) -> None:
-        ingest_batch(ledger, rows, specs, f"batch-{number:08d}", date_header, on_conflict)
+        ingest_batch(ledger, rows, specs, f"{stream}-{number:08d}", date_header, on_conflict)
 
     return (raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
