@@ -64,7 +64,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _planes(lanes: np.ndarray) -> np.ndarray:
     """Blocks of 64 fingerprints each -> blocks of 64 bit planes; lane k of a plane is its bit k."""
     bits = np.unpackbits(lanes.astype("<u8").view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(0, 2, 1), axis=2, bitorder="little").view("<u8").reshape(-1, 64)
+    packed = np.packbits(np.ascontiguousarray(bits.transpose(0, 2, 1)), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view("<u8").reshape(-1, 64)
 
 
 def _near_lanes(planes: np.ndarray, queries: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
