@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import packing, simhash
+from daybook.llm import chat, packing, secrets, simhash
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,22 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    def of_kind(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{secrets.KINDS[kind]}")
+
+    base, counts = F.filter("spans", lambda span: span["kind"] < 3), [of_kind(kind) for kind in range(3)]
+    return secrets.scan(table(spark, folder, "documents")).select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    ours = spark.sql("""
+        SELECT bigint(-1) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
+        FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)""")
+    return chat.digests(chat.format_chats(turns.unionByName(ours)))
