@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, packing, secrets, simhash
+from daybook.llm import chat, line_rules, packing, secrets, simhash
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         SELECT bigint(-1) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
         FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)""")
     return chat.digests(chat.format_chats(turns.unionByName(ours)))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.judge(table(spark, folder, "documents")).drop("host", "mark", "shared")
