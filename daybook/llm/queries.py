@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, line_rules, packing, secrets, simhash
+from daybook.llm import chat, licenses, line_rules, packing, secrets, simhash
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(table(spark, folder, "documents")).drop("host", "mark", "shared")
+
+
+@query
+def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
