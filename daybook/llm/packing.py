@@ -31,7 +31,7 @@ CAPACITY = 2048
 #: Id after each document.
 END = 0
 #: Words whose ids a Python worker remembers; on overflow it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 #: Pieces in one Arrow batch that goes back to Spark.
 BATCH = 2048
 
@@ -40,14 +40,56 @@ _words: dict[str, dict[str, bytes]] = {}
 
 class _Encoder:
     """Ids of texts as little-endian bytes. The tokenizer drops white space and never joins across it, so words between
-    blanks are encoded once each and remembered."""
+    blanks are encoded once each and remembered. It also parts letters from punctuation and lowers case, so what a new
+    word of letters (and a comma or full stop) leaves to be encoded is its lower-cased letters; many are encoded as one
+    text, and the ids that end a word show where to part them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _words.setdefault(path, {"": b""})
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known = _words.setdefault(path, {})
+        if not self.known:
+            self._reset()
+
+    def _reset(self) -> None:
+        self.known.clear()
+        self.known.update({"": b"", **{mark: self._one(mark) for mark in ",."}})
+
+    def _one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, missing: set[str]) -> None:
+        known, plain, odd, new = self.known, [], [], set()
+        for word in missing:
+            core, tail = (word[:-1], word[-1]) if word[-1] in ",." else (word, "")
+            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:  # here lower case is letter by letter
+                core = core.lower()
+                plain.append((word, core, tail))
+                if core not in known:
+                    new.add(core)
+            else:
+                odd.append(word)
+        for word, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        if new:
+            cores = list(new)
+            joint = self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)
+            ids = np.array(joint[0].ids, dtype="<u4")
+            cuts = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(cuts) == len(cores):
+                joined, at = ids.tobytes(), 0
+                for core, cut in zip(cores, cuts.tolist()):
+                    known[core] = joined[at:cut]
+                    at = cut
+            else:
+                known.update((core, self._one(core)) for core in cores)
+        for word, core, tail in plain:
+            known[word] = known[core] + known[tail]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
@@ -55,11 +97,9 @@ class _Encoder:
             missing = set(words).difference(self.known)
             if missing:
                 if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                    missing = set(words)
-                missing = list(missing)
-                for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+                    self._reset()
+                    missing = set(words).difference(self.known)
+                self._learn(missing)
             yield b"".join(map(self.known.__getitem__, words))
 
 
