@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, licenses, line_rules, packing, secrets, simhash
+from daybook.llm import chat, html_text, licenses, line_rules, packing, secrets, simhash
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
