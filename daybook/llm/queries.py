@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, html_text, licenses, line_rules, packing, secrets, simhash, url_templates
+from daybook.llm import chat, classifier, html_text, licenses, line_rules, packing, secrets, simhash, url_templates
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
