@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, classifier, html_text, licenses, line_rules, packing, secrets, simhash, url_templates
+from daybook.llm import (
+    chat, classifier, decontaminate, html_text, licenses, line_rules, packing, secrets, simhash, url_templates)
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,8 @@ def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
