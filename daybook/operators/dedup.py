@@ -40,11 +40,14 @@ def conflicting_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last version of each key in batch order.
+    """The last version of each key by the columns ``order``, of which there must be one.
 
-    The maximum of a struct (order first, then payload) is merged on the map side and is the same on every
-    run, ties included; ranking in a window would send all versions of a hot key to one task.
+    The maximum of a struct (order first, then payload) is the same on every run, ties included. Versions are merged
+    before the shuffle, in a sort aggregate, so a hot key arrives as one row per task; ranking in a window would send
+    them all.
     """
+    if not order:
+        raise ValueError("the latest version of a key needs columns to order by")
     rest = [c for c in df.columns if c not in key]
     lead = [quoted(c).alias(f"order_{i}") for i, c in enumerate(order)]
     last = F.max(F.struct(*lead, *[quoted(c) for c in rest]))

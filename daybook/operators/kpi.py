@@ -88,15 +88,15 @@ def dual_series(df: DataFrame, key: str, first: str, second: str, day: str = "da
 def trend_line(series: DataFrame, day: str, measure: str) -> DataFrame:
     """Least-squares line through a daily series: slope per day, intercept and fitted value per row.
 
-    The line comes in as two scalars computed once, so the series itself is not moved for it.
+    The line comes in as one scalar. It reads the same series, so give it one without an order: Spark then computes the
+    exchange below both once.
     """
-    origin = date(1970, 1, 1)
-    x = F.datediff(quoted(day), F.lit(origin)).cast("double")
+    x = F.datediff(quoted(day), F.lit(date(1970, 1, 1))).cast("double")
     y = quoted(measure).cast("double")
-    line = series.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
-    fitted = series.withColumns({"slope": line.select("slope").scalar(),
-                                 "intercept": line.select("intercept").scalar()})
-    return fitted.withColumn("fitted", F.col("intercept") + F.col("slope") * x)
+    line = series.agg(F.struct(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")).alias("line"))
+    fitted = series.withColumn("line", line.scalar())
+    return fitted.select(*[quoted(c) for c in series.columns], "line.slope", "line.intercept").withColumn(
+        "fitted", F.col("intercept") + F.col("slope") * x)
 
 
 def combine(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -120,3 +120,21 @@ def period_summary(df: DataFrame, key: str, grain: str, measures: Mapping[str, t
     groups = [period_start(quoted(key), grain).alias("period"), *[quoted(c) for c in by]]
     return df.groupBy(*groups).agg(
         *[_aggregate(how, column).alias(name) for name, (how, column) in measures.items()])
+
+
+def period_summaries(df: DataFrame, key: str, grains: Sequence[str], measures: Mapping[str, tuple[str, str]],
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Reports of several grains in one frame (``grain, period, ...``): summed up per day once, then rolled up.
+
+    Means are carried as sum and count.
+    """
+    rest = [quoted(c) for c in by]
+    parts = [_aggregate(how, column).alias(f"{name}_{how}") for name, (given, column) in measures.items()
+             for how in (("sum", "count") if given == "avg" else (given,))]
+    daily = df.groupBy(day_of(quoted(key)).alias("day"), *rest).agg(*parts)
+    periods = F.explode(F.array(*[
+        F.struct(F.lit(grain).alias("grain"), period_start(F.col("day"), grain).alias("period")) for grain in grains]))
+    again = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    rolled = [(F.sum(f"{name}_sum") / F.sum(f"{name}_count") if how == "avg" else again[how](f"{name}_{how}")).alias(name)
+              for name, (how, _) in measures.items()]
+    return daily.withColumn("at", periods).groupBy("at.grain", "at.period", *rest).agg(*rolled)

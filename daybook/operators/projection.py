@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import lenient_cast
+from daybook.session import shared_folder
 from daybook.specs import ColumnSpec, TableSpec
 
 CELLS = "cells"
@@ -19,9 +20,18 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def plain_text(value: Column, kind: T.DataType) -> Column:
+    """A value as text, numbers without an exponent as far as 38 digits carry them."""
+    text = value.cast("string")
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return text
+    digits = F.regexp_replace(text.try_cast("decimal(38,15)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(text.contains("E"), F.coalesce(digits, text)).otherwise(text)
+
+
 def to_raw(df: DataFrame) -> DataFrame:
     """Every column as a nullable string."""
-    return df.select(*[quoted(c).cast("string").alias(c) for c in df.columns])
+    return df.select(*[plain_text(quoted(c), df.schema[c].dataType).alias(c) for c in df.columns])
 
 
 def has_cells(df: DataFrame) -> bool:
@@ -45,9 +55,14 @@ def typed_column(df: DataFrame, column: ColumnSpec) -> Column:
     value = raw_value(df, column.source)
     if value is None:
         return F.lit(None).cast(column.spark_type)
-    if column.source in df.columns and df.schema[column.source].dataType == column.spark_type:
+    kind = df.schema[column.source].dataType if column.source in df.columns else T.StringType()
+    if isinstance(kind, T.NumericType) and isinstance(column.spark_type, T.NumericType):
+        # Typed numbers need no text between; whole numbers lose their fraction, NaN is NULL as in text.
+        known = F.when(~F.isnan(value), value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+        return known.try_cast(column.spark_type)
+    if kind == column.spark_type:
         return value
-    return lenient_cast(value.cast("string"), column.type)
+    return lenient_cast(plain_text(value, kind), column.type)
 
 
 def project(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -75,21 +90,36 @@ def with_date(df: DataFrame, header: str, name: str = "date") -> DataFrame:
     return df.withColumn(name, parsed)
 
 
-def fan_out(df: DataFrame, specs: Iterable[TableSpec]) -> dict[str, DataFrame]:
-    """One cleaned input, one frame per table: projected, without NULL keys, without exact copies."""
-    return {spec.name: drop_null_key(project(df, spec), *spec.key).distinct() for spec in specs}
+def fan_out(df: DataFrame, specs: Sequence[TableSpec]) -> dict[str, DataFrame]:
+    """One cleaned input, one frame per table: projected, without NULL keys, without exact copies.
+
+    For more than one table the typed columns of all are written once to the shared folder, and each frame reads its
+    own from there; the input is then computed once, now.
+    """
+    if len(specs) == 1:
+        tables = {specs[0].name: project(df, specs[0])}
+    else:
+        wide, path = project_all(df, specs), shared_folder(df.sparkSession, "fan-out")
+        wide.write.parquet(path)
+        wide = df.sparkSession.read.schema(wide.schema).parquet(path)
+        tables = {spec.name: narrow(wide, spec) for spec in specs}
+    return {spec.name: drop_null_key(tables[spec.name], *spec.key).distinct() for spec in specs}
 
 
 def wide_name(spec: TableSpec, column: str) -> str:
     return f"{spec.name}__{column}"
 
 
-def project_all(df: DataFrame, specs: Iterable[TableSpec], keep: Iterable[str] = ()) -> DataFrame:
-    """The columns of all tables side by side, so that one pass over an expensive source feeds every table."""
+def project_all(df: DataFrame, specs: Iterable[TableSpec], keep: Iterable[str] = (),
+                more: Mapping[str, Column] | None = None) -> DataFrame:
+    """The columns of all tables side by side, so that one pass over an expensive source feeds every table.
+
+    ``keep`` are raw columns that come along, ``more`` others by name.
+    """
     columns = [quoted(c) for c in keep]
     for spec in specs:
         columns += [typed_column(df, c).alias(wide_name(spec, c.name)) for c in spec.columns]
-    return df.select(*columns)
+    return df.select(*columns, *[column.alias(name) for name, column in (more or {}).items()])
 
 
 def narrow(wide: DataFrame, spec: TableSpec, keep: Iterable[str] = ()) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.functions import day_of
 from daybook.operators.projection import CELLS, drop_null_key, key_is_set, project, quoted
 from daybook.specs import TableSpec
 
@@ -31,14 +33,17 @@ def fk_violations(child: DataFrame, parent: DataFrame, key: Sequence[tuple[str,
     return references.join(known, child_key, "left_anti")
 
 
-def coverage(raw: DataFrame, spec: TableSpec, source: str = "path") -> DataFrame:
-    """Per spec column, the number of workbooks that have its header, out of all workbooks.
+def coverage(raw: DataFrame, spec: TableSpec, source: str = "path", date_header: str | None = None) -> DataFrame:
+    """Per spec column, the number of workbooks that have its header, out of all workbooks that could be read.
 
-    Works on sheet rows (``cells`` map): one flag per header and workbook, merged on the map side.
+    Works on sheet rows (``cells`` map): one flag per header and workbook, merged on the map side. The parsed date
+    column counts as found where ``date_header`` is.
     """
-    columns = list(spec.columns)
+    columns = [replace(c, source=date_header) if date_header and c.source == "date" and c.type == "date" else c
+               for c in spec.columns]
     flags = [F.max(F.map_contains_key(CELLS, c.source)).alias(f"has_{i}") for i, c in enumerate(columns)]
-    per_book = raw.groupBy(quoted(source)).agg(*flags)
+    read = raw.filter("error IS NULL") if "error" in raw.columns else raw
+    per_book = read.groupBy(quoted(source)).agg(*flags)
     totals = per_book.agg(F.count(F.lit(1)).alias("workbooks"),
                           *[F.count_if(f"has_{i}").alias(f"found_{i}") for i in range(len(columns))])
     rows = F.array(*[
@@ -99,10 +104,12 @@ def threshold_alerts(df: DataFrame, metric: str, low: float | None = None, high:
 
 def unusual_values(series: DataFrame, key: str, metric: str, previous: int, limit: float,
                    by: Sequence[str] = ()) -> DataFrame:
-    """Points of a daily series more than ``limit`` deviations off the mean of the ``previous`` points.
+    """Days whose sum of ``metric`` lies more than ``limit`` deviations off the mean of the ``previous`` days.
 
-    ``series`` holds one row per day (and per ``by`` group), so a window partition is bounded by the calendar.
+    ``series`` may hold any number of rows per day (and per ``by`` group): they are summed up here, so a window partition
+    is bounded by the calendar.
     """
+    series = series.groupBy(day_of(quoted(key)).alias(key), *[quoted(c) for c in by]).agg(F.sum(quoted(metric)).alias(metric))
     order = Window.partitionBy(*[quoted(c) for c in by] or [F.lit(1)]).orderBy(quoted(key))
     before = order.rowsBetween(-previous, -1)
     value = quoted(metric)

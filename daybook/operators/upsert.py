@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators.dedup import latest_per_key
 from daybook.operators.projection import quoted
 
 
@@ -19,23 +20,46 @@ def _keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*[quoted(k) for k in key]).distinct()
 
 
+def one_version(staged: DataFrame, key: Sequence[str], on_conflict: str = "error",
+                order: Sequence[str] = ()) -> DataFrame:
+    """The staged rows, one per key. Two versions of a key stop the job (``error``), or the last by ``order`` stays."""
+    if on_conflict == "latest":
+        return latest_per_key(staged, key, order)
+    if on_conflict != "error":
+        raise ValueError(f"unknown conflict policy {on_conflict!r}")
+    rest = [c for c in staged.columns if c not in key]
+    row = F.struct(F.lit(1).alias("present"), *[quoted(c) for c in rest])
+    counted = staged.groupBy(*[quoted(k) for k in key]).agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    same = F.col("low").eqNullSafe(F.col("high"))
+    failed = F.raise_error(F.lit("a key has more than one version in the staged rows")).cast("boolean")
+    return counted.filter(F.when(same, True).otherwise(failed)).select(
+        *[F.col("low").getField(c).alias(c) if c in rest else quoted(c) for c in staged.columns])
+
+
 def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], broadcast_keys: bool = False,
-           unique: bool = False) -> DataFrame:
+           unique: bool = False, on_conflict: str = "error", order: Sequence[str] = ()) -> DataFrame:
     """Target rows whose key is not staged, plus the distinct staged rows. NULLs overwrite too.
 
     Only the staged keys meet the target. ``broadcast_keys`` is for callers that have measured those keys
     (see ``plans.batch``): the target then stays where it is. Otherwise Spark decides by its own size
-    estimate and falls back to a shuffled join. The staged rows must hold one version per key; ``unique``
-    says that exact copies are gone too, which saves two shuffles of them.
+    estimate and falls back to a shuffled join. If the staged rows hold two versions of a key, ``on_conflict``
+    and ``order`` decide as in :func:`one_version`; ``unique`` says that there is one row per key already.
     """
     columns = [quoted(c) for c in target.columns]
-    incoming = staged.select(*columns)
+    incoming = staged if unique else one_version(
+        staged.select(*dict.fromkeys([*target.columns, *order])) if order else staged.select(*columns), key, on_conflict, order)
     keys = staged.select(*[quoted(k) for k in key])
     if not unique:
-        incoming, keys = incoming.distinct(), keys.distinct()
+        keys = keys.distinct()
     if broadcast_keys:
         keys = F.broadcast(keys)
-    return target.join(keys, list(key), "left_anti").select(*columns).unionByName(incoming)
+    return target.join(keys, list(key), "left_anti").select(*columns).unionByName(incoming.select(*columns))
+
+
+def changed_days(target: DataFrame, staged: DataFrame, key: Sequence[str], day: str) -> DataFrame:
+    """Days of the rows that an upsert replaces and of those it brings, for an incremental refresh."""
+    replaced = target.join(staged.select(*[quoted(k) for k in key]).distinct(), list(key), "left_semi")
+    return replaced.select(quoted(day)).unionByName(staged.select(quoted(day))).distinct()
 
 
 def upsert_stats(target: DataFrame, staged: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -73,16 +97,22 @@ def first_row(df: DataFrame, *order: str) -> DataFrame:
     return df.orderBy(*[quoted(c) for c in order]).limit(1)
 
 
-def table_audit(phases: dict[str, dict[str, DataFrame]]) -> DataFrame:
+def _counted(frames: dict[str, DataFrame | int], phase: str) -> DataFrame:
+    if isinstance(frames[phase], int):
+        session = next(f for f in frames.values() if isinstance(f, DataFrame)).sparkSession
+        return session.range(0, 1, 1, 1).select(F.lit(frames[phase]).cast("bigint").alias("n"))
+    return frames[phase].agg(F.count(F.lit(1)).alias("n"))
+
+
+def table_audit(phases: dict[str, dict[str, DataFrame | int]]) -> DataFrame:
     """Row counts per table before and after, staged rows before and after, and the change.
 
     ``phases`` is ``{table: {"before": df, "after": df, "staged": df, "staged_after": df}}``. Each frame is
-    counted where it lies; only the counts meet.
+    counted where it lies; only the counts meet. A count stands for a frame that will be gone by then.
     """
     names = ("before", "after", "staged", "staged_after")
     counted = [
-        frames[phase].agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(table).alias("table_name"), F.lit(phase).alias("phase"), "n")
+        _counted(frames, phase).select(F.lit(table).alias("table_name"), F.lit(phase).alias("phase"), "n")
         for table, frames in phases.items()
         for phase in names
         if phase in frames

@@ -1,31 +1,34 @@
 """One batch from raw rows to updated tables.
 
 Steps per batch: the raw source is read once into a typed wide frame; then, table by table and parents first,
-staging -> merge -> apply. Every finished step is recorded in the ledger, and a batch that is run again takes
-up where it stopped: the merged folders and their counts are on disk before the table is touched, so applying
-them twice gives the same table and the same counts.
+staging -> merge -> commit. A merge writes the new contents of the touched folders once, as a new version beside
+the current one; the commit makes it current by one small file. Every finished step is in the ledger, and a batch
+that is run again takes up where it stopped. A merge notes the state of the table it is based on: if another
+batch has been committed in between, it is made again, so nothing that came later is undone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.dedup import latest_per_key
 from daybook.operators.projection import (
-    drop_null_key, key_is_set, narrow, project_all, quoted, wide_name, with_date)
+    CELLS, drop_null_key, has_cells, key_is_set, narrow, project_all, quoted, wide_name, with_date)
 from daybook.operators.quality import fk_violations
 from daybook.operators.upsert import upsert
-from daybook.sources.tables import TableStore, append_ledger, finished_steps, in_folders, no_rows, read_ledger
+from daybook.sources.tables import (
+    Commit, TableStore, append_ledger, finished_steps, folder_names, read_if_there, read_ledger)
 from daybook.specs import TableSpec
 
 # Staged keys are broadcast up to this measured size; beyond it the join shuffles.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 BATCH_ORDER = ("modified", "path", "row_no")
 WHOLE_BATCH = "*"
+CHANGED_SCHEMA = T.StructType([T.StructField("column_name", T.StringType()), T.StructField("day", T.DateType())])
 
 
 class ConflictingRows(ValueError):
@@ -36,6 +39,10 @@ class MissingParent(ValueError):
     """A batch holds child rows whose parent row does not exist."""
 
 
+class UnknownParent(ValueError):
+    """A table's parent is not known, or comes after it."""
+
+
 def sheet_path(store: TableStore, batch: str) -> str:
     return store.path("sheet", batch)
 
@@ -44,32 +51,56 @@ def quarantine_path(store: TableStore, batch: str) -> str:
     return store.path("quarantine", batch)
 
 
+def wide_schema(specs: Sequence[TableSpec], raw: DataFrame) -> T.StructType:
+    """Schema of the typed wide frame: the columns of file and row, those of all tables, what the rest is for."""
+    return T.StructType([
+        *[T.StructField(c, raw.schema[c].dataType) for c in batch_order(raw)],
+        *[T.StructField(wide_name(spec, c.name), c.spark_type) for spec in specs for c in spec.columns],
+        T.StructField("unfit", T.StringType()), T.StructField("contents", T.StringType())])
+
+
 def stage_sheet(store: TableStore, raw: DataFrame, specs: Sequence[TableSpec], batch: str,
                 date_header: str | None = None) -> None:
-    """Read the raw source once and write all typed columns, plus the rows that fit no table."""
-    keep = [c for c in BATCH_ORDER if c in raw.columns]
-    dated = with_date(raw, date_header) if date_header else raw
-    project_all(dated, specs, keep).write.mode("overwrite").parquet(sheet_path(store, batch))
+    """Read the raw source once and write all typed columns, plus the rows that fit no table, with their contents.
 
-    wide = store.spark.read.parquet(sheet_path(store, batch))
-    reasons, unfit = [], F.lit(False)
-    for spec in specs:
-        lost = ~key_is_set(*[wide_name(spec, k) for k in spec.key])
-        reasons.append(F.when(lost, F.lit(f"{spec.name}: key is null")))
-        unfit = unfit | lost
-    (wide.filter(unfit).select(*keep, F.concat_ws(", ", *reasons).alias("reason"))
+    A file that could not be read (a row with ``error``) goes to quarantine as well. The ledger gets the figures of the
+    sheet: rows, rows with a valid date, and rows with a key for each table.
+    """
+    keep = batch_order(raw)
+    dated = with_date(raw, date_header) if date_header else raw
+    reasons = [F.when(lost, F.lit(f"{spec.name}: key is null")) for spec in specs
+               for lost in [~key_is_set(*[wide_name(spec, k) for k in spec.key])]]
+    contents = F.col(CELLS) if has_cells(raw) else F.struct(*[quoted(c) for c in raw.columns if c not in keep])
+    error = F.col("error") if has_cells(raw) and "error" in raw.columns else F.lit(None).cast("string")
+    typed = project_all(dated, specs, keep, {"unfit": error, "contents": F.to_json(contents, {"ignoreNullFields": "false"})})
+    reason = F.coalesce("unfit", F.concat_ws(", ", *reasons))
+    typed = typed.withColumn("unfit", F.nullif(reason, F.lit(""))).withColumn(
+        "contents", F.when(F.col("unfit").isNotNull(), F.col("contents")))
+    typed.select(*wide_schema(specs, raw).names).write.mode("overwrite").parquet(sheet_path(store, batch))
+
+    wide = store.spark.read.schema(wide_schema(specs, raw)).parquet(sheet_path(store, batch))
+    (wide.filter("unfit IS NOT NULL").select(*keep, F.col("unfit").alias("reason"), "contents")
          .write.mode("overwrite").parquet(quarantine_path(store, batch)))
+    dates = [wide_name(spec, c.name) for spec in specs for c in spec.columns if c.source == "date" and c.type == "date"]
+    dated_rows = F.count(quoted(dates[0])) if dates else F.lit(None).cast("bigint")
+    keyed = [F.count_if(key_is_set(*[wide_name(spec, k) for k in spec.key])).alias(spec.name) for spec in specs]
+    row = wide.agg(F.count(F.lit(1)).alias("all rows"), dated_rows.alias("dated rows"), *keyed).first()
+    for spec in specs:
+        append_ledger(store, batch, table_name=spec.name, step="typed", keyed=row[spec.name])
+    append_ledger(store, batch, table_name=WHOLE_BATCH, step="sheet", rows=row["all rows"], dated=row["dated rows"])
 
 
-def stage_table(store: TableStore, spec: TableSpec, rows: DataFrame, batch: str, on_conflict: str = "error") -> None:
+def stage_table(store: TableStore, spec: TableSpec, rows: DataFrame, batch: str, on_conflict: str = "error",
+                order: Sequence[str] | None = None) -> None:
     """Typed rows of one table into its batch staging: keys set, exact copies dropped.
 
     ``on_conflict`` is ``error`` (two versions of a key stop the batch, see :func:`measure_staged`) or
-    ``latest`` (the last one in file and row order wins).
+    ``latest``: the last one wins, by those of the columns ``order`` (by default file and row) that the rows have;
+    there must be one.
     """
     rows = drop_null_key(rows, *spec.key)
     if on_conflict == "latest":
-        order = [c for c in BATCH_ORDER if c in rows.columns]
+        order = batch_order(rows) if order is None else [c for c in order if c in rows.columns]
         rows = latest_per_key(rows, spec.key, order).select(*spec.column_names)
     elif on_conflict == "error":
         rows = rows.select(*spec.column_names).distinct()
@@ -79,93 +110,160 @@ def stage_table(store: TableStore, spec: TableSpec, rows: DataFrame, batch: str,
     store.write(rows, spec, store.staging_path(spec, batch))
 
 
-def measure_staged(spec: TableSpec, staged: DataFrame) -> tuple[int, int]:
-    """Number and size of the staged keys; raises if a key has more than one version."""
+def batch_order(df: DataFrame) -> list[str]:
+    return [c for c in BATCH_ORDER if c in df.columns]
+
+
+def _octets(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Bytes of one row of these columns in memory, about."""
     size = F.lit(16)
-    for c in spec.columns:
-        if c.name in spec.key:
-            text = isinstance(c.spark_type, T.StringType)
-            size = size + 8 + (F.octet_length(c.name) if text else F.lit(0))
+    for c in columns:
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        size = size + 8 + (F.coalesce(F.octet_length(quoted(c)), F.lit(0)) if text else F.lit(0))
+    return size
+
+
+def measure_staged(spec: TableSpec, staged: DataFrame, unique: bool = False) -> tuple[int, int]:
+    """Number and size of the staged keys; raises if a key has more than one version.
+
+    ``unique`` keys, as the policy ``latest`` leaves them, are only counted.
+    """
+    size = F.coalesce(F.sum(_octets(staged, spec.key)), F.lit(0)).alias("bytes")
+    if unique:
+        row = staged.agg(F.count(F.lit(1)).alias("keys"), size).first()
+        return row["keys"], row["bytes"]
     counted = staged.groupBy(*[quoted(k) for k in spec.key]).agg(F.count(F.lit(1)).alias("versions"))
     row = counted.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.count_if(F.col("versions") > 1).alias("conflicts"),
-        F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
-    ).first()
+        F.count(F.lit(1)).alias("keys"), F.count_if(F.col("versions") > 1).alias("conflicts"), size).first()
     if row["conflicts"]:
         raise ConflictingRows(f"{spec.name}: {row['conflicts']} keys have more than one version in the batch")
     return row["keys"], row["bytes"]
 
 
-def touched_part(store: TableStore, spec: TableSpec, keyed: DataFrame) -> DataFrame:
+def touched_part(store: TableStore, spec: TableSpec, keyed: DataFrame, log: list[Commit] | None = None) -> DataFrame:
     """The table's rows in the folders that ``keyed`` (rows with the layout column) falls in."""
-    return in_folders(store.read(spec, with_layout=True), spec.layout.column, keyed)
+    touched = set(folder_names(spec, keyed))
+    log = store.log(spec) if log is None else log
+    return store.read(spec, with_layout=True, log=[c for c in log if c.folder in touched])
 
 
-def check_parent(store: TableStore, spec: TableSpec, parent: TableSpec, staged: DataFrame, small: bool) -> None:
-    """Raise if staged rows refer to rows the parent table lacks."""
+def check_parent(store: TableStore, spec: TableSpec, parent: TableSpec, staged: DataFrame,
+                 broadcast_limit: int = BROADCAST_LIMIT) -> None:
+    """Raise if staged rows refer to rows the parent table lacks.
+
+    The references are measured; only up to the limit are they broadcast.
+    """
     pairs = spec.parent.columns
     references = drop_null_key(staged, *[c for c, _ in pairs]).select(
         *[quoted(c).alias(p) for c, p in pairs]).distinct()
     known = touched_part(store, parent, parent.with_layout(references)).select(*[p for _, p in pairs])
-    if small:
+    size = references.agg(F.coalesce(F.sum(_octets(references, references.columns)), F.lit(0))).first()[0]
+    if size <= broadcast_limit:
         known = known.join(F.broadcast(references), [p for _, p in pairs], "left_semi")
     lost = fk_violations(references, known, [(p, p) for _, p in pairs]).count()
     if lost:
         raise MissingParent(f"{spec.name}: {lost} keys have no row in {parent.name}")
 
 
+def parents_of(specs: Sequence[TableSpec], stored: Sequence[TableSpec] = ()) -> dict[str, TableSpec]:
+    """The parent of each table that has one: earlier in the batch, or among the ``stored`` tables.
+
+    Raises if a parent is unknown or comes after its child.
+    """
+    found, earlier = {}, {spec.name: spec for spec in stored}
+    for spec in specs:
+        if spec.parent:
+            if spec.parent.table not in earlier:
+                raise UnknownParent(f"{spec.name}: its parent {spec.parent.table} is neither an earlier table of the "
+                                    "batch nor among the stored tables given")
+            found[spec.name] = earlier[spec.parent.table]
+        earlier[spec.name] = spec
+    return found
+
+
+def note_changed(store: TableStore, spec: TableSpec, batch: str, inside: DataFrame, staged: DataFrame,
+                 small: bool) -> None:
+    """Keep the days, by date column, of the rows that the batch replaces and of those it brings."""
+    dates = [c.name for c in spec.columns if c.type == "date"]
+    if not dates:
+        return
+    keys = staged.select(*spec.key)
+    replaced = inside.join(F.broadcast(keys) if small else keys, list(spec.key), "left_semi")
+    days = F.explode(F.array(*[F.struct(F.lit(d).alias("column_name"), quoted(d).alias("day")) for d in dates]))
+    both = replaced.select(*dates).unionByName(staged.select(*dates)).select(days.alias("d")).select("d.*")
+    both.where("day IS NOT NULL").distinct().coalesce(1).write.mode("overwrite").parquet(store.changed_path(spec, batch))
+
+
+def changed_days(store: TableStore, spec: TableSpec, batch: str, column: str) -> DataFrame:
+    """Days of ``column`` in which a batch has changed rows, as they were and as they are, for ``refresh_incremental``."""
+    noted = read_if_there(store.spark, store.changed_path(spec, batch), CHANGED_SCHEMA)
+    return noted.where(F.col("column_name") == column).select(F.col("day").alias(column))
+
+
 def merge_table(store: TableStore, spec: TableSpec, batch: str, keys: int, small: bool) -> dict[str, int]:
-    """Write the new contents of the touched folders next to the table and count what changes."""
-    staged = store.staged(spec, batch)
-    inside = touched_part(store, spec, staged)
+    """Write the new contents of the touched folders as a version of its own and count what changes."""
+    staged, log = store.staged(spec, batch), store.log(spec)
+    base = log[-1].number if log else 0
+    inside = touched_part(store, spec, staged, log)
     merged = upsert(inside, staged, spec.key, broadcast_keys=small, unique=True)
     if not small:  # the join has spread every folder over all tasks: gather them, hot ones in several files
         merged = merged.hint("rebalance", F.col(spec.layout.column))
-    store.write(merged, spec, store.work_path(spec, batch))
+    version = version_name(batch, base)
+    store.write(merged, spec, store.data_path(spec, f"version={version}"))
+    note_changed(store, spec, batch, inside, staged, small)
     before = inside.count()
-    after = store.worked(spec, batch).count()
+    after = store.version(spec, version).count()
     inserted = after - before
     return {"staged": keys, "before": before, "affected": keys, "inserted": inserted,
-            "updated": keys - inserted, "after": after}
+            "updated": keys - inserted, "after": after, "base": base}
+
+
+def version_name(batch: str, base: int) -> str:
+    return f"{batch}.{base}"
 
 
 def upsert_table(store: TableStore, spec: TableSpec, batch: str, done: dict, parent: TableSpec | None = None,
-                 broadcast_limit: int = BROADCAST_LIMIT) -> None:
-    """Merge a staged batch into its table, then clear the staging rows. An empty batch is skipped."""
-    store.ensure(spec)
-    counts = done.get((spec.name, "merged"))
-    if counts is None:
+                 broadcast_limit: int = BROADCAST_LIMIT, on_conflict: str = "error") -> None:
+    """Merge a staged batch into its table and commit it, then drop the staging rows. An empty batch is skipped."""
+    counts, log = done.get((spec.name, "merged")), store.log(spec)
+    committed = any(c.batch == batch for c in log)
+    moved = counts is not None and counts["base"] != (log[-1].number if log else 0)
+    if counts is None or moved and not committed:
         staged = store.staged(spec, batch)
-        keys, size = measure_staged(spec, staged)
+        keys, size = measure_staged(spec, staged, unique=on_conflict == "latest")
         if keys == 0:
             append_ledger(store, batch, table_name=spec.name, step="skipped", staged=0, before=0, affected=0,
                           inserted=0, updated=0, after=0)
             return
-        small = size <= broadcast_limit
         if parent is not None:
-            check_parent(store, spec, parent, staged, small)
-        counts = merge_table(store, spec, batch, keys, small)
+            check_parent(store, spec, parent, staged, broadcast_limit)
+        counts = merge_table(store, spec, batch, keys, size <= broadcast_limit)
         append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "merged"})
-    store.write(store.worked(spec, batch), spec, store.table_path(spec), only_touched=True)
+    if not committed:
+        version = version_name(batch, counts["base"])
+        folders = folder_names(spec, store.version(spec, version))
+        store.commit(spec, batch, counts["base"] + 1, folders, version)
     append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "applied"})
     clear_batch(store, spec, batch)
 
 
 def clear_batch(store: TableStore, spec: TableSpec, batch: str) -> None:
-    """Empty the staging and work folders of an applied batch."""
-    store.clear(spec, store.staging_path(spec, batch))
-    store.clear(spec, store.work_path(spec, batch))
+    """Drop the staging rows of an applied batch, and the versions that it has made the last but two."""
+    store.drop("staging", spec.name, batch)
+    log = store.log(spec)
+    store.drop_old(spec, log, {c.folder for c in log if c.batch == batch})
 
 
 def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_of, on_conflict: str = "error",
-               broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+               broadcast_limit: int = BROADCAST_LIMIT, order: Sequence[str] | None = None,
+               stored: Sequence[TableSpec] = ()) -> DataFrame:
     """Stage and upsert every table in the given order, parents first; returns the audit.
 
-    ``rows_of(spec)`` gives a table's typed rows. Tables are committed one by one: a failure leaves the
-    earlier ones updated, and running the batch again goes on from there.
+    ``rows_of(spec)`` gives a table's typed rows, with the columns of ``order`` for the policy ``latest``. Tables that
+    are only referred to are given as ``stored``. Tables are committed one by one: a failure leaves the earlier ones
+    updated, and running the batch again goes on from there.
     """
-    by_name = {spec.name: spec for spec in specs}
+    parents = parents_of(specs, stored)
     done = finished_steps(store, batch)
     for spec in specs:
         if (spec.name, "applied") in done:
@@ -173,9 +271,8 @@ def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_o
         if (spec.name, "applied") in done or (spec.name, "skipped") in done:
             continue
         if (spec.name, "merged") not in done:
-            stage_table(store, spec, rows_of(spec), batch, on_conflict)
-        parent = by_name.get(spec.parent.table) if spec.parent else None
-        upsert_table(store, spec, batch, done, parent, broadcast_limit)
+            stage_table(store, spec, rows_of(spec), batch, on_conflict, order)
+        upsert_table(store, spec, batch, done, parents.get(spec.name), broadcast_limit, on_conflict)
     return audit(store, specs, batch)
 
 
@@ -184,25 +281,31 @@ def ingest_batch(store: TableStore, raw: DataFrame, specs: Sequence[TableSpec],
     """Raw rows to updated tables; returns the audit. Safe to run again with the same batch name."""
     if (WHOLE_BATCH, "sheet") not in finished_steps(store, batch):
         stage_sheet(store, raw, specs, batch, date_header)
-        append_ledger(store, batch, table_name=WHOLE_BATCH, step="sheet")
-    wide = store.spark.read.parquet(sheet_path(store, batch))
-    keep = [c for c in BATCH_ORDER if c in wide.columns]
-    result = upsert_all(store, specs, batch, lambda spec: narrow(wide, spec, keep), on_conflict)
-    no_rows(store.spark, wide.schema).write.mode("overwrite").parquet(sheet_path(store, batch))
+    wide = read_if_there(store.spark, sheet_path(store, batch), wide_schema(specs, raw))
+    result = upsert_all(store, specs, batch, lambda spec: narrow(wide, spec, batch_order(wide)), on_conflict)
+    store.drop("sheet", batch)
     return result
 
 
 def audit(store: TableStore, specs: Sequence[TableSpec], batch: str) -> DataFrame:
     """One row per table of a batch, in upsert order, with its status and counts.
 
-    ``before`` and ``after`` count the touched folders, which is where all of the change lies.
+    ``sheet_rows`` and ``valid_dates`` are those of the raw sheet, ``removed`` its rows without the table's key and
+    ``copies`` the further ones that repeated a row or key; they are NULL for rows that came typed. ``before`` and
+    ``after`` count the touched folders, which is where all of the change lies.
     """
     def by_table(values):
         pairs = [F.lit(x) for spec, value in zip(specs, values) for x in (spec.name, value)]
         return F.create_map(*pairs)[F.col("table_name")]
 
-    ledger = read_ledger(store, batch).filter(F.col("step").isin("applied", "skipped"))
+    steps = finished_steps(store, batch)
+    sheet = steps.get((WHOLE_BATCH, "sheet"), {})
+    rows, dated = sheet.get("rows"), sheet.get("dated")
+    keyed = by_table([F.lit(steps.get((spec.name, "typed"), {}).get("keyed")).cast("bigint") for spec in specs])
+    ledger = read_ledger(store, batch).filter(F.col("step").isin("applied", "skipped")).dropDuplicates(["table_name"])
     return ledger.select(
-        by_table(range(1, len(specs) + 1)).alias("position"), "table_name",
-        by_table([s.title for s in specs]).alias("title"), F.col("step").alias("status"),
+        by_table([F.lit(i) for i in range(1, len(specs) + 1)]).alias("position"), "table_name",
+        by_table([F.lit(s.title) for s in specs]).alias("title"), F.col("step").alias("status"),
+        F.lit(rows).cast("bigint").alias("sheet_rows"), F.lit(dated).cast("bigint").alias("valid_dates"),
+        (F.lit(rows).cast("bigint") - keyed).alias("removed"), (keyed - F.col("staged")).alias("copies"),
         "staged", "before", "affected", "inserted", "updated", "after")

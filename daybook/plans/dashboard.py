@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.kpi import clustered_series, daily_trend, dual_series, kpi_cards, period_summary, trend_line
+from daybook.operators.kpi import clustered_series, daily_series, dual_series, kpi_cards, period_summary, trend_line
 
 # Columns that must be filled before a table is charted.
 KEY_COLUMNS = {
@@ -21,7 +21,7 @@ WASHING_STEPS = ("steps_130kg", "steps_85kg_middle", "steps_85kg_right")
 
 def production_trend(overview: DataFrame) -> DataFrame:
     """Daily production volume with its trend line."""
-    return trend_line(daily_trend(overview, "date", "tonage"), "day", "tonage").orderBy("day")
+    return trend_line(daily_series(overview, "date", {"tonage": ("sum", "tonage")}), "day", "tonage").orderBy("day")
 
 
 def production_cards(overview: DataFrame) -> DataFrame:

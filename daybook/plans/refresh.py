@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.functions import period_start
 from daybook.operators.kpi import period_summary
 from daybook.operators.projection import quoted
-from daybook.sources.tables import in_folders
+from daybook.sources.tables import drop_folder, in_folders
 from daybook.specs import Periods
 
 # Days after the first that may still lie in the period.
@@ -20,8 +20,13 @@ PERIOD_DAYS = {"week": 6, "month": 30, "quarter": 91, "year": 365}
 def refresh_view(df: DataFrame, key: str, grain: str, measures: Mapping[str, tuple[str, str]], path: str,
                  by: Sequence[str] = ()) -> None:
     """Rebuild the whole report, one folder per period."""
-    report = period_summary(df, key, grain, measures, by)
-    report.write.mode("overwrite").partitionBy("period").parquet(path)
+    report = by_period(period_summary(df, key, grain, measures, by))
+    report.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("period").parquet(path)
+
+
+def by_period(report: DataFrame) -> DataFrame:
+    """Gathered by period, so that a folder gets few files; a large period is split."""
+    return report.hint("rebalance", F.col("period"))
 
 
 def in_periods(df: DataFrame, key: str, grain: str, changed: DataFrame, layout: Periods | None = None) -> DataFrame:
@@ -41,8 +46,16 @@ def in_periods(df: DataFrame, key: str, grain: str, changed: DataFrame, layout:
 def refresh_incremental(df: DataFrame, changed: DataFrame, key: str, grain: str,
                         measures: Mapping[str, tuple[str, str]], path: str, by: Sequence[str] = (),
                         layout: Periods | None = None) -> None:
-    """Recompute the periods in which ``changed`` has keys and replace just their folders."""
+    """Recompute the periods in which ``changed`` has days and replace just their folders.
+
+    ``changed`` must hold the days of the rows as they were and as they are: ``plans.batch.changed_days`` of an ingested
+    batch, or ``operators.upsert.changed_days``. A period without rows any more loses its folder.
+    """
     touched = in_periods(df, key, grain, changed, layout)
-    report = period_summary(touched, key, grain, measures, by)
+    report = by_period(period_summary(touched, key, grain, measures, by))
     (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("period").parquet(path))
+    periods = changed.where(quoted(key).isNotNull()).select(period_start(quoted(key), grain).alias("period")).distinct()
+    left = touched.select(period_start(quoted(key), grain).alias("period")).distinct()
+    for row in periods.join(left, "period", "left_anti").collect():  # one row per emptied calendar period
+        drop_folder(df.sparkSession, f"{path}/period={row['period']}")

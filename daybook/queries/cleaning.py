@@ -93,6 +93,33 @@ def mapped_projection(spark, folder):
     return conform(project(order_sheet(spark, folder), ORDER_SHEET), ORDER_SHEET)
 
 
+TYPED_LINES = TableSpec("typed_lines", (
+    ColumnSpec("order_no", "bigint", "l_orderkey"),
+    ColumnSpec("line_no", "int", "l_linenumber"),
+    ColumnSpec("large", "bigint", "large"),
+    ColumnSpec("cents", "int", "cents"),
+    ColumnSpec("ratio", "double", "ratio"),
+    ColumnSpec("label", "string", "large"),
+), ("order_no", "line_no"), Buckets(("order_no", "line_no"), 16))
+
+
+@query("""
+    SELECT l_orderkey AS order_no, l_linenumber AS line_no, CAST(trunc(l_partkey * 1e6 + 0.5) AS BIGINT) AS large,
+           CASE WHEN l_linenumber <> 2 THEN CAST(round(l_extendedprice * 100) AS INTEGER) END AS cents,
+           CASE WHEN l_linenumber <> 1 THEN l_discount END AS ratio,
+           CAST(l_partkey * 1000000 AS VARCHAR) || '.5' AS label
+    FROM lineitem
+""")
+def typed_projection(spark, folder):
+    """Typed numbers through the mapping: beyond 1e7, beyond the target type, NaN."""
+    line = F.col("l_linenumber")
+    typed = load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_partkey") * 1e6 + 0.5).alias("large"),
+        F.when(line == 2, 1e12).otherwise(F.round(F.col("l_extendedprice") * 100)).alias("cents"),
+        F.when(line == 1, float("nan")).otherwise(F.col("l_discount")).alias("ratio"))
+    return project(typed, TYPED_LINES)
+
+
 LINE_SHEET = TableSpec("line_book", (
     ColumnSpec("order_no", "bigint", "Order\nNo"),
     ColumnSpec("line_no", "int", "Zeile"),
@@ -103,19 +130,20 @@ LINE_SHEET = TableSpec("line_book", (
 
 
 @query("""
-    WITH sheet AS (SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+    WITH sheet AS (SELECT * FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)
     SELECT 'order_book' AS table_name, count(*) AS row_count, round(sum(total), 2) AS amount
     FROM (SELECT DISTINCT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice AS total FROM sheet)
     UNION ALL
     SELECT 'line_book', count(*), round(sum(price), 2)
-    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice AS price FROM sheet)
+    FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice AS price FROM sheet
+                                           WHERE l_orderkey IS NOT NULL)
 """)
 def fan_out_orders(spark, folder):
     lines = to_raw(load(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("Order\nNo"), F.col("l_linenumber").alias("Zeile"), F.col("l_partkey").alias("Teil"),
         F.col("l_quantity").cast("int").alias("Menge"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("Preis")))
-    tables = fan_out(order_sheet(spark, folder).join(lines, "Order\nNo"), [ORDER_SHEET, LINE_SHEET])
+    tables = fan_out(order_sheet(spark, folder).join(lines, "Order\nNo", "left"), [ORDER_SHEET, LINE_SHEET])
     parts = [tables[name].agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum(amount), 2).alias("amount"))
              .select(F.lit(name).alias("table_name"), "row_count", "amount")
              for name, amount in (("order_book", "total"), ("line_book", "price"))]

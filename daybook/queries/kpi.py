@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import date_parts
 from daybook.operators.kpi import (
-    clustered_series, combine, daily_series, daily_trend, date_range, dual_series, kpi_cards, last_n_days,
-    period_filter, period_summary, trend_line)
+    clustered_series, combine, daily_series, daily_trend, date_range, dual_series, kpi_cards, last_n_days, period_filter, trend_line)
+from daybook.operators.kpi import period_summaries as grain_summaries
 from daybook.operators.projection import drop_null_key, project, to_raw
 from daybook.operators.upsert import first_row
 from daybook.plans.sheets import dirty_date_text
@@ -163,9 +162,8 @@ def dual_series_events(spark, folder):
 def period_summaries(spark, folder):
     orders = load(spark, folder, "orders")
     measures = {"orders": ("count", "o_orderkey"), "revenue": ("sum", "o_totalprice")}
-    reports = [rounded(period_summary(orders, "o_orderdate", grain, measures, ["o_orderstatus"]), "revenue")
-               .withColumn("grain", F.lit(grain)) for grain in ("week", "month", "quarter")]
-    return reduce(DataFrame.unionByName, reports)
+    grains = ("week", "month", "quarter")
+    return rounded(grain_summaries(orders, "o_orderdate", grains, measures, ["o_orderstatus"]), "revenue")
 
 
 @query("""

@@ -64,11 +64,13 @@ def plant_drying(spark, folder):
 
 
 @query(f"""
-    SELECT position, table_name, title, 'applied' AS status, n AS staged, CAST(0 AS BIGINT) AS "before",
+    SELECT position, table_name, title, 'applied' AS status, n + weeks AS sheet_rows, n AS valid_dates,
+           weeks AS removed, CAST(0 AS BIGINT) AS copies, n AS staged, CAST(0 AS BIGINT) AS "before",
            n AS affected, n AS inserted, CAST(0 AS BIGINT) AS updated, n AS "after"
     FROM (VALUES (1, 'overview', 'Overview'), (2, 'fleet', 'Fleet'), (3, 'washing_machines', 'Washing'),
                  (4, 'drying', 'Drying')) AS t(position, table_name, title),
-         (SELECT count(*) AS n FROM ({DAILY_SQL}))
+         (SELECT count(*) AS n FROM ({DAILY_SQL})),
+         (SELECT count(*) AS weeks FROM (SELECT DISTINCT year(day), weekofyear(day) FROM ({DAILY_SQL})))
 """)
 def plant_ingest_audit(spark, folder):
     """The whole batch on disk: one read of the sheet, four tables staged and upserted, parents first."""
@@ -77,14 +79,14 @@ def plant_ingest_audit(spark, folder):
 
 
 @query(f"""
-    SELECT '{DRYING.name}' AS table_name, column_name, header, CASE WHEN column_name = 'date' THEN 0 ELSE n END
-           AS found, n AS workbooks, column_name = 'date' AS incomplete
-    FROM (VALUES {', '.join(f"('{c.name}', '{c.source}')" for c in DRYING.columns)}) AS t(column_name, header),
+    SELECT '{DRYING.name}' AS table_name, column_name, header, n AS found, n AS workbooks, FALSE AS incomplete
+    FROM (VALUES {', '.join(f"('{c.name}', '{DATE_HEADER if c.type == 'date' else c.source}')" for c in DRYING.columns)})
+             AS t(column_name, header),
          (SELECT count(DISTINCT year(l_shipdate)) AS n FROM lineitem)
 """)
 def plant_coverage(spark, folder):
-    """Header coverage per yearly workbook; ``date`` is parsed later and is no header of the sheet."""
-    return coverage(plant_sheet(load(spark, folder, "lineitem")), DRYING)
+    """Header coverage per yearly workbook; the parsed ``date`` is found under the sheet's date header."""
+    return coverage(plant_sheet(load(spark, folder, "lineitem")), DRYING, date_header=DATE_HEADER)
 
 
 @query(" UNION ALL ".join(f"""

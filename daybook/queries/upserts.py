@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators.upsert import row_diff, summary_message, table_audit, upsert, upsert_stats
-from daybook.plans.batch import upsert_all
+from daybook.plans.batch import changed_days as batch_days
+from daybook.plans.batch import stage_table, upsert_all
 from daybook.plans.refresh import refresh_incremental, refresh_view
 from daybook.queries.registry import load, query
 from daybook.session import shared_folder
@@ -40,6 +41,10 @@ NOTES = TableSpec("notes", (
 ), ("l_orderkey",), Buckets(("l_orderkey",), 8), ParentRef("orders", (("l_orderkey", "o_orderkey"),)), "Notes")
 
 
+# Later versions of a key, as far as the rows themselves tell.
+LAST_BY = ("l_extendedprice", "l_quantity", "o_totalprice", "text")
+
+
 def order_rows(spark, folder):
     return load(spark, folder, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "o_orderpriority")
@@ -99,7 +104,7 @@ def stored_store(spark, folder, label, *specs):
     store = TableStore(spark, shared_folder(spark, label))
     orders = stored_orders(spark, folder)
     rows = {"orders": orders, "lines": line_rows(spark, folder, orders), "notes": no_notes(spark, folder)}
-    upsert_all(store, specs, "history", lambda spec: rows[spec.name], "latest")
+    upsert_all(store, specs, "history", lambda spec: rows[spec.name], "latest", order=LAST_BY)
     return store
 
 
@@ -116,31 +121,37 @@ def no_notes(spark, folder):
 
 @query(ORDERS_AFTER)
 def upsert_stored(spark, folder):
-    """The upsert on disk: staging, merge of the touched folders, replacement."""
+    """The upsert on disk: staging, merge of the touched folders into a new version, commit."""
     store = stored_store(spark, folder, "upsert", ORDERS)
     upsert_all(store, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
     return store.read(ORDERS)
 
 
 @query(f"""
-    WITH keys AS (SELECT DISTINCT l_orderkey, l_linenumber, o_orderdate FROM lineitem
-                  JOIN orders ON l_orderkey = o_orderkey)
+    WITH keys AS (SELECT l_orderkey, l_linenumber, o_orderdate, max(l_extendedprice) AS last
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+         amounts AS (SELECT round(sum(last), 2) AS amount FROM keys)
     SELECT 1 AS position, 'orders' AS table_name, 'applied' AS status, affected AS staged, affected, inserted,
-           updated, inserted AS change FROM ({UPSERT_COUNTS})
+           updated, inserted AS change,
+           (SELECT round(sum(o_totalprice), 2) FROM ({ORDERS_AFTER})) AS amount FROM ({UPSERT_COUNTS})
     UNION ALL
     SELECT 2, 'lines', 'applied', count(*) FILTER (WHERE o_orderdate >= {SENT_FROM}),
            count(*) FILTER (WHERE o_orderdate >= {SENT_FROM}), count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}),
            count(*) FILTER (WHERE o_orderdate >= {SENT_FROM} AND o_orderdate < {STORED_UNTIL}),
-           count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}) FROM keys
-    UNION ALL SELECT 3, 'notes', 'skipped', 0, 0, 0, 0, 0
+           count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}), (SELECT amount FROM amounts) FROM keys
+    UNION ALL SELECT 3, 'notes', 'skipped', 0, 0, 0, 0, 0, NULL
 """)
 def upsert_all_audit(spark, folder):
+    """The audit, and the sum of each table's amounts, which only the last versions of the lines give."""
     store = stored_store(spark, folder, "audit", ORDERS, LINES)
     sent = sent_orders(spark, folder)
     rows = {"orders": sent, "lines": line_rows(spark, folder, sent), "notes": no_notes(spark, folder)}
-    audit = upsert_all(store, [ORDERS, LINES, NOTES], "corrections", lambda spec: rows[spec.name], "latest")
-    return audit.select("position", "table_name", "status", "staged", "affected", "inserted", "updated",
-                        (F.col("after") - F.col("before")).alias("change"))
+    audit = upsert_all(store, [ORDERS, LINES, NOTES], "corrections", lambda spec: rows[spec.name], "latest", order=LAST_BY)
+    amounts = [store.read(spec).agg(F.round(F.sum(column), 2).alias("amount")).withColumn("table_name", F.lit(spec.name))
+               for spec, column in ((ORDERS, "o_totalprice"), (LINES, "l_extendedprice"))]
+    return audit.join(amounts[0].unionByName(amounts[1]), "table_name", "left").select(
+        "position", "table_name", "status", "staged", "affected", "inserted", "updated",
+        (F.col("after") - F.col("before")).alias("change"), "amount")
 
 
 @query(f"""
@@ -151,28 +162,41 @@ def upsert_all_audit(spark, folder):
            CAST(o.affected + l.affected AS BIGINT) AS total_rows FROM o, l
 """, name="summary_message")
 def upsert_message(spark, folder):
-    stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
-    counts = [
-        upsert_stats(stored, sent, ["o_orderkey"]).select(
-            F.lit(1).alias("position"), F.lit("Orders").alias("title"), "affected"),
-        upsert_stats(line_rows(spark, folder, stored), line_rows(spark, folder, sent), ["l_orderkey", "l_linenumber"])
-        .select(F.lit(2).alias("position"), F.lit("Lines").alias("title"), "affected"),
-    ]
-    return summary_message(counts[0].unionByName(counts[1]))
+    """The message of a batch, out of its audit."""
+    store = TableStore(spark, shared_folder(spark, "message"))
+    sent = sent_orders(spark, folder)
+    rows = {"orders": sent, "lines": line_rows(spark, folder, sent)}
+    return summary_message(upsert_all(
+        store, [ORDERS, LINES], "first", lambda spec: rows[spec.name], "latest", order=LAST_BY))
 
 
 @query(f"""
     SELECT 'orders' AS table_name, count(*) FILTER (WHERE o_orderdate < {STORED_UNTIL}) AS "before",
-           count(*) AS "after", 2 * count(*) FILTER (WHERE o_orderdate >= {SENT_FROM}) AS staged,
+           count(*) AS "after", count(*) FILTER (WHERE o_orderdate >= {SENT_FROM}) AS staged,
            CAST(0 AS BIGINT) AS staged_after,
            count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}) AS change, TRUE AS staging_cleared
     FROM orders
 """, name="table_audit")
 def table_counts(spark, folder):
-    stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
+    """Whole stored tables and their real staging, before and after a batch."""
+    store = stored_store(spark, folder, "counts", ORDERS)
+    stage_table(store, ORDERS, sent_orders(spark, folder), "corrections")
+    phases = {"before": store.read(ORDERS), "staged": store.staged(ORDERS, "corrections").count()}
+    upsert_all(store, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
     return table_audit({"orders": {
-        "before": stored, "after": upsert(stored, sent, ["o_orderkey"]), "staged": sent,
-        "staged_after": no_notes(spark, folder)}})
+        **phases, "after": store.read(ORDERS), "staged_after": store.staged(ORDERS, "corrections")}})
+
+
+@query(f"""
+    SELECT o_orderkey, CASE WHEN o_orderdate >= {STORED_UNTIL} THEN 'inserted'
+           WHEN o_orderdate >= {SENT_FROM} THEN 'updated' ELSE 'unchanged' END AS change FROM orders
+""")
+def stored_row_diff(spark, folder):
+    """A stored table as it was before a batch against what it is after it."""
+    store = stored_store(spark, folder, "diff", ORDERS)
+    before = store.read(ORDERS)
+    upsert_all(store, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
+    return row_diff(before, store.read(ORDERS), ["o_orderkey"])
 
 
 @query("""
@@ -194,28 +218,50 @@ def customer_diff(spark, folder):
 
 
 REPORT = {"orders": ("count", "o_orderkey"), "revenue": ("sum", "o_totalprice")}
-REPORT_SQL = f"""
+REPORT_SQL = """
     SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS orders,
-           round(sum(o_totalprice), 2) AS revenue FROM ({ORDERS_AFTER}) GROUP BY 1
+           round(sum(o_totalprice), 2) AS revenue FROM ({rows}) GROUP BY 1
+"""
+
+# Orders that a batch moves: every seventh by 45 days, and those of one month out of it altogether.
+MOVED_ROWS = f"""
+    SELECT o_orderkey, CASE WHEN o_orderdate >= DATE'1999-03-01' AND o_orderdate < DATE'1999-04-01'
+                            THEN DATE'1999-05-05' WHEN o_orderkey % 7 = 0
+                            THEN CASE WHEN CAST(o_orderdate AS DATE) + 45 BETWEEN DATE'1999-03-01' AND DATE'1999-03-31'
+                                      THEN DATE'1999-06-06' ELSE CAST(o_orderdate AS DATE) + 45 END
+                            ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
+           o_totalprice FROM orders
 """
 
 
+def moved_orders(spark, folder):
+    """The batch: other dates for some orders; none is left in March 1999."""
+    day, march = F.col("o_orderdate"), F.col("o_orderdate").between("1999-03-01", "1999-03-31")
+    later = F.date_add(day, 45)
+    moved = F.when(march, F.lit("1999-05-05").cast("date")).otherwise(
+        F.when(later.between("1999-03-01", "1999-03-31"), F.lit("1999-06-06").cast("date")).otherwise(later))
+    return order_rows(spark, folder).filter(march | (F.col("o_orderkey") % 7 == 0)).withColumn("o_orderdate", moved)
+
+
 def read_report(spark, path):
     report = spark.read.schema("orders bigint, revenue double, period date").parquet(path)
     return report.select("period", "orders", F.round("revenue", 2).alias("revenue"))
 
 
-@query(REPORT_SQL)
+@query(REPORT_SQL.format(rows=MOVED_ROWS))
 def incremental_refresh(spark, folder):
-    """The report on the stored orders, then only the months of the batch recomputed."""
-    path = shared_folder(spark, "report")
-    stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
-    refresh_view(stored, "o_orderdate", "month", REPORT, path)
-    refresh_incremental(upsert(stored, sent, ["o_orderkey"]), sent, "o_orderdate", "month", REPORT, path)
+    """A report on stored orders; a batch moves some to other months and empties one; only those months are redone."""
+    base = shared_folder(spark, "report")
+    store, path = TableStore(spark, f"{base}/store"), f"{base}/report"
+    upsert_all(store, [ORDERS], "history", lambda _: order_rows(spark, folder))
+    refresh_view(store.read(ORDERS), "o_orderdate", "month", REPORT, path)
+    upsert_all(store, [ORDERS], "moves", lambda _: moved_orders(spark, folder))
+    refresh_incremental(store.read(ORDERS), batch_days(store, ORDERS, "moves", "o_orderdate"), "o_orderdate", "month",
+                        REPORT, path)
     return read_report(spark, path)
 
 
-@query(REPORT_SQL, name="refresh_view")
+@query(REPORT_SQL.format(rows=ORDERS_AFTER), name="refresh_view")
 def full_refresh(spark, folder):
     path = shared_folder(spark, "report")
     stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)

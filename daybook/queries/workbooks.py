@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators.projection import drop_null_key, project, with_date
+from daybook.plans.batch import ingest_batch, quarantine_path
 from daybook.plans.sheets import FILE_SCHEMA, ORDER_HEADERS, order_workbooks
 from daybook.queries.registry import load, query
 from daybook.session import shared_folder
@@ -52,3 +53,44 @@ def stream_ingest(spark, folder):
             spark.sparkContext.defaultParallelism)
         ingest_stream(decode_workbooks(files), store, [BOOKED], f"{base}/checkpoint", DATE_HEADER).awaitTermination()
     return store.read(BOOKED).withColumn("total", F.round("total", 2))
+
+
+def partly_broken(orders):
+    """The order workbooks, every fifth cut off in the middle."""
+    book = F.regexp_extract("path", r"book-(\d+)", 1).cast("bigint")
+    half = F.expr("substring(content, 1, length(content) div 2)")
+    return order_workbooks(orders).withColumn("content", F.when(book % 5 == 0, half).otherwise(F.col("content")))
+
+
+def ingested_beside_broken(spark, folder):
+    store = TableStore(spark, shared_folder(spark, "broken"))
+    ingest_batch(store, decode_workbooks(partly_broken(load(spark, folder, "orders"))), [BOOKED], "first", DATE_HEADER)
+    return store
+
+
+@query("""
+    SELECT o_orderkey AS order_no, CAST(o_orderdate AS DATE) AS order_date, o_custkey AS customer_no,
+           o_totalprice AS total, CAST(o_orderkey AS INTEGER) AS first_step,
+           CAST(-o_orderkey AS INTEGER) AS second_step, nullif(o_orderstatus, 'F') AS status FROM orders
+    WHERE o_orderkey // 500 % 5 <> 0
+""")
+def ingest_beside_broken(spark, folder):
+    """A workbook that cannot be read costs its own rows only."""
+    return ingested_beside_broken(spark, folder).read(BOOKED)
+
+
+@query("""
+    SELECT 'wave-1/book-' || o_orderkey // 500 || '.xlsx' AS path,
+           CASE WHEN o_orderkey // 500 % 5 = 0 THEN -1 ELSE count(*) END AS row_no,
+           CASE WHEN o_orderkey // 500 % 5 = 0 THEN 'BadZipFile' ELSE 'booked' END AS cause,
+           CASE WHEN o_orderkey // 500 % 5 <> 0 THEN 'Werte aus KW1 2024' END AS date_text,
+           CASE WHEN o_orderkey // 500 % 5 <> 0 THEN '2.5' END AS total_text
+    FROM orders GROUP BY o_orderkey // 500
+""")
+def stored_quarantine(spark, folder):
+    """What a batch could not take, with its contents: broken workbooks and rows without a key."""
+    store = ingested_beside_broken(spark, folder)
+    return spark.read.parquet(quarantine_path(store, "first")).select(
+        "path", "row_no", F.split("reason", ":")[0].alias("cause"),
+        F.get_json_object("contents", f"$.{DATE_HEADER}").alias("date_text"),
+        F.get_json_object("contents", f"$.{ORDER_HEADERS[3]}").alias("total_text"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,9 +39,20 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or None
     if base is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if "base" not in _local_base:
             _local_base["base"] = tempfile.mkdtemp(prefix="daybook-")
+            atexit.register(shutil.rmtree, _local_base["base"], ignore_errors=True)
         base = _local_base["base"]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors of a session, where it is not installed; returns the archive."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="daybook-"), os.path.basename(package)), "zip", os.path.dirname(package),
+        os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    return archive

@@ -2,7 +2,7 @@
 
 from daybook.sources.jdbc import read_jdbc, write_jdbc_append
 from daybook.sources.tables import TableStore, create_table_ddl, ensure_table
-from daybook.sources.workbook import RAW_SCHEMA, decode_workbooks, read_workbooks, workbook_stream
+from daybook.sources.workbook import RAW_SCHEMA, decode_workbooks, read_workbooks, unread_files, workbook_stream
 
 __all__ = ["RAW_SCHEMA", "TableStore", "create_table_ddl", "decode_workbooks", "ensure_table", "read_jdbc",
-           "read_workbooks", "workbook_stream", "write_jdbc_append"]
+           "read_workbooks", "unread_files", "workbook_stream", "write_jdbc_append"]

@@ -8,6 +8,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from decimal import Decimal, InvalidOperation
 from xml.etree import ElementTree
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -52,12 +53,16 @@ def _serial_text(serial: float, from_1904: bool) -> str:
 
 
 def _number_text(text: str) -> str:
-    if text.isascii() and text.isdigit():
+    """A number in plain digits: whole numbers exactly, others as short as their double allows."""
+    try:
+        value = Decimal(text)
+    except InvalidOperation:
         return text
-    value = float(text)
-    if value.is_integer() and abs(value) < 1e15:
-        return str(int(value))
-    return repr(value)
+    if not value.is_finite() or abs(value.adjusted()) > 400:  # beyond what a cell can hold
+        return text
+    if value == value.to_integral_value():
+        return format(value.to_integral_value(), "f") if value else "0"
+    return format(Decimal(repr(float(value))), "f")
 
 
 def _is_date_format(code: str) -> bool:

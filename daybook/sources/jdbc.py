@@ -19,16 +19,20 @@ def write_jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str,
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str | None = None,
               bounds: tuple[object, object] | None = None, partitions: int = 16,
-              predicates: Sequence[str] | None = None, properties: dict[str, str] | None = None) -> DataFrame:
+              predicates: Sequence[str] | None = None, properties: dict[str, str] | None = None,
+              single_task: bool = False) -> DataFrame:
     """Scan a database table in parallel; filters and column choice go to the database.
 
     Either ``key`` with ``bounds`` splits the key range evenly (rows outside still come along), or
-    ``predicates`` gives one condition per task, for keys whose values are bunched up.
+    ``predicates`` gives one condition per task, for keys whose values are bunched up. Without either the whole table
+    would come through one connection; that has to be asked for by ``single_task``.
     """
     options = {"fetchsize": "10000", **(properties or {})}
     if predicates is not None:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
     if key is None or bounds is None:
+        if not single_task:
+            raise ValueError("give a key with bounds, or predicates, or single_task=True")
         return spark.read.jdbc(url, table, properties=options)
     low, high = bounds
     return spark.read.jdbc(url, table, column=key, lowerBound=str(low), upperBound=str(high),

@@ -1,13 +1,18 @@
 """Typed tables as Parquet folders below one root that all executors share.
 
-tables/<name>/<layout folder>    the keyed tables
-staging/<name>/<batch>           typed, deduplicated rows of one batch
-work/<name>/<batch>              new contents of the touched folders of one batch
-ledger/<batch>                   which steps of a batch are done, with their counts
+tables/<name>/data/version=<batch>/<layout folder>   rows; a folder is written once and never changed
+tables/<name>/log                                    which version of each folder is current: one small file per batch
+staging/<name>/<batch>                               typed, deduplicated rows of one batch
+changed/<name>/<batch>                               days of the batch's old and new rows, by date column
+ledger/<batch>                                       which steps of a batch are done, with their counts
+
+A commit is one file that appears in the log whole or not at all, so a reader sees a table before or after a batch. The
+version of a folder before the last is kept for readers that have already begun; older ones are dropped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -42,16 +47,56 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     no_rows(spark, spec.stored_schema).write.mode("ignore").partitionBy(spec.layout.column).parquet(location)
 
 
+def folder_names(spec: TableSpec, keyed: DataFrame) -> list[str]:
+    """The names of the layout folders that rows with the layout column fall in.
+
+    They come to the driver: as many as calendar periods or buckets, never as many as rows.
+    """
+    column = spec.layout.column
+    return sorted(f"{column}={row[0]}" for row in keyed.select(F.col(column).cast("string")).distinct().collect())
+
+
 def in_folders(df: DataFrame, folder: str, keyed: DataFrame) -> DataFrame:
     """Rows of ``df`` in the folders that ``keyed``, which has the same folder column, falls in.
 
-    The folder names come to the driver and go into the scan as literals. There are as many as calendar
-    periods or buckets, never as many as rows. Pruning at run time would skip a batch without a filter.
+    The folder names go into the scan as literals: pruning at run time would skip a batch without a filter.
     """
     names = [row[0] for row in keyed.select(folder).distinct().collect()]
     return df.filter(F.col(folder).isin(names))
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder with a known schema; empty if it does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return no_rows(spark, schema)
+
+
+LOG_SCHEMA = T.StructType([
+    T.StructField("number", T.LongType()),
+    *[T.StructField(n, T.StringType()) for n in ("batch", "folder", "version")],
+])
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One entry of a table's log: batch number and name, and the version it gave to a folder."""
+
+    number: int
+    batch: str
+    folder: str
+    version: str
+
+
 @dataclass(frozen=True)
 class TableStore:
     """The tables of one root folder. One writer per table at a time.
@@ -66,48 +111,74 @@ class TableStore:
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def table_path(self, spec: TableSpec) -> str:
-        return self.path("tables", spec.name)
+    def data_path(self, spec: TableSpec, *parts: str) -> str:
+        return self.path("tables", spec.name, "data", *parts)
+
+    def log_path(self, spec: TableSpec) -> str:
+        return self.path("tables", spec.name, "log")
 
     def staging_path(self, spec: TableSpec, batch: str) -> str:
         return self.path("staging", spec.name, batch)
 
-    def work_path(self, spec: TableSpec, batch: str) -> str:
-        return self.path("work", spec.name, batch)
-
-    def ensure(self, spec: TableSpec) -> None:
-        ensure_table(self.spark, spec, self.table_path(spec))
-
-    def read(self, spec: TableSpec, with_layout: bool = False) -> DataFrame:
-        df = self.spark.read.schema(spec.stored_schema).parquet(self.table_path(spec))
+    def changed_path(self, spec: TableSpec, batch: str) -> str:
+        return self.path("changed", spec.name, batch)
+
+    def log(self, spec: TableSpec) -> list[Commit]:
+        """All commits, oldest first. A commit has as many entries as it touches folders: periods or buckets, not rows."""
+        rows = read_if_there(self.spark, self.log_path(spec), LOG_SCHEMA).collect()
+        return sorted((Commit(*row) for row in rows), key=lambda c: (c.number, c.folder))
+
+    def commit(self, spec: TableSpec, batch: str, number: int, folders: Iterable[str], version: str) -> None:
+        """Make ``version`` the current one of the given folders: one file, all or nothing."""
+        entries = F.explode(F.array(*[F.lit(f) for f in sorted(folders)])) if folders else None
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(number).cast("bigint").alias("number"), F.lit(batch).alias("batch"), entries.alias("folder"),
+            F.lit(version).alias("version"))
+        row.write.mode("append").parquet(self.log_path(spec))
+
+    def read(self, spec: TableSpec, with_layout: bool = False, log: list[Commit] | None = None) -> DataFrame:
+        """The table as of now, or as of the end of ``log``."""
+        current = {c.folder: c.version for c in (self.log(spec) if log is None else log)}
+        if current:
+            paths = [self.data_path(spec, f"version={version}", folder) for folder, version in sorted(current.items())]
+            df = (self.spark.read.schema(spec.stored_schema).option("basePath", self.data_path(spec)).parquet(*paths)
+                  .select(*spec.stored_schema.names))
+        else:
+            df = no_rows(self.spark, spec.stored_schema)
         return df if with_layout else df.select(*spec.column_names)
 
-    def staged(self, spec: TableSpec, batch: str) -> DataFrame:
-        return self.spark.read.schema(spec.stored_schema).parquet(self.staging_path(spec, batch))
+    def version(self, spec: TableSpec, version: str) -> DataFrame:
+        return read_if_there(self.spark, self.data_path(spec, f"version={version}"), spec.stored_schema)
 
-    def worked(self, spec: TableSpec, batch: str) -> DataFrame:
-        return self.spark.read.schema(spec.stored_schema).parquet(self.work_path(spec, batch))
+    def staged(self, spec: TableSpec, batch: str) -> DataFrame:
+        return read_if_there(self.spark, self.staging_path(spec, batch), spec.stored_schema)
 
     def register_views(self, *specs: TableSpec) -> None:
         """Each table as a temp view of its name, for SQL users."""
         for spec in specs:
             self.read(spec, with_layout=True).createOrReplaceTempView(spec.name)
 
-    def write(self, df: DataFrame, spec: TableSpec, path: str, only_touched: bool = False) -> None:
-        """Write rows that carry their layout column; ``only_touched`` replaces just the folders they fall in."""
-        mode = "dynamic" if only_touched else "static"
-        (df.select(*spec.stored_schema.names).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    def write(self, df: DataFrame, spec: TableSpec, path: str) -> None:
+        """Write rows that carry their layout column, in folders of it."""
+        (df.select(*spec.stored_schema.names).write.mode("overwrite").option("partitionOverwriteMode", "static")
            .partitionBy(spec.layout.column).parquet(path))
 
-    def clear(self, spec: TableSpec, path: str) -> None:
-        """Empty a staging or work folder."""
-        self.write(no_rows(self.spark, spec.stored_schema), spec, path)
+    def drop(self, *parts: str) -> None:
+        drop_folder(self.spark, self.path(*parts))
+
+    def drop_old(self, spec: TableSpec, log: list[Commit], folders: Iterable[str]) -> None:
+        """Of the given folders, drop all versions but the current and the one before."""
+        for folder in folders:
+            versions = list(dict.fromkeys(c.version for c in log if c.folder == folder))
+            for version in versions[-3:-2]:
+                drop_folder(self.spark, self.data_path(spec, f"version={version}", folder))
 
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("step", T.StringType()),
-    *[T.StructField(n, T.LongType()) for n in ("staged", "before", "affected", "inserted", "updated", "after")],
+    *[T.StructField(n, T.LongType()) for n in (
+        "rows", "dated", "keyed", "staged", "before", "affected", "inserted", "updated", "after", "base")],
 ])
 
 
@@ -117,12 +188,7 @@ def _ledger_path(store: TableStore, batch: str) -> str:
 
 def read_ledger(store: TableStore, batch: str) -> DataFrame:
     """Finished steps of one batch; empty if the batch is new."""
-    try:
-        return store.spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_path(store, batch))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return no_rows(store.spark, LEDGER_SCHEMA)
+    return read_if_there(store.spark, _ledger_path(store, batch), LEDGER_SCHEMA)
 
 
 def append_ledger(store: TableStore, batch: str, **step: object) -> None:
@@ -131,5 +197,9 @@ def append_ledger(store: TableStore, batch: str, **step: object) -> None:
 
 
 def finished_steps(store: TableStore, batch: str) -> dict[tuple[str, str], dict]:
-    """Counts by (table, step). A batch has a handful of steps per table."""
-    return {(r.table_name, r.step): r.asDict() for r in read_ledger(store, batch).collect()}
+    """Counts by (table, step); of a step that was done again, those of the last merge.
+
+    A batch has a handful of steps per table.
+    """
+    rows = sorted(read_ledger(store, batch).collect(), key=lambda r: -1 if r.base is None else r.base)
+    return {(r.table_name, r.step): r.asDict() for r in rows}

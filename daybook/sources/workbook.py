@@ -7,9 +7,11 @@ streams their rows in Arrow batches. The file format itself limits a sheet to 1,
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.sources.cells import header_names, sheet_rows
@@ -20,7 +22,10 @@ RAW_SCHEMA = T.StructType([
     T.StructField("modified", T.TimestampType(), True),
     T.StructField("row_no", T.IntegerType(), False),
     T.StructField("cells", T.MapType(T.StringType(), T.StringType(), True), False),
+    T.StructField("error", T.StringType(), True),
 ])
+# Workbook files by their suffix, whatever its case.
+WORKBOOK_GLOB, WORKBOOK_NAME = "*.[xX][lL][sS][xXmM]", r"(?i)\.xls[xm]$"
 ROWS_PER_BATCH = 4096
 FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -51,43 +56,76 @@ def _data_rows(content: bytes, header: int) -> Iterator[tuple[int, list[tuple[st
 
 
 def decode_workbooks(files: DataFrame, header: int = 1) -> DataFrame:
-    """Sheet rows of workbooks given as ``path, modificationTime, content``, header on row index ``header``."""
+    """Sheet rows of workbooks given as ``path, modificationTime, content``, header on row index ``header``.
+
+    A file that cannot be read gives one row without cells, its ``error`` set and ``row_no`` -1, and no other row: its
+    rows go out when the last has been decoded.
+    """
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 path, modified = batch.column("path")[i], batch.column("modificationTime")[i]
-                numbers: list[int] = []
-                cells: list[list[tuple[str, str | None]]] = []
-                for row_no, row in _data_rows(batch.column("content")[i].as_py(), header):
-                    numbers.append(row_no - header - 1)
-                    cells.append(row)
-                    if len(numbers) == ROWS_PER_BATCH:
-                        yield _raw_batch(path, modified, numbers, cells)
-                        numbers, cells = [], []
-                if numbers:
-                    yield _raw_batch(path, modified, numbers, cells)
+                try:
+                    rows = list(_sheet_batches(path, modified, batch.column("content")[i].as_py(), header))
+                except Exception as broken:  # whatever a broken file makes the decoder raise, it is that file's fault
+                    rows = [_raw_batch(path, modified, [-1], [[]], f"{type(broken).__name__}: {broken}")]
+                yield from rows
 
     return files.select("path", "modificationTime", "content").mapInArrow(decode, RAW_SCHEMA)
 
 
-def _raw_batch(path, modified, numbers, cells) -> pa.RecordBatch:
+def _sheet_batches(path, modified, content: bytes, header: int) -> Iterator[pa.RecordBatch]:
+    numbers: list[int] = []
+    cells: list[list[tuple[str, str | None]]] = []
+    for row_no, row in _data_rows(content, header):
+        numbers.append(row_no - header - 1)
+        cells.append(row)
+        if len(numbers) == ROWS_PER_BATCH:
+            yield _raw_batch(path, modified, numbers, cells)
+            numbers, cells = [], []
+    if numbers:
+        yield _raw_batch(path, modified, numbers, cells)
+
+
+def _raw_batch(path, modified, numbers, cells, error: str | None = None) -> pa.RecordBatch:
     n = len(numbers)
     return pa.RecordBatch.from_arrays(
-        [pa.repeat(path, n), pa.repeat(modified, n), pa.array(numbers, pa.int32()), pa.array(cells, _CELLS)],
+        [pa.repeat(path, n), pa.repeat(modified, n), pa.array(numbers, pa.int32()), pa.array(cells, _CELLS),
+         pa.array([error] * n, pa.string())],
         names=RAW_SCHEMA.names,
     )
 
 
-def read_workbooks(spark: SparkSession, paths: str | Sequence[str], header: int = 1) -> DataFrame:
-    """Sheet rows of all workbooks that match ``paths`` (files, folders or globs)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(paths)
+def read_workbooks(spark: SparkSession, paths: str | Sequence[str], header: int = 1, encoded: bool = False) -> DataFrame:
+    """Sheet rows of all workbooks that match ``paths`` (files, folders or globs), ``encoded`` as in storage events or not."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_GLOB).load(_named(paths, encoded))
     return decode_workbooks(files, header)
 
 
+def unread_files(spark: SparkSession, paths: str | Sequence[str], raw: DataFrame | None = None,
+                 encoded: bool = False) -> DataFrame:
+    """``path, reason`` of every file that gave no rows: not named as a workbook, or, given its ``raw`` rows, broken.
+
+    Files that are no workbooks are listed, not opened.
+    """
+    every = spark.read.format("binaryFile").load(_named(paths, encoded)).select("path")
+    other = every.where(~F.col("path").rlike(WORKBOOK_NAME)).select("path", F.lit("not named as a workbook").alias("reason"))
+    if raw is None:
+        return other
+    return other.unionByName(raw.where("error IS NOT NULL").select("path", F.col("error").alias("reason")))
+
+
+def _named(paths: str | Sequence[str], encoded: bool) -> str | list[str]:
+    """Paths for the reader; storage events give them percent-encoded."""
+    if not encoded:
+        return paths if isinstance(paths, str) else list(paths)
+    return unquote(paths) if isinstance(paths, str) else [unquote(p) for p in paths]
+
+
 def workbook_stream(spark: SparkSession, folder: str, header: int = 1, max_files: int | None = None) -> DataFrame:
     """Sheet rows of workbooks as they arrive in ``folder``."""
     reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option(
-        "pathGlobFilter", "*.xlsx")
+        "pathGlobFilter", WORKBOOK_GLOB)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return decode_workbooks(reader.load(folder), header)

@@ -1,15 +1,19 @@
+import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators.kpi import date_range, last_n_days, period_summary
+from daybook.operators.upsert import changed_days as changed_in
+from daybook.operators.upsert import upsert
 from daybook.plans import batch as flow
 from daybook.plans.batch import (
-    ConflictingRows, MissingParent, audit, ingest_batch, quarantine_path, upsert_all)
+    ConflictingRows, MissingParent, UnknownParent, audit, changed_days, ingest_batch, quarantine_path, upsert_all)
 from daybook.plans.refresh import refresh_incremental, refresh_view
 from daybook.plans.sheets import render_workbook
-from daybook.sources import TableStore, create_table_ddl, ensure_table, read_workbooks, workbook_stream
+from daybook.sources import TableStore, create_table_ddl, ensure_table, read_workbooks, unread_files, workbook_stream
 from daybook.sources.cells import header_names
 from daybook.specs import DATE_HEADER, FLEET, OVERVIEW, PLANT_TABLES, Buckets, ColumnSpec, ParentRef, Periods, TableSpec
 from daybook.streaming import ingest_stream
@@ -56,6 +60,24 @@ def test_workbooks(spark, tmp_path):
     }
 
 
+def test_no_file_is_lost_in_silence(spark, tmp_path, store):
+    save(tmp_path / "in", "a.XLSX", [date(2024, 1, 5), 1, 1, 1, 1])
+    save(tmp_path / "in", "b.xlsm", [date(2024, 1, 6), 2, 2, 2, 2])
+    save(tmp_path / "in", "c d.xlsx", [date(2024, 1, 7), 3, 3, 3, 3])
+    (tmp_path / "in" / "cut.xlsx").write_bytes((tmp_path / "in" / "a.XLSX").read_bytes()[:200])
+    (tmp_path / "in" / "none.xlsx").write_bytes(b"no archive")
+    (tmp_path / "in" / "notes.txt").write_text("no workbook")
+    raw = read_workbooks(spark, str(tmp_path / "in"))
+    assert sorted(r.path.rsplit("/", 1)[1] for r in raw.where("error IS NULL").collect()) == ["a.XLSX", "b.xlsm", "c d.xlsx"]
+    left = {r.path.rsplit("/", 1)[1]: r.reason for r in unread_files(spark, str(tmp_path / "in"), raw).collect()}
+    assert set(left) == {"cut.xlsx", "none.xlsx", "notes.txt"} and "BadZipFile" in left["none.xlsx"]
+    assert read_workbooks(spark, str(tmp_path / "in" / "c%20d.xlsx"), encoded=True).count() == 1
+    ingest_batch(store, raw, [OVERVIEW], "b1", DATE_HEADER)
+    assert sorted(r.tonage for r in store.read(OVERVIEW).collect()) == [1, 2, 3]
+    lost = spark.read.parquet(quarantine_path(store, "b1")).collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in lost) == ["cut.xlsx", "none.xlsx"]
+
+
 def test_header_names():
     assert header_names({0: "x", 1: "x", 2: "x.1", 3: "x", 5: "y"}, 6) == [
         "x", "x.1", "x.1.1", "x.2", "Unnamed: 4", "y"]
@@ -82,7 +104,7 @@ def test_upsert_all_and_audit(spark, store):
     assert [(r.table_name, r.status, r.affected, r.inserted, r.updated) for r in second.orderBy("position").collect()] == [
         ("parent", "applied", 2, 1, 1), ("child", "applied", 1, 1, 0)]
     assert rows(store.read(PARENT)) == [(1, "a"), (2, None), (3, "c")]
-    assert store.staged(PARENT, "b2").count() == 0 and store.worked(PARENT, "b2").count() == 0
+    assert store.staged(PARENT, "b2").count() == 0
     store.register_views(PARENT, CHILD)
     assert spark.sql("SELECT v, w FROM parent JOIN child USING (k)").collect()[0] == ("c", 1)
 
@@ -98,8 +120,11 @@ def test_conflicts(spark, store):
     with pytest.raises(ConflictingRows):
         upsert_all(store, [PARENT], "b1", frames(spark, [(1, "a"), (1, "b")]))
     assert store.read(PARENT).count() == 0
-    upsert_all(store, [PARENT], "b1", frames(spark, [(1, "a"), (1, "b")]), on_conflict="latest")
-    assert rows(store.read(PARENT)) == [(1, "b")]
+    sent = {"parent": spark.createDataFrame([(1, "z", 1), (1, "a", 2)], "k int, v string, at int")}
+    with pytest.raises(ValueError):
+        upsert_all(store, [PARENT], "b1", lambda spec: sent[spec.name].drop("at"), on_conflict="latest")
+    upsert_all(store, [PARENT], "b1", lambda spec: sent[spec.name], on_conflict="latest", order=["at"])
+    assert rows(store.read(PARENT)) == [(1, "a")]
 
 
 def test_missing_parent(spark, store):
@@ -110,25 +135,57 @@ def test_missing_parent(spark, store):
     assert rows(store.read(PARENT)) == [(1, "a")] and store.read(CHILD).count() == 0
 
 
-@pytest.mark.parametrize("fails", ["stage_table", "merge_table", "write_table", "ledger"])
+def test_parents_outside_the_batch_and_in_the_wrong_order(spark, store):
+    with pytest.raises(UnknownParent):
+        upsert_all(store, [CHILD], "b1", frames(spark, [], [(1, 1)]))
+    with pytest.raises(UnknownParent):
+        upsert_all(store, [CHILD, PARENT], "b1", frames(spark, [(1, "a")], [(1, 1)]))
+    upsert_all(store, [PARENT], "b1", frames(spark, [(1, "a")]))
+    with pytest.raises(MissingParent):
+        upsert_all(store, [CHILD], "b2", frames(spark, [], [(1, 1), (2, 2)]), stored=[PARENT])
+    upsert_all(store, [CHILD], "b3", frames(spark, [], [(1, 1)]), stored=[PARENT])
+    assert rows(store.read(CHILD)) == [(1, 1)]
+
+
+def test_long_references_are_measured(spark, store, monkeypatch):
+    named = TableSpec("named", (ColumnSpec("v", "string", "V"),), ("v",), Buckets(("v",), 2))
+    child = TableSpec("child", (ColumnSpec("k", "int", "K"), ColumnSpec("v", "string", "V")), ("k",), Buckets(("k",), 2),
+                      ParentRef("named", (("v", "v"),)))
+    texts = [f"{i}" * 500 for i in range(10, 30)]
+    data = {"named": spark.createDataFrame([(t,) for t in texts], "v string"),
+            "child": spark.createDataFrame(list(enumerate(texts)), "k int, v string")}
+    seen = []
+    monkeypatch.setattr(flow.F, "broadcast", lambda df: seen.append(df.columns) or df)
+    upsert_all(store, [named, child], "b1", lambda spec: data[spec.name], broadcast_limit=2000)
+    assert ["v"] not in seen  # the keys of the child are small, its references are not
+    assert store.read(child).count() == 20
+
+
+def broken(*args, **kwargs):
+    raise RuntimeError("lost")
+
+
+BREAKS = ["stage_table", "merge_table", "commit", "merged", "applied", "clear_batch"]
+
+
+def break_off(patch, at):
+    """A failure before the given step, or before the given entry of the ledger."""
+    if at == "commit":
+        patch.setattr(TableStore, "commit", broken)
+    elif at in ("merged", "applied"):
+        append = flow.append_ledger
+        patch.setattr(flow, "append_ledger", lambda store, batch, **step:
+                      broken() if step["step"] == at else append(store, batch, **step))
+    else:
+        patch.setattr(flow, at, broken)
+
+
+@pytest.mark.parametrize("fails", BREAKS)
 def test_a_batch_that_broke_off_goes_on(spark, store, monkeypatch, fails):
     upsert_all(store, [PARENT], "b1", frames(spark, [(1, "a"), (2, "b")]))
     send = frames(spark, [(2, "c"), (3, "d")])
-
-    def broken(*args, **kwargs):
-        raise RuntimeError("lost")
-
     with monkeypatch.context() as patch:
-        if fails == "write_table":
-            write = TableStore.write
-            patch.setattr(TableStore, "write", lambda self, df, spec, path, only_touched=False:
-                          broken() if only_touched else write(self, df, spec, path))
-        elif fails == "ledger":
-            append = flow.append_ledger
-            patch.setattr(flow, "append_ledger", lambda store, batch, **step:
-                          broken() if step["step"] == "applied" else append(store, batch, **step))
-        else:
-            patch.setattr(flow, fails, broken)
+        break_off(patch, fails)
         with pytest.raises(RuntimeError):
             upsert_all(store, [PARENT], "b2", send)
     again = upsert_all(store, [PARENT], "b2", send).first()
@@ -137,6 +194,48 @@ def test_a_batch_that_broke_off_goes_on(spark, store, monkeypatch, fails):
     assert upsert_all(store, [PARENT], "b2", broken).first().affected == 2
 
 
+@pytest.mark.parametrize("fails", BREAKS)
+@pytest.mark.parametrize("streams", [False, True])
+def test_a_resumed_batch_undoes_no_later_one(spark, tmp_path, store, monkeypatch, fails, streams):
+    first, second = (replace(store, ledger=str(tmp_path / f"ledger{i}")) if streams else store for i in range(2))
+    one = TableSpec("parent", PARENT.columns, PARENT.key, Buckets(("k",), 1))
+    upsert_all(first, [one], "b0", frames(spark, [(1, "a"), (9, "x")]))
+    with monkeypatch.context() as patch:
+        break_off(patch, fails)
+        with pytest.raises(RuntimeError):
+            upsert_all(first, [one], "b1", frames(spark, [(2, "b"), (9, "y")]))
+    seen = store.read(one)  # a reader that began before
+    upsert_all(second, [one], "b2", frames(spark, [(3, "c")]))
+    again = upsert_all(first, [one], "b1", frames(spark, [(2, "b"), (9, "y")])).first()
+    assert (again.affected, again.inserted, again.updated) == (2, 1, 1)
+    assert rows(store.read(one)) == [(1, "a"), (2, "b"), (3, "c"), (9, "y")]
+    if fails not in ("applied", "clear_batch"):
+        assert len({c.version for c in store.log(one)}) == 3
+    assert seen.columns == ["k", "v"]
+
+
+def test_old_versions_go_and_a_reader_keeps_its_own(spark, tmp_path, store):
+    upsert_all(store, [PARENT], "b0", frames(spark, [(i, "0") for i in range(40)]))
+    before = store.read(PARENT)
+    for n in range(1, 4):
+        upsert_all(store, [PARENT], f"b{n}", frames(spark, [(i, str(n)) for i in range(40)]))
+        if n == 1:
+            assert {v for _, v in rows(before)} == {"0"}
+    left = [p for p in (tmp_path / "store/tables/parent/data").glob("version=*/part_bucket=*")]
+    assert {p.parent.name for p in left} == {"version=b2.2", "version=b3.3"}
+    assert not list((tmp_path / "store/staging/parent").glob("*"))
+    assert {v for _, v in rows(store.read(PARENT))} == {"3"}
+
+
+def test_days_of_a_batch_before_and_after(spark, store):
+    dated = TableSpec("dated", (ColumnSpec("k", "int", "K"), ColumnSpec("d", "date", "D")), ("k",), Buckets(("k",), 2))
+    send = lambda data: lambda _: spark.createDataFrame(data, "k int, d date")
+    upsert_all(store, [dated], "b1", send([(1, date(2024, 1, 1)), (2, date(2024, 2, 1)), (3, None)]))
+    upsert_all(store, [dated], "b2", send([(1, date(2024, 3, 1)), (3, date(2024, 4, 1))]))
+    assert rows(changed_days(store, dated, "b2", "d")) == [(date(2024, m, 1),) for m in (1, 3, 4)]
+    assert changed_days(store, dated, "none", "d").count() == 0
+
+
 def test_ingest_batch_with_quarantine(spark, tmp_path, store):
     save(tmp_path / "in", "a.xlsx", [date(2024, 1, 5), 12.0, 3, 1, 2], [date(2024, 1, 5), 12.0, 3, 1, 2],
          ["Werte aus KW1 2024", 99.0, 9, 9, 9], ["01/06/2024", 13.0, "x", None, None])
@@ -149,6 +248,9 @@ def test_ingest_batch_with_quarantine(spark, tmp_path, store):
     assert [r.km_driven for r in store.read(FLEET).orderBy("date").collect()] == [3, None]
     lost = spark.read.parquet(quarantine_path(store, "b1")).collect()
     assert [(r.row_no, r.reason.split(", ")[0]) for r in lost] == [(2, "overview: key is null")]
+    assert json.loads(lost[0].contents)["Gefahrene Km"] == "9"
+    figures = result.filter("table_name = 'fleet'").first()
+    assert (figures.sheet_rows, figures.valid_dates, figures.removed, figures.copies) == (4, 3, 1, 1)
     assert rows(ingest_batch(store, raw, PLANT_TABLES, "b1", DATE_HEADER)) == rows(audit(store, PLANT_TABLES, "b1"))
 
 
@@ -184,6 +286,15 @@ def test_incremental_refresh_equals_a_full_one(spark, tmp_path):
         assert rows(report.select("period", "v", "n")) == rows(period_summary(new, "d", grain, measures))
 
 
+def test_refresh_drops_emptied_periods(spark, tmp_path):
+    old = spark.sql("SELECT * FROM VALUES (1, DATE'2024-01-05', 10), (2, DATE'2024-01-06', 20) AS t(k, d, v)")
+    sent = spark.sql("SELECT * FROM VALUES (1, DATE'2024-02-05', 10), (2, DATE'2024-02-06', 20) AS t(k, d, v)")
+    path = str(tmp_path / "report")
+    refresh_view(old, "d", "month", {"v": ("sum", "v")}, path)
+    refresh_incremental(upsert(old, sent, ["k"]), changed_in(old, sent, ["k"], "d"), "d", "month", {"v": ("sum", "v")}, path)
+    assert rows(spark.read.schema("v long, period date").parquet(path)) == [(30, date(2024, 2, 1))]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().toString()
 
@@ -206,10 +317,11 @@ def test_filters_reach_the_scan_and_prune_folders(spark, tmp_path):
 def test_a_small_batch_does_not_shuffle_the_table(spark, store):
     upsert_all(store, [PARENT], "b1", frames(spark, [(i, "a") for i in range(100)]))
     staged = PARENT.with_layout(spark.createDataFrame([(5, "b")], "k int, v string"))
-    staged.write.mode("overwrite").partitionBy("part_bucket").parquet(store.staging_path(PARENT, "b2"))
+    store.write(staged, PARENT, store.staging_path(PARENT, "b2"))
     staged = store.staged(PARENT, "b2")
     inside = flow.touched_part(store, PARENT, staged)
     plan = plan_of(flow.upsert(inside, staged, PARENT.key, broadcast_keys=True, unique=True))
     table_side = plan[plan.index("== Physical Plan =="):].split("Union")[1]
     assert "LeftAnti, BuildRight" in table_side and "SortMergeJoin" not in table_side
-    assert "PartitionFilters: [isnotnull(part_bucket" in table_side
+    folder = flow.folder_names(PARENT, staged)
+    assert len(folder) == 1 and inside.inputFiles() and all(folder[0] in path for path in inside.inputFiles())

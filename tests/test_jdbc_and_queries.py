@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
 import __spark_entry__ as entry
+from daybook.queries import QUERIES, SQL
 from daybook.sources import read_jdbc, write_jdbc_append
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,13 +27,16 @@ def test_jdbc_scan_options(spark, monkeypatch):
     monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, **options: seen.append(options))
     read_jdbc(spark, "jdbc:x", "t", "date", (date(2024, 1, 1), date(2024, 12, 31)), partitions=12)
     read_jdbc(spark, "jdbc:x", "t", predicates=["a < 1", "a >= 1"])
-    read_jdbc(spark, "jdbc:x", "t")
+    read_jdbc(spark, "jdbc:x", "t", single_task=True)
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:x", "t")
     assert (seen[0]["column"], seen[0]["lowerBound"], seen[0]["numPartitions"]) == ("date", "2024-01-01", 12)
     assert seen[1]["predicates"] == ["a < 1", "a >= 1"] and set(seen[2]) == {"properties"}
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
