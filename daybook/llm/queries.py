@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    chat, classifier, decontaminate, html_text, licenses, line_rules, packing, secrets, simhash, url_templates)
+    chat, classifier, decontaminate, html_text, licenses, line_rules, packing, secrets, simhash, sql, url_templates)
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+#: The other operators are beyond SQL or its speed on whole tables; their tests hold brute-force versions.
+SQL: dict[str, str] = {
+    "op1_license_scans": sql.LICENSES,
+    "op4_chat_formatting": sql.CHAT,
+    "op8_quality_rules": sql.RULES,
+}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
