@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _local_base: dict[str, str] = {}
+_made: list[str] = []
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g", name: str = "daybook") -> SparkSession:
@@ -45,7 +46,15 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             _local_base["base"] = tempfile.mkdtemp(prefix="daybook-")
             atexit.register(shutil.rmtree, _local_base["base"], ignore_errors=True)
         base = _local_base["base"]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def drop_shared_folders(spark: SparkSession) -> None:
+    """Delete the folders that this driver has made below the shared one, once their results are no longer needed."""
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def ship_package(spark: SparkSession) -> str:

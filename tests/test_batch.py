@@ -266,6 +266,7 @@ def test_stream_takes_each_file_once_and_corrections_win(spark, tmp_path, store)
     save(inbox, "b.xlsx", [date(2024, 1, 3), 3, 3, 3, 3])
     assert run() == {1: 1, 2: 2, 3: 3}
     save(inbox, "c.xlsx", [date(2024, 1, 1), None, 1, 1, 1], [date(2024, 1, 4), 4, 4, 4, 4])
+    (inbox / "broken.xlsx").write_bytes(b"no archive")  # must not stop the stream
     assert run() == {1: None, 2: 2, 3: 3, 4: 4}
     assert run() == {1: None, 2: 2, 3: 3, 4: 4}
 

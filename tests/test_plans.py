@@ -1,6 +1,7 @@
 """What the plans read, and guards."""
 
 import math
+import os
 import subprocess
 import sys
 from datetime import date
@@ -12,7 +13,7 @@ from daybook.operators.kpi import daily_series, period_summaries, period_summary
 from daybook.operators.projection import fan_out, project, to_raw
 from daybook.operators.quality import coverage, unusual_values
 from daybook.operators.upsert import upsert
-from daybook.session import shared_folder
+from daybook.session import drop_shared_folders, shared_folder
 from daybook.specs import DATE_HEADER, DRYING, Buckets, ColumnSpec, TableSpec
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
@@ -108,9 +109,16 @@ def test_a_cluster_needs_a_shared_folder():
             shared_folder(Session(master), "x")
 
 
+def test_shared_folders_can_be_dropped(spark):
+    path = shared_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_shared_folders(spark)
+    assert not os.path.exists(path)
+
+
 def test_workers_get_the_package_from_the_archive(tmp_path):
     """A driver that has the package and workers that do not: started outside of the repository, without PYTHONPATH."""
-    repo = ORDERS and __file__.rsplit("/tests/", 1)[0]
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     script = f"""
 import sys
 sys.path.append({repo!r})
@@ -123,5 +131,5 @@ orders = spark.read.parquet({ORDERS!r})
 print("rows", decode_workbooks(order_workbooks(orders)).where("error IS NULL").count() > 1500)
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300,
-                          env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+                          env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert "rows True" in done.stdout, done.stderr[-2000:]
