@@ -11,6 +11,19 @@ from daybook.session import shared_folder
 BLANK = r"[\x20\x09-\x0D]"
 
 
+_caches: dict[str, dict] = {}
+
+
+def only_cache(name: str, cache: dict) -> dict:
+    """``cache`` as the one that a Python worker keeps: workers serve one operator after the other, and each remembers
+    words of its own, so those of the others are let go."""
+    for other, kept in _caches.items():
+        if other != name:
+            kept.clear()
+    _caches[name] = cache
+    return cache
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daybook.llm.common import pick, stored
+from daybook.llm.common import only_cache, pick, stored
 
 CAPACITY = 2048
 #: Id after each document.
@@ -52,7 +52,7 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known = _words.setdefault(path, {})
+        self.known = only_cache(f"packing {path}", _words.setdefault(path, {}))
         if not self.known:
             self._reset()
 
