@@ -42,6 +42,11 @@ def pick(frame: DataFrame, wanted: dict[str, str], row: bool = False) -> DataFra
     return plain.select(*columns)
 
 
+def kept(names: list[str], name: str) -> Column:
+    """A column of the frame that ``pick`` kept in ``row``, by its exact name."""
+    return F.col("row")[f"c{names.index(name)}"]
+
+
 def unpack(frame: DataFrame, names: list[str], changed: dict[str, Column] | None = None) -> DataFrame:
     """The frame that ``pick`` kept in ``row``; ``changed`` columns get new values of the old type."""
     kinds = {field.name: field.dataType for field in frame.schema["row"].dataType.fields}

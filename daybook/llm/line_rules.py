@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import pick, stored, text_of, unpack, words_of
+from daybook.llm.common import kept, pick, stored, text_of, unpack, words_of
 
 SHARED, SHARE = 20, 0.2
 #: Words, and share of its words, that a document keeps at least.
@@ -108,12 +108,13 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, without their shared lines, all columns kept; ``n_chars``, if there, follows the text."""
-    verdict = judge(docs).where("kept").groupBy("doc_id", "host", "mark").agg(F.first("shared").alias("shared")).select(
-        F.col("doc_id").alias("of"), F.col("host").alias("of_host"), F.col("mark").alias("of_mark"), "shared")
-    passed = _marked(docs, row=True).join(verdict, _same())
-    kept = F.filter(F.split("text", "\n"), lambda line: ~F.array_contains("shared", line_hash(normal(line))))
-    changed = {"text": F.when(F.col("shared").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))}
+    key = F.struct("doc_id", "host", "mark").alias("key")  # nulls in it are alike
+    verdict = judge(docs).where("kept").select(key, "shared").groupBy("key").agg(F.first("shared").alias("shared"))
+    passed = _marked(docs, row=True).select(key, "row").join(verdict, "key")
+    text = F.coalesce(kept(docs.columns, "text").cast("string"), F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains("shared", line_hash(normal(line))))
+    cleaned = passed.withColumn("clean", F.when(F.col("shared").isNotNull(), F.array_join(lines, "\n")))
+    changed = {"text": F.coalesce("clean", text)}
     if "n_chars" in docs.columns:
-        old = F.col("row")[f"c{docs.columns.index('n_chars')}"]
-        changed["n_chars"] = F.when(F.col("shared").isNull(), old).otherwise(F.length(changed["text"]))
-    return unpack(passed, docs.columns, changed)
+        changed["n_chars"] = F.when(F.col("clean").isNull(), kept(docs.columns, "n_chars")).otherwise(F.length("clean"))
+    return unpack(cleaned, docs.columns, changed)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from daybook.llm.common import pick, text_of, unpack
+from daybook.llm.common import kept, pick, text_of, unpack
 
 #: Fixed values of the contract: the strong kinds. A hex or access run that is long enough is the whole run.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -136,18 +136,16 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, placeholder: str = PLACEHOLDER) -> DataFrame:
     """The documents with every reported span replaced; ``n_chars``, if there, follows the new text. No row is dropped."""
-    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).withColumn("mark", F.xxhash64(text_of()))
-    found = scan(docs).where(F.size("spans") > 0).groupBy("doc_id", "mark").agg(F.first("spans").alias("spans")).select(
-        F.col("doc_id").alias("of"), F.col("mark").alias("of_mark"), "spans")
-    joined = whole.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("mark") == F.col("of_mark")), "left")
-    text, spans = F.col("text"), F.col("spans")
+    key = F.struct("doc_id", "mark").alias("key")  # nulls in it are alike
+    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).withColumn("mark", F.xxhash64(text_of())).select(key, "row")
+    found = scan(docs).where(F.size("spans") > 0).select(key, "spans").groupBy("key").agg(F.first("spans").alias("spans"))
+    text, spans = F.coalesce(kept(docs.columns, "text").cast("string"), F.lit("")), F.col("spans")
     pieces = F.transform(spans, lambda s: F.when(s["start"] >= s["upto"], F.concat(
         F.substring(text, s["upto"] + 1, s["start"] - s["upto"]), F.lit(placeholder))).otherwise(""))
     rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
-    clean = F.when(F.col("spans").isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), rest))
-    made = joined.withColumn("clean", clean)
-    changed = {"text": F.col("clean")}
+    clean = F.concat(F.array_join(pieces, ""), rest)
+    made = whole.join(found, "key", "left").withColumn("clean", F.when(spans.isNotNull(), clean))
+    changed = {"text": F.coalesce("clean", kept(docs.columns, "text").cast("string"))}
     if "n_chars" in docs.columns:
-        old = F.col("row")[f"c{docs.columns.index('n_chars')}"]
-        changed["n_chars"] = F.when(F.col("spans").isNull(), old).otherwise(F.length("clean"))
+        changed["n_chars"] = F.when(F.col("clean").isNull(), kept(docs.columns, "n_chars")).otherwise(F.length("clean"))
     return unpack(made, docs.columns, changed)

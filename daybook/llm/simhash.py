@@ -219,8 +219,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first")
     chosen = classes(docs).groupBy("root").agg(first).select(
-        F.col("first.doc_id").alias("keep_id"), F.col("first.mark").alias("keep_mark"))
-    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).withColumn("mark", F.xxhash64("text"))
-    own = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("mark") == F.col("keep_mark"))
-    kept = whole.join(chosen, own, "left_semi").groupBy("doc_id", "mark").agg(F.first("row").alias("row"))
-    return unpack(kept, docs.columns)
+        F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).alias("key"))
+    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).select(
+        F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("key"), "row")
+    # one key column, in which nulls are alike, serves the join and the grouping: the texts move once
+    single = whole.join(chosen, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return unpack(single, docs.columns)
