@@ -42,7 +42,7 @@ BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion menu menubar nav navbar "
-    "navigation breadcrumb breadcrumbs sidebar sidebox aside rail widget footer footnav masthead topbar toolbar cookie cookies consent "
+    "navigation breadcrumb breadcrumbs sidebar sidebox aside rail widget foot footer footnav masthead topbar toolbar cookie cookies consent "
     "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup signin login search form comment "
     "comments commentlist discussion discuss disqus replies reply respond share sharing social related recommended "
     "pagination pager contentinfo complementary skip copyright legal disclaimer".split())
@@ -52,8 +52,12 @@ CONTENT_NAMES = frozenset("article content main maincontent post entry story art
 #: Costs in favour of content.
 OUTSIDE, INSIDE, UNKNOWN = -9.0, 5.0, 0.0
 PER_WORD, MOST_WORDS, SENTENCE, LINKS, BIAS = 0.1, 40, 0.5, 3.0, -1.2
+#: By the innermost element, and for short blocks that read like a site's small print.
+BY_TAG = {"p": 0.5, "h1": 1.0, "h2": 0.8, "h3": 0.6, "h4": 0.5, "h5": 0.4, "h6": 0.4, "blockquote": 0.6, "pre": 0.8, "figcaption": 0.5,
+          "li": 0.8, "dd": 0.8, "dt": 0.8, "td": 0.8, "th": 0.8}
+SMALL_PRINT, SMALL_WORDS, SMALL = re.compile(r"©|\(c\) ?\d|copyright|all rights reserved|privacy policy|terms of (?:use|service)", re.I), 25, -1.5
 #: Costs of parting neighbours: next to each other in one element or not, a block and its element, an element and its own.
-BESIDE, NEXT, WITHIN, UP = 0.6, 0.3, 0.5, 0.3
+BESIDE, NEXT, WITHIN, UP, CONTRAST = 1.0, 0.6, 0.7, 0.6, 0.8
 
 
 @dataclass
@@ -70,6 +74,7 @@ class Block:
     element: int
     hint: float
     linked: int
+    tag: str
 
 
 def _hint(tag: str, attributes: str, above: float) -> float:
@@ -105,7 +110,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         text = " ".join(html.unescape("".join(run)).split())
         if text:
             top = stack[-1]
-            blocks.append(Block(text, top.number, top.hint, linked))
+            blocks.append(Block(text, top.number, top.hint, linked, top.tag))
         run.clear()
         linked = 0
 
@@ -170,8 +175,24 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
 def _cost(block: Block) -> float:
     words = block.text.count(" ") + 1
     ends = block.text[-1] in ".!?:;…\"”»"
-    return (block.hint + PER_WORD * min(words, MOST_WORDS) + SENTENCE * ends
-            - LINKS * min(1.0, block.linked / len(block.text)) + BIAS)
+    small = SMALL if _small(block) else 0.0
+    return (block.hint + BY_TAG.get(block.tag, 0.0) + small + PER_WORD * min(words, MOST_WORDS) + SENTENCE * ends
+            - LINKS * _linked(block) + BIAS)
+
+
+def _tie(a: Block, b: Block, elements: list[Element]) -> float:
+    """The cost of parting neighbours: less the more they differ in links, and if one is small print."""
+    beside = a.element == b.element or elements[a.element].parent == elements[b.element].parent
+    unlike = abs(_linked(a) - _linked(b))
+    return (BESIDE if beside else NEXT) * (1 - CONTRAST * unlike) * (1 - CONTRAST * (_small(a) != _small(b)))
+
+
+def _linked(block: Block) -> float:
+    return min(1.0, block.linked / len(block.text))
+
+
+def _small(block: Block) -> bool:
+    return block.text.count(" ") < SMALL_WORDS and SMALL_PRINT.search(block.text) is not None
 
 
 def minimum_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -255,8 +276,7 @@ def main_text(page: str | None) -> str:
             used.add(number)
     place = {number: n + k for k, number in enumerate(sorted(used))}
     edges = [(i, place[block.element], WITHIN) for i, block in enumerate(blocks)]
-    edges += [(i - 1, i, BESIDE if blocks[i - 1].element == blocks[i].element or
-               elements[blocks[i - 1].element].parent == elements[blocks[i].element].parent else NEXT) for i in range(1, n)]
+    edges += [(i - 1, i, _tie(blocks[i - 1], blocks[i], elements)) for i in range(1, n)]
     edges += [(place[k], place[elements[k].parent], UP) for k in used if elements[k].parent in place]
     side = minimum_cut([_cost(block) for block in blocks] + [0.0] * len(place), edges)
     return " ".join(block.text for block, content in zip(blocks, side) if content)

@@ -40,6 +40,20 @@ PAGES = [
 ]
 
 
+PAGES += [
+    (f"<div id='header'><a href=/>Logo</a></div><div><div class='left sidebar'><h3>Popular</h3><ul><li>{LONG}</ul></div><div class='text'>"
+     f"<h1>Title here</h1><p>{LONG}</p><p>{LONG} {LONG}</p><ul><li>Item one</li><li>Item two</li></ul><blockquote>{LONG}</blockquote>"
+     f"<p>Short.</p></div></div><div id='comments'><p>{LONG}</p></div><div class='foot'>Copyright 2020 Company</div>",
+     f"Title here {LONG} {LONG} {LONG} Item one Item two {LONG} Short."),
+    (f"<div><a href=a>One</a> | <a href=b>Two</a> | <a href=c>Three</a></div><h1>Heading of page</h1><p>{LONG}</p><p>{LONG}</p>"
+     f"<p><a href=x>Read more</a></p><p>{LONG}</p><div>&copy; 2020 Foo</div>", f"Heading of page {LONG} {LONG} {LONG}"),
+    (f"<header><nav><a>A</a></nav></header><main><h1>T</h1><p>{LONG}</p><figure><img><figcaption>Caption words</figcaption></figure>"
+     f"<table><tr><th>H</th><td>1</td></tr></table><pre>code  x</pre><section class='comments'><p>{LONG}</p></section></main><aside>{LONG}</aside>",
+     f"T {LONG} Caption words H 1 code x"),
+    (f"<div class='cookie-consent'><p>{LONG}</p></div><div role='main'><p>{LONG}</p></div><div role='contentinfo'>x {LONG}</div>", LONG),
+]
+
+
 @pytest.mark.parametrize("page, text", PAGES)
 def test_pages(page, text):
     assert html_text.main_text(page) == text
