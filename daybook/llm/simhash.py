@@ -15,7 +15,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import pick, stored, unpack
@@ -218,10 +218,15 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows with a null id come last; of rows with the same id that of the smallest text hash stays, once.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first")
-    chosen = classes(docs).groupBy("root").agg(first).select(
-        F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).alias("key"))
-    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).select(
-        F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("key"), "row")
-    # one key column, in which nulls are alike, serves the join and the grouping: the texts move once
-    single = whole.join(chosen, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    chosen = classes(docs).groupBy("root").agg(first).select(*_key(F.col("first.doc_id"), F.col("first.mark")))
+    whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).select(*_key(F.col("doc_id"), F.xxhash64("text")), "row")
+    # the same columns without nulls serve the join and the grouping, so the texts move once
+    single = whole.join(chosen, KEY, "left_semi").groupBy(*KEY).agg(F.first("row").alias("row"))
     return unpack(single, docs.columns)
+
+
+KEY = ["id", "unnamed", "mark"]
+
+
+def _key(doc_id: Column, mark: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("unnamed"), F.coalesce(mark, F.lit(0)).alias("mark")]
