@@ -12,10 +12,12 @@ earlier tasks.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -30,19 +32,24 @@ from daybook.llm.common import only_cache, pick, stored
 CAPACITY = 2048
 #: Id after each document.
 END = 0
-#: Words whose ids a Python worker remembers; on overflow it starts anew.
-REMEMBERED = 800_000
+#: Words whose ids a Python worker remembers; on overflow it keeps those that it learned first.
+REMEMBERED, COMMON = 800_000, 250_000
+#: Words of the texts that are looked through for new words at once.
+LEARNED = 1 << 14
 #: Pieces in one Arrow batch that goes back to Spark.
 BATCH = 2048
 
+#: ASCII marks; a run of them is one token of the tokenizer's first cut, apart from the letters before it.
+MARKS = string.punctuation
+
 _words: dict[str, dict[str, bytes]] = {}
 
 
 class _Encoder:
     """Ids of texts as little-endian bytes. The tokenizer drops white space and never joins across it, so words between
     blanks are encoded once each and remembered. It also parts letters from punctuation and lowers case, so what a new
-    word of letters (and a comma or full stop) leaves to be encoded is its lower-cased letters; many are encoded as one
-    text, and the ids that end a word show where to part them."""
+    word of letters, with marks after them or not, leaves to be encoded is its lower-cased letters; many are encoded as
+    one text, and the ids that end a word show where to part them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,7 +65,7 @@ class _Encoder:
 
     def _reset(self) -> None:
         self.known.clear()
-        self.known.update({"": b"", **{mark: self._one(mark) for mark in ",."}})
+        self.known[""] = b""
 
     def _one(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -66,8 +73,9 @@ class _Encoder:
     def _learn(self, missing: set[str]) -> None:
         known, plain, odd, new = self.known, [], [], set()
         for word in missing:
-            core, tail = (word[:-1], word[-1]) if word[-1] in ",." else (word, "")
-            if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:  # here lower case is letter by letter
+            core = word.rstrip(MARKS)
+            tail = word[len(core):]
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core):  # lower case is letter by letter
                 core = core.lower()
                 plain.append((word, core, tail))
                 if core not in known:
@@ -89,17 +97,31 @@ class _Encoder:
             else:
                 known.update((core, self._one(core)) for core in cores)
         for word, core, tail in plain:
+            if tail not in known:
+                known[tail] = self._one(tail)
             known[word] = known[core] + known[tail]
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        lot: list[list[str]] = []
+        size = 0
         for text in texts:
-            words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            missing = set(words).difference(self.known)
-            if missing:
-                if len(self.known) > REMEMBERED:
-                    self._reset()
-                    missing = set(words).difference(self.known)
-                self._learn(missing)
+            lot.append((text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
+            size += len(lot[-1])
+            if size >= LEARNED:
+                yield from self._encoded(lot)
+                lot, size = [], 0
+        yield from self._encoded(lot)
+
+    def _encoded(self, lot: list[list[str]]) -> Iterator[bytes]:
+        """The texts of a lot, after all words that are new in it have been learned at once."""
+        missing = set().union(*lot).difference(self.known)
+        if missing:
+            if len(self.known) + len(missing) > REMEMBERED:  # the words learned first are the common ones
+                for word in list(islice(self.known, COMMON, None)):
+                    del self.known[word]
+                missing = set().union(*lot).difference(self.known)
+            self._learn(missing)
+        for words in lot:
             yield b"".join(map(self.known.__getitem__, words))
 
 

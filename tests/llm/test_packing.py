@@ -15,7 +15,7 @@ from daybook.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 NASTY = ["a\x1cb don't I'LL  <|endoftext|>x <|startoftext|> é́   x y 'S", "", None, "  \n", "ΣΑΣ ΑΣ. 123 12a İstanbul. ŉ ß,",
-         "́ a ́b", "<|ENDOFTEXT|> 'S. , . ,. a., word..", "x" * 9000, "word, word. Word", "한글 日本語, ªº. Ⅷ ²", "퟿ é́é́,"]
+         "́ a ́b", "<|ENDOFTEXT|> 'S. , . ,. a., word..", "x" * 9000, "word, word. Word", "word### end.' dog'S' _a_ a_b_ x)). it's, it'S' l'll. '' ' a'' ab<| ab|> cd<|endoftext|>.", "한글 日本語, ªº. Ⅷ ²", "퟿ é́é́,"]
 
 
 @pytest.fixture(scope="module")
