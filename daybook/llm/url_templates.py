@@ -1,8 +1,9 @@
 """URL filter: rules on hosts and paths, and for the rest a tree of path templates judged by labelled pages.
 
-Numbers and hexadecimal ids in a path segment are variables by their looks. Level by level, the children of a node that few
-of its pages take become a wildcard, and so do those whose share of bad labels does not differ from that of their
-siblings by a two-proportion test: what is left apart is statistically its own branch. A template's share of bad labels is
+Numbers and hexadecimal ids in a path segment are variables by their looks. Level by level, the children of a node with few
+pages become a wildcard, and so do those whose share of bad labels does not differ from that of their siblings by a
+two-proportion test: what is left apart is statistically its own branch. No child needs a share of its parent's pages, so a
+large host keeps as small a branch apart as a small one. A template's share of bad labels is
 smoothed toward its host's, and the host's toward that of all pages. The tree is built on counts per distinct path shape.
 """
 
@@ -18,8 +19,10 @@ from daybook.llm.common import pick, stored
 #: Fixed values of the contract: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: A child stays literal only with so many pages, and this share of its parent's.
-SUPPORT, SHARE = 10, 0.05
+#: A child stays literal only with so many pages.
+SUPPORT = 10
+#: Not asked of a child: the plain tree of the tests reads it, and agrees where no branch is below it.
+SHARE = 0.05
 #: Standard errors by which its bad share must differ from its siblings'.
 DISTINCT = 1.96
 #: Segments of a template; what follows is one more segment, a wildcard.
@@ -64,11 +67,10 @@ def templates(shapes: DataFrame) -> DataFrame:
         if level == DEPTH:
             return grown.withColumn("template", F.when(F.size("shape") > DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
         sums = [F.sum(name).alias(name) for name in ("pages", "labels", "bad")]
-        parents = deeper.groupBy("host", "template").agg(*sums).select(
-            "host", "template", *[F.col(name).alias(f"all_{name}") for name in ("pages", "labels", "bad")])
+        parents = deeper.groupBy("host", "template").agg(*[F.sum(name).alias(f"all_{name}") for name in ("labels", "bad")])
         children = deeper.groupBy("host", "template", segment.alias("segment")).agg(*sums).where(F.col("pages") >= SUPPORT)
-        apart = children.join(parents, ["host", "template"]).where(
-            (F.col("pages") >= SHARE * F.col("all_pages")) & _differs()).select("host", "template", "segment", F.lit(True).alias("apart"))
+        apart = children.join(parents, ["host", "template"]).where(_differs()).select(
+            "host", "template", "segment", F.lit(True).alias("apart"))
         named = grown.withColumn("segment", segment).join(apart, ["host", "template", "segment"], "left")
         child = F.when(F.col("apart"), F.col("segment")).otherwise("*")
         grown = stored(named.withColumn("template", F.when(

@@ -107,6 +107,20 @@ def test_tree(frame):
     assert U.judge(frame([], PAGES), frame(labels, LABELS)).count() == 0
 
 
+def test_small_branches_of_a_large_host(frame, monkeypatch):
+    """Bad sections with a fortieth or 3 % of a host's pages, beside clean ones as small."""
+    sections = [("one.org", f"s{'abcdefghij'[i % 10]}{'wxyz'[i // 10]}", i == 7) for i in range(40)]
+    sections += [("ten.org", f"t{'abcdefghij'[i % 10]}{'wxyz'[i // 10]}", i < 10) for i in range(33)]
+    rows = [(host, name, bad) for host, name, bad in sections for _ in range(30)]
+    pages = [(i, f"http://{host}/{name}/{i}") for i, (host, name, _) in enumerate(rows)]
+    labels = [(i, int(not bad), 0) for i, (_, _, bad) in enumerate(rows)]
+    out = got(U.judge(frame([(*p, "") for p in pages], PAGES), frame(labels, LABELS)))
+    monkeypatch.setattr(U, "SHARE", 0)  # of the plain tree
+    assert out == plain(pages, labels)
+    blocked = {row[0] for row in out if row[4] == "block"}
+    assert blocked == {i for i, (_, _, bad) in enumerate(rows) if bad} and len(blocked) == 330
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     pages = [(p.page_id, p.url) for p in spark.read.parquet(f"{folder}/pages.parquet").collect()]
