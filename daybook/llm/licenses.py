@@ -47,6 +47,114 @@ TEMPLATES = {
     "CC-BY-NC-SA-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
 }
 
+_GNU = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.0": ("Library General", "2"),
+        "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3")}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
+
+
+def _gnu() -> dict[str, str]:
+    """The headers, notices and marked sentences of the GNU licences, which differ by a word or two."""
+    warranty = ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+                "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+    found = {"GNU warranty": warranty}
+    for name, (kind, version) in _GNU.items():
+        thing = "library" if version != "3" and "LGPL" in name else "program"
+        own, family = f"GNU {kind} Public License", name.rsplit("-", 1)[0]
+        start = f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the {own}"
+        later = f"{start} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+        more = f"See the {own} for more details."
+        copy = f"You should have received a copy of the {own} along with this {thing}."
+        found |= {
+            name: later, f"{name}-only": f"{start} version {version} as published by the Free Software Foundation.",
+            f"{name} header": f"{later} {warranty.replace('program', thing)} {more} {copy} If not, see https://www.gnu.org/licenses/.",
+            f"{name} notice": f"This work is licensed under the {own}, version {version}.",
+            f"{name} short notice": f"Licensed under the {own} v{version if '.' in version else version + '.0'}."}
+        if kind != "Library General":
+            found |= {f"{family} warranty": f"{warranty} {more}", f"{family} details": more, f"{family} copy": copy.replace("library", "program")}
+    return found
+
+
+def _creative_commons() -> dict[str, str]:
+    """Creative Commons' own wording and short notices, by licence and version."""
+    found = {}
+    for code, title in _CC.items():
+        for version, place in _CC_VERSIONS.items():
+            if version != "4.0":
+                title = title.replace("NoDerivatives", "NoDerivs")
+            found[f"CC-{code}-{version}"] = f"This work is licensed under a Creative Commons {title} {version} {place} License."
+            found[f"CC-{code}-{version} notice"] = f"Licensed under CC {code} {version}."
+            found[f"CC-{code}-{version} short"] = f"This work is licensed under CC {code} {version}."
+            found[f"CC-{code}-{version} title"] = f"Creative Commons {title} {version} {place} (CC {code} {version})"
+            found[f"CC-{code}-{version} site"] = (
+                f"Except where otherwise noted, content on this site is licensed under a Creative Commons {title} {version} {place} License.")
+    return found
+
+
+_BSD_SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+_BSD_BINARY = ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+               "disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission.")
+_APACHE_WARRANTY = ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+                    "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.")
+_MIT_CONDITION = ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+                  "the Software.")
+
+#: The common licence families beside ``TEMPLATES``, which the SQL holds: the nearest names a text, so near relatives keep their names.
+FAMILIES = {name: text for name, text in (_gnu() | _creative_commons() | {
+    "GPL-2.0 title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-2.0 preamble": "The licenses for most software are designed to take away your freedom to share and change it.",
+    "GPL-3.0 title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "GPL-3.0 preamble": "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    "LGPL-2.1 title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0 title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-3.0 preamble": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the "
+                         "GNU General Public License, supplemented by the additional permissions listed below.",
+    "AGPL-3.0 title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "AGPL-3.0 preamble": "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+                         "specifically designed to ensure cooperation with the community in the case of network server software.",
+    "MIT conditions": _MIT_CONDITION,
+    "MIT grant": f"{TEMPLATES['MIT']} {_MIT_CONDITION}",
+    "Apache-2.0 warranty": _APACHE_WARRANTY,
+    "Apache-2.0 header": f"{TEMPLATES['Apache-2.0']} {_APACHE_WARRANTY} See the License for the specific language governing permissions and "
+                         "limitations under the License.",
+    "Apache-2.0 title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "Apache-2.0 OR MIT": "Licensed under either of Apache License, Version 2.0 or MIT license at your option.",
+    "BSD source clause": _BSD_SOURCE,
+    "BSD binary clause": _BSD_BINARY,
+    "BSD-2-Clause": f"{TEMPLATES['BSD']} 1. {_BSD_SOURCE} 2. {_BSD_BINARY}",
+    "BSD-3-Clause": f"{TEMPLATES['BSD']} 1. {_BSD_SOURCE} 2. {_BSD_BINARY} 3. {_BSD_NAMES}",
+    "BSD-3-Clause names": _BSD_NAMES,
+    "BSD-4-Clause advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                      "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "MPL-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this "
+               "file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/",
+    "EPL-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+               "accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+               "is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "CC0-1.0 dedication": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+                          "to this software to the public domain worldwide.",
+    "CC0-1.0 title": "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication",
+    "CC-BY article": "This is an open access article distributed under the terms of the Creative Commons Attribution License, which permits "
+                     "unrestricted use, distribution, and reproduction in any medium, provided the original work is properly cited.",
+    "Zlib": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+            "redistribute it freely, subject to the following restrictions:",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+               "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+               "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+               "is furnished to do so, all subject to the following:",
+    "BSL-1.0 notice": "Distributed under the Boost Software License, Version 1.0.",
+    "WTFPL": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is "
+             "allowed as long as the name is changed.",
+}).items() if name not in TEMPLATES}
+
 
 def bigrams_of(template: str) -> list[str]:
     words = re.findall(r"[^\W_]+", template.lower())
@@ -80,7 +188,7 @@ def bigrams(text: Column) -> Column:
     return F.coalesce(F.get(pairs, F.lit(0)), F.array().cast("array<string>"))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES | FAMILIES, least: float = LEAST) -> DataFrame:
     """``doc_id, license, dice, passages``: the licences that a document names, with the best score and how many passages.
 
     A passage counts for its most similar template (of equal ones the first by name), once for each different wording.
@@ -95,12 +203,20 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     cut = near.select("doc_id", F.explode(passages(F.col("text"))).alias("passage")).select(
         "doc_id", bigrams(F.col("passage")).alias("own")).where(F.arrays_overlap("own", every))
 
-    def score(name: str) -> Column:
-        low, high = bounds(len(sets[name]), least)
-        common = F.size(F.array_intersect("own", F.array(*[F.lit(x) for x in sets[name]])))
-        dice = F.when(F.size("own").between(low, high), 2.0 * common / (F.size("own") + len(sets[name]))).otherwise(0.0)
-        return F.struct((-dice).alias("order"), F.lit(name).alias("license"))
-
-    best = cut.select("doc_id", F.array_min(F.array(*[score(name) for name in sets])).alias("best"))
+    rows = [(name, own, *bounds(len(own), least)) for name, own in sets.items()]
+    table = F.array(*[F.struct(F.lit(name).alias("license"), F.split(F.lit("|".join(own)), r"\|").alias("pairs"), F.lit(low).alias("low"),
+                               F.lit(high).alias("high")) for name, own, low, high in rows])
+    # one expression for all templates, as one each would be beyond what Spark compiles; a passage meets those whose anchors it has
+    hooks: dict[str, list[str]] = {}
+    for place, (_, own, _, _) in enumerate(rows, 1):
+        for anchor in anchors(own, least):
+            hooks.setdefault(anchor, []).append(str(place))
+    hooked = F.split(F.array_join(F.transform(F.array_intersect("own", every), lambda anchor: F.element_at(
+        F.array(*[F.lit(",".join(hooks[x])) for x in sorted(hooks)]), F.array_position(every, anchor).cast("int"))), ","), ",")
+    fitting = F.filter(F.transform(F.array_distinct(hooked), lambda place: F.element_at(table, place.cast("int"))),
+                       lambda t: F.size("own").between(t["low"], t["high"]))
+    scores = F.transform(fitting, lambda t: F.struct(
+        (-2.0 * F.size(F.array_intersect("own", t["pairs"])) / (F.size("own") + F.size(t["pairs"]))).alias("order"), t["license"].alias("license")))
+    best = cut.select("doc_id", F.array_min(scores).alias("best"))
     return best.where(F.col("best.order") <= -least).groupBy("doc_id", F.col("best.license").alias("license")).agg(
         F.max(-F.col("best.order")).alias("dice"), F.count(F.lit(1)).alias("passages"))

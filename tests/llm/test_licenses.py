@@ -41,6 +41,47 @@ def test_against_all_pairs(frame):
     assert licenses.scan(frame([(1, t["BSD"], "x")], SCHEMA + ", TEXT string")).first().license == "BSD"
 
 
+LATER = "(at your option) any later version."
+OWN = {
+    "LGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or " + LATER,
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+                "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or " + LATER,
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                "License as published by the Free Software Foundation, either version 3 of the License, or " + LATER,
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+               "as published by the Free Software Foundation; either version 2 of the License, or " + LATER,
+    "GPL-2.0-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+                    "License version 2 as published by the Free Software Foundation.",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "CC-BY-4.0": "This work is licensed under the Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-3.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.",
+    "CC0-1.0": "To the extent possible under law, Jo Doe has waived all copyright and related or neighboring rights to this work.",
+    "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                      "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+               "available at http://www.eclipse.org/legal/epl-2.0",
+    "BSD-3-Clause names": "Neither the name of Acme nor the names of its contributors may be used to endorse or promote products derived from "
+                          "this software without specific prior written permission.",
+}
+
+
+def test_families_keep_their_names(frame, monkeypatch):
+    rows = [*enumerate(OWN.values()), (100, licenses.TEMPLATES["GPL-3.0"])]
+    found = got(licenses.scan(frame(rows, SCHEMA)))
+    assert {name for doc, name in found if doc == 100} == {"GPL-3.0"}
+    for i, name in enumerate(OWN):
+        assert {own.split(" ")[0] for doc, own in found if doc == i} == {name.split(" ")[0]}
+        assert (i, name) in found
+    every = list((licenses.TEMPLATES | licenses.FAMILIES).items())
+    rows += [(1000 + i, f"Prose before it.\n{text}\n\nAnd after.") for i, (_, text) in enumerate(every)]
+    monkeypatch.setattr(licenses, "TEMPLATES", dict(every))
+    found = got(licenses.scan(frame(rows, SCHEMA)))
+    assert found == plain(rows)
+    assert all(found[1000 + i, name][0] == 1 for i, (name, _) in enumerate(every))
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
