@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    chat, classifier, decontaminate, html_text, licenses, line_rules, packing, secrets, simhash, sql, url_templates)
+    chat, classifier, decontaminate, html_text, importance, licenses, line_rules, negatives, packing, ring, secrets, simhash, sql,
+    url_templates)
 from daybook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,9 @@ SQL: dict[str, str] = {
     "op1_license_scans": sql.LICENSES,
     "op4_chat_formatting": sql.CHAT,
     "op8_quality_rules": sql.RULES,
+    "op11_ring_sharding": sql.SHARDS,
+    "op12_importance_resampling": sql.IMPORTANCE,
+    "op13_hard_negatives": sql.NEGATIVES,
 }
 
 
@@ -83,3 +87,19 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op11_ring_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return ring.places(table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.weights(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"))

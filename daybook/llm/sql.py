@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import chat, licenses, line_rules
+from daybook.llm import chat, crc, importance, licenses, line_rules, negatives, ring
 
 _ESCAPE = chat.CONTROL.replace("++", "*").replace("*+", "*")
 
@@ -77,3 +77,103 @@ RULES = f"""
                     FROM figures)
     SELECT *, NOT base_failed AND {_LEFT} >= {line_rules.LEAST_WORDS} AND {_LEFT} >= {line_rules.LEAST_SHARE} * n_words AS kept FROM failed
 """
+
+#: CRC-32 byte by byte; ``crc_table`` is built from the polynomial.
+_CRC_TABLE = f"""crc_table AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                 lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {crc.POLYNOMIAL}) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc(column: str) -> str:
+    octets = f"list_transform(range(1, 2 * strlen({column}), 2), lambda i: CAST('0x' || substr(hex({column}), i, 2) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(4294967295, {octets}), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _hex(text: str, digits: int) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
+
+
+def _shards(shards: int) -> str:
+    """The ring in rounds: in round ``step`` each arc's rest goes to the shard of the node so many places on."""
+    used = [f"used{s} + sum(CASE WHEN owner = {s} THEN taken ELSE 0 END) OVER () AS used{s}" for s in range(shards)]
+    room = "CASE owner " + " ".join(f"WHEN {s} THEN total // {shards} + CAST({s} < total % {shards} AS INT) - used{s}" for s in range(shards)) + " END"
+    before = "CASE owner " + " ".join(f"WHEN {s} THEN used{s}" for s in range(shards)) + " END"
+    names = ", ".join(f"used{s}" for s in range(shards))
+    nodes = shards * ring.NODES
+    return f"""
+    WITH RECURSIVE {_CRC_TABLE},
+         docs AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS text FROM documents),
+         sums AS (SELECT text, {_crc('text')} AS text_crc32 FROM (SELECT DISTINCT text FROM docs), crc_table),
+         keyed AS (SELECT doc_id, size, text_crc32, {_hex("coalesce(doc_id::VARCHAR, '')", ring.GRID_DIGITS)} AS place,
+                          row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1 AS copy FROM docs JOIN sums USING (text)),
+         nodes AS (SELECT row_number() OVER (ORDER BY place, owner, copy) - 1 AS node, owner, place FROM (
+                       SELECT s AS owner, c AS copy, {_hex("s || '/' || c", ring.GRID_DIGITS)} AS place
+                       FROM range({shards}) AS a(s), range({ring.NODES}) AS b(c))),
+         homes AS (SELECT place, min(node) AS node FROM nodes GROUP BY place),
+         arcs AS (SELECT k.*, coalesce(h.node, 0) AS node FROM keyed k ASOF LEFT JOIN homes h ON k.place <= h.place),
+         turned AS (SELECT *, {_hex(f"coalesce(doc_id::VARCHAR, '') || '/' || size || '/' || text_crc32 || '/' || copy // {ring.LOT}", ring.TURN_DIGITS)} AS turn FROM arcs),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY turn, doc_id, size, text_crc32, copy) - 1 AS rank FROM turned),
+         demand AS (SELECT node, count(r.rank) AS n FROM nodes LEFT JOIN ranked r USING (node) GROUP BY node),
+         flow AS (
+             SELECT 0 AS step, node, n AS rest, CAST(0 AS BIGINT) AS first, CAST(0 AS BIGINT) AS taken, -1 AS owner, CAST(0 AS BIGINT) AS base,
+                    CAST(sum(n) OVER () AS BIGINT) AS total, {', '.join(f'CAST(0 AS HUGEINT) AS used{s}' for s in range(shards))} FROM demand
+             UNION ALL
+             SELECT step + 1, node, rest - taken, first, taken, owner, base, total, {', '.join(used)}
+             FROM (SELECT *, CAST(greatest(0, least(rest, room - ahead)) AS BIGINT) AS taken, CAST(used + least(ahead, room) AS BIGINT) AS base
+                   FROM (SELECT f.step, f.node, f.rest, f.first + f.taken AS first, f.total, {names}, n.owner, {room.replace('owner', 'n.owner')} AS room,
+                                {before.replace('owner', 'n.owner')} AS used,
+                                coalesce(sum(f.rest) OVER (PARTITION BY n.owner ORDER BY f.node ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+                         FROM flow f JOIN nodes n ON n.node = (f.node + f.step) % {nodes}
+                         WHERE f.step < {nodes} AND EXISTS (SELECT 1 FROM flow WHERE rest > 0))))
+    SELECT r.doc_id, r.size, r.text_crc32, 'rows' AS law, CAST(f.owner AS INTEGER) AS shard, f.base + r.rank - f.first AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard, CAST(h.owner AS INTEGER) AS home
+    FROM ranked r JOIN flow f ON r.node = f.node AND r.rank >= f.first AND r.rank < f.first + f.taken JOIN nodes h ON h.node = r.node
+"""
+
+
+SHARDS = _shards(8)
+
+_RUNS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+IMPORTANCE = f"""
+    WITH {_CRC_TABLE},
+         docs AS (SELECT row_number() OVER () AS r, doc_id, {_RUNS} AS words FROM documents),
+         own AS (SELECT r, unnest(words) AS word FROM docs),
+         aim AS (SELECT unnest({_RUNS}) AS word FROM benchmark),
+         buckets AS (SELECT word, {_crc('word')} % {importance.BUCKETS} AS bucket
+                     FROM (SELECT word FROM own UNION SELECT word FROM aim), crc_table),
+         held AS (SELECT bucket, count(*) AS n FROM own JOIN buckets USING (word) GROUP BY bucket),
+         wanted AS (SELECT bucket, count(*) AS n FROM aim JOIN buckets USING (word) GROUP BY bucket),
+         totals AS (SELECT (SELECT count(*) FROM own) AS held, (SELECT count(*) FROM aim) AS wanted),
+         gains AS (SELECT b.bucket, CAST(floor({importance.SCALE} * ln(CAST((coalesce(w.n, 0) + 1) * (t.held + {importance.BUCKETS}) AS DOUBLE)
+                       / ((coalesce(h.n, 0) + 1) * (t.wanted + {importance.BUCKETS})))) AS BIGINT) AS gain
+                   FROM (SELECT DISTINCT bucket FROM buckets) b LEFT JOIN held h USING (bucket) LEFT JOIN wanted w USING (bucket), totals t),
+         means AS (SELECT r, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+                   FROM own JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+         scored AS (SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-{importance.SCALE} * ln(
+                        -ln((CAST('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+                    FROM docs LEFT JOIN means USING (r)),
+         placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+                    FROM scored WHERE n_features >= {importance.LEAST_WORDS})
+    SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * {importance.PERCENT} // 100 THEN rank END AS rank
+    FROM scored LEFT JOIN placed USING (r)
+"""
+
+NEGATIVES = f"""
+    WITH taking AS (
+             SELECT vec_id, CASE WHEN vec_id % {negatives.MOVED} = 0 THEN (label + 1) % {negatives.LABELS} ELSE label END AS label,
+                    list_transform(embedding, lambda x: floor({negatives.SCALE} * CAST(x AS DOUBLE))) AS v
+             FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         pairs AS (SELECT a.vec_id AS anchor_id, a.label AS own, a.v AS av, r.label = a.label AS same, r.vec_id AS id,
+                          CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+                   FROM (SELECT DISTINCT * FROM taking WHERE vec_id % {negatives.EVERY} = 0) a JOIN taking r ON a.vec_id <> r.vec_id),
+         near AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, own, av ORDER BY score DESC, id) AS place FROM pairs WHERE same),
+         found AS (SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (
+                              PARTITION BY p.anchor_id, p.own, p.av, p.place ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+                          n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+                   FROM near p JOIN pairs n ON p.anchor_id = n.anchor_id AND p.own = n.own AND p.av = n.av AND NOT n.same
+                        AND {negatives.LOW} * p.score <= 100 * n.score AND 100 * n.score <= {negatives.HIGH} * p.score
+                   WHERE p.place <= {negatives.POSITIVES})
+    SELECT * FROM found WHERE rank <= {negatives.NEGATIVES}
+"""
