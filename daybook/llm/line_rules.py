@@ -1,9 +1,9 @@
 """Quality rules: figures of each text, and lines that too many documents of a host share.
 
-A line, lower-cased, digits as 0, blanks as one, is hashed. It is above the limits if at least ``SHARED`` different texts
-of its host hold it and these are more than ``SHARE`` of the host's different texts; exact copies of a text count once.
-Such lines are removed, and a document is rejected if too little is left. The counts are grouped sums that merge before
-the shuffle; a line that a third of all documents hold is one row per task there.
+A line, lower-cased, digits as 0, blanks as one, is hashed. It is above the limit if at least ``SHARED`` documents of its
+host hold it, and more than ``SHARE`` of the host's documents: the share keeps the rule alike at every size, the count keeps
+it off small hosts. Such lines are removed, and a document is rejected if too little is left, copies included. The counts
+are grouped sums that merge before the shuffle; a line that a third of all documents hold is one row per task there.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.common import kept, pick, stored, text_of, unpack, words_of
 
-SHARED, SHARE = 20, 0.2
+SHARED, SHARE = 20, 0.01
 #: Words, and share of its words, that a document keeps at least.
 LEAST_WORDS, LEAST_SHARE = 10, 0.5
 WINDOW = 5
@@ -71,43 +71,43 @@ def _marked(docs: DataFrame, row: bool = False) -> DataFrame:
 
 
 def _shared(seen: DataFrame) -> DataFrame:
-    """``of, of_host, of_mark, shared``: the hashes of the lines above the limits in each document that has one."""
-    lines = seen.select("doc_id", "host", "mark", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    texts = seen.select("host", "mark").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    holders = lines.select("host", "line", "mark").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
-    above = stored(holders.where(F.col("holders") >= SHARED).join(texts, "host").where(
-        F.col("holders") > SHARE * F.col("texts")).select("host", "line"), "shared-lines")
-    return lines.join(above, ["host", "line"]).groupBy("doc_id", "host", "mark").agg(F.collect_set("line").alias("shared")).select(
-        F.col("doc_id").alias("of"), F.col("host").alias("of_host"), F.col("mark").alias("of_mark"), "shared")
-
-
-def _same() -> Column:
-    return (F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("host") == F.col("of_host")) & (F.col("mark") == F.col("of_mark")))
+    """``at, n_removed, shared``: of each row that has lines above the limits, the words in these lines and their hashes."""
+    lines = seen.select("at", "host", F.explode("lines").alias("x")).select("at", "host", "x.line", "x.words")
+    own = seen.select("host", "doc_id", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
+    documents = seen.select("host", "doc_id").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    holders = own.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
+    above = stored(holders.where(F.col("holders") >= SHARED).join(documents, "host").where(
+        F.col("holders") > SHARE * F.col("documents")).select("host", "line"), "shared-lines")
+    return lines.join(above, ["host", "line"]).groupBy("at").agg(
+        F.sum("words").alias("n_removed"), F.collect_set("line").alias("shared"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Figures and verdict for every row of ``docs`` (``doc_id``, ``source``, ``text``), and the hashes of its shared lines.
 
     Null text counts as empty, and a document without words is rejected; a null source is the empty source; null ids are
-    kept; repeated rows come out as often and count once for the lines. An empty table gives an empty one. The text is read
-    once; what follows works on figures and line hashes.
+    kept and count as one document; repeated rows come out as often and count once for the lines, and copies under other
+    ids count each. An empty table gives an empty one; very long texts and lines are read whole. The text is read once; what
+    follows works on figures and line hashes.
     """
     text = F.col("text")
     lines = F.filter(F.transform(F.split(normal(text), "\n"), lambda line: F.struct(
         line_hash(line).alias("line"), F.size(words_of(line)).alias("words"))), lambda x: x["words"] > 0)
-    seen = stored(figures(_marked(docs).withColumn("lines", lines)).drop("text"), "figures")
-    removed = F.aggregate(F.filter("lines", lambda x: F.array_contains("shared", x["line"])), F.lit(0).cast("long"),
-                          lambda total, x: total + x["words"])
+    seen = stored(figures(_marked(docs).withColumn("lines", lines)).drop("text").withColumn("at", F.monotonically_increasing_id()), "figures")
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed")
-    return seen.join(_shared(seen), _same(), "left").withColumn("n_removed", F.coalesce(removed, F.lit(0))).withColumn(
-        "base_failed", base).select(
+    return seen.drop("lines").join(_shared(seen), "at", "left").withColumn(
+        "n_removed", F.coalesce("n_removed", F.lit(0).cast("long"))).withColumn("base_failed", base).select(
         "doc_id", "host", "mark", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~base & (left >= LEAST_WORDS) & (left >= LEAST_SHARE * F.col("n_words"))).alias("kept"), "n_removed", "shared")
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that pass, without their shared lines, all columns kept; ``n_chars``, if there, follows the text."""
+    """The documents that pass, without their shared lines, all columns kept; ``n_chars``, if there, follows the text.
+
+    Rows with a null text have no words and go; null ids and sources, repeats, long texts and an empty table are as in
+    :func:`judge`. Text of a document without a shared line stays as it is; columns of any name go along.
+    """
     key = F.struct("doc_id", "host", "mark").alias("key")  # nulls in it are alike
     verdict = judge(docs).where("kept").select(key, "shared").groupBy("key").agg(F.first("shared").alias("shared"))
     passed = _marked(docs, row=True).select(key, "row").join(verdict, "key")

@@ -59,13 +59,13 @@ RULES = f"""
                          SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM worded WHERE len(words) >= 5)),
          again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, own) AS n FROM windows) WHERE n > 1),
          covered AS (SELECT r, count(DISTINCT i + d) AS n FROM again, range(5) AS t(d) GROUP BY r),
-         lines AS (SELECT r, host, text, unnest(string_split(text, chr(10))) AS line FROM docs),
+         lines AS (SELECT r, doc_id, host, unnest(string_split(text, chr(10))) AS line FROM docs),
          filled AS (SELECT *, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS own
                     FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
          doubled AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY r),
-         texts AS (SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host),
-         shared AS (SELECT host, own FROM filled JOIN texts USING (host) GROUP BY host, own
-                    HAVING count(DISTINCT text) >= {line_rules.SHARED} AND count(DISTINCT text) > {line_rules.SHARE} * any_value(texts.n)),
+         hosts AS (SELECT host, count(DISTINCT doc_id) AS n FROM docs GROUP BY host),
+         shared AS (SELECT host, own FROM filled JOIN hosts USING (host) GROUP BY host, own
+                    HAVING count(DISTINCT doc_id) >= {line_rules.SHARED} AND count(DISTINCT doc_id) > {line_rules.SHARE} * any_value(hosts.n)),
          removed AS (SELECT r, sum(len(string_split(own, ' '))) AS n FROM filled JOIN shared USING (host, own) GROUP BY r),
          figures AS (
              SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,

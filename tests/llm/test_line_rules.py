@@ -25,18 +25,18 @@ def normal(line):
 
 def judged(rows):
     """doc rows (id, text, source) -> figures and verdicts."""
-    texts, holders = defaultdict(set), defaultdict(set)
-    for _, text, source in rows:
-        texts[source or ""].add(text or "")
+    hosts, holders = defaultdict(set), defaultdict(set)
+    for doc, text, source in rows:
+        hosts[source or ""].add(doc)
         for line in (text or "").split("\n"):
             if normal(line):
-                holders[source or "", normal(line)].add(text or "")
+                holders[source or "", normal(line)].add(doc)
     out = []
     for doc, text, source in rows:
         found = figures(text)
         removed = sum(len(normal(line).split(" ")) for line in (text or "").split("\n") if normal(line)
                       and len(holders[source or "", normal(line)]) >= 20
-                      and len(holders[source or "", normal(line)]) > 0.2 * len(texts[source or ""]))
+                      and len(holders[source or "", normal(line)]) > line_rules.SHARE * len(hosts[source or ""]))
         failed = found[0] < 10 or 100 * found[4] > 20 * found[0]
         left = found[0] - removed
         out.append((doc, *found, failed, not failed and left >= 10 and left >= 0.5 * found[0], removed))
@@ -69,11 +69,23 @@ def shared_rows():
     return rows
 
 
-def test_shared_lines(frame):
+def test_shared_lines(frame, monkeypatch):
     rows = shared_rows()
+    assert all(row[-2] is False and row[-1] == 10 for row in judged(rows) if 200 <= row[0] < 260)  # copies count as documents
     want = judged(rows)
     assert {row[-1] for row in want} >= {0, 2, 4} and {row[-2] for row in want} == {True, False}
     assert plain(line_rules.judge(frame([(i, t, "en", s, 0) for i, t, s in rows], SCHEMA))) == want
+    monkeypatch.setattr(line_rules, "SHARE", 0.55)  # one of the two menu lines is beyond it
+    want = judged(rows)
+    assert {row[-1] for row in want if row[0] < 150} in ({0, 2}, {0, 4})
+    assert plain(line_rules.judge(frame([(i, t, "en", s, 0) for i, t, s in rows], SCHEMA))) == want
+
+
+def test_the_rule_acts_on_the_given_tables(spark):
+    found = QUERIES["op8_quality_rules"](spark, "/root/testdata/sf0.1").toPandas()
+    passed = found[~found.base_failed]
+    assert (found.n_removed > 0).sum() > 500
+    assert 0 < (~passed.kept).sum() < 0.02 * len(passed)
 
 
 def test_clean(frame):
