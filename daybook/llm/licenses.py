@@ -52,11 +52,12 @@ _GNU = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.0": ("
 _CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
        "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
        "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+#: Versions and their names.
 _CC_VERSIONS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
 
 
 def _gnu() -> dict[str, str]:
-    """The headers, notices and marked sentences of the GNU licences, which differ by a word or two."""
+    """The headers, notices and marked sentences of the GNU licences, which differ by a word or two. The wording is fixed."""
     warranty = ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
                 "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
     found = {"GNU warranty": warranty}
@@ -78,7 +79,7 @@ def _gnu() -> dict[str, str]:
 
 
 def _creative_commons() -> dict[str, str]:
-    """Creative Commons' own wording and short notices, by licence and version."""
+    """Creative Commons' own wording and short notices, by licence and version. The wording is fixed."""
     found = {}
     for code, title in _CC.items():
         for version, place in _CC_VERSIONS.items():
@@ -93,6 +94,7 @@ def _creative_commons() -> dict[str, str]:
     return found
 
 
+#: Sentences that several licences share.
 _BSD_SOURCE = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
 _BSD_BINARY = ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
                "disclaimer in the documentation and/or other materials provided with the distribution.")
@@ -103,7 +105,7 @@ _APACHE_WARRANTY = ("Unless required by applicable law or agreed to in writing,
 _MIT_CONDITION = ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
                   "the Software.")
 
-#: The common licence families beside ``TEMPLATES``, which the SQL holds: the nearest names a text, so near relatives keep their names.
+#: The common licence families. The nearest template names a text, so near relatives keep their names.
 FAMILIES = {name: text for name, text in (_gnu() | _creative_commons() | {
     "GPL-2.0 title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
     "GPL-2.0 preamble": "The licenses for most software are designed to take away your freedom to share and change it.",
@@ -155,6 +157,15 @@ FAMILIES = {name: text for name, text in (_gnu() | _creative_commons() | {
              "allowed as long as the name is changed.",
 }).items() if name not in TEMPLATES}
 
+EVERY = TEMPLATES | FAMILIES
+#: Wording that a family shares tells no version. It is reported only of a document that names no licence with such a start.
+SHARED = {"GNU": ("GPL", "LGPL", "AGPL"), "GPL": ("GPL-",), "LGPL": ("LGPL-",), "AGPL": ("AGPL-",), "BSD": ("BSD-",), "CC-BY": ("CC-BY-",)}
+
+
+def license_of(template: str) -> str:
+    """The licence that a template is wording of: its name up to what the template is."""
+    return template if " OR " in template else template.split(" ")[0]
+
 
 def bigrams_of(template: str) -> list[str]:
     words = re.findall(r"[^\W_]+", template.lower())
@@ -188,35 +199,62 @@ def bigrams(text: Column) -> Column:
     return F.coalesce(F.get(pairs, F.lit(0)), F.array().cast("array<string>"))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES | FAMILIES, least: float = LEAST) -> DataFrame:
-    """``doc_id, license, dice, passages``: the licences that a document names, with the best score and how many passages.
+def scan(docs: DataFrame, templates: dict[str, str] = EVERY, least: float = LEAST) -> DataFrame:
+    """``doc_id, license, template, dice, passages``: the licences that a document names, with the nearest template, its score
+    and how many passages name the licence.
 
-    A passage counts for its most similar template (of equal ones the first by name), once for each different wording.
-    Null text counts as empty; rows with a null id are reported under null; rows with the same id are reported together; a
-    document without a licence has no row. Templates are a parameter and sit in the plan as literals. A text without any
-    anchor is done with after its own bigrams; only others are cut into passages.
+    A passage counts for its most similar template (of equal ones the first by name), once for each different wording. Wording
+    that tells only the family (``SHARED``) has a row only where the document names no licence of it. Null text counts as
+    empty; rows with a null id are reported under null; rows with the same id are reported together; a document without a
+    licence has no row, an empty table gives an empty one. Very long texts are read whole: each passage is compared by its
+    own bigrams. Templates are a parameter and sit in the plan as literals. A text without any anchor is done with after its
+    own bigrams; only others are cut into passages.
     """
     sets = {name: bigrams_of(text) for name, text in sorted(templates.items())}
     every = F.array(*[F.lit(x) for x in sorted({x for own in sets.values() for x in anchors(own, least)})])
     texts = pick(docs, {"doc_id": "long", "text": "string"}).select("doc_id", F.lower(text_of()).alias("text"))
     near = texts.where(F.arrays_overlap(bigrams(F.col("text")), every))
-    cut = near.select("doc_id", F.explode(passages(F.col("text"))).alias("passage")).select(
-        "doc_id", bigrams(F.col("passage")).alias("own")).where(F.arrays_overlap("own", every))
+    cut = near.select("doc_id", F.explode(passages(F.col("text"))).alias("passage"))
 
     rows = [(name, own, *bounds(len(own), least)) for name, own in sets.items()]
-    table = F.array(*[F.struct(F.lit(name).alias("license"), F.split(F.lit("|".join(own)), r"\|").alias("pairs"), F.lit(low).alias("low"),
+    table = F.array(*[F.struct(F.lit(name).alias("template"), F.split(F.lit("|".join(own)), r"\|").alias("pairs"), F.lit(low).alias("low"),
                                F.lit(high).alias("high")) for name, own, low, high in rows])
     # one expression for all templates, as one each would be beyond what Spark compiles; a passage meets those whose anchors it has
     hooks: dict[str, list[str]] = {}
     for place, (_, own, _, _) in enumerate(rows, 1):
         for anchor in anchors(own, least):
             hooks.setdefault(anchor, []).append(str(place))
-    hooked = F.split(F.array_join(F.transform(F.array_intersect("own", every), lambda anchor: F.element_at(
-        F.array(*[F.lit(",".join(hooks[x])) for x in sorted(hooks)]), F.array_position(every, anchor).cast("int"))), ","), ",")
-    fitting = F.filter(F.transform(F.array_distinct(hooked), lambda place: F.element_at(table, place.cast("int"))),
-                       lambda t: F.size("own").between(t["low"], t["high"]))
-    scores = F.transform(fitting, lambda t: F.struct(
-        (-2.0 * F.size(F.array_intersect("own", t["pairs"])) / (F.size("own") + F.size(t["pairs"]))).alias("order"), t["license"].alias("license")))
-    best = cut.select("doc_id", F.array_min(scores).alias("best"))
-    return best.where(F.col("best.order") <= -least).groupBy("doc_id", F.col("best.license").alias("license")).agg(
-        F.max(-F.col("best.order")).alias("dice"), F.count(F.lit(1)).alias("passages"))
+    listed = F.array(*[F.lit(",".join(hooks[x])) for x in sorted(hooks)])
+
+    def nearest(own: Column) -> Column:
+        hooked = F.array_distinct(F.split(F.array_join(F.transform(F.array_intersect(own, every), lambda anchor: F.element_at(
+            listed, F.array_position(every, anchor).cast("int"))), ","), ","))
+        fitting = F.filter(F.transform(hooked, lambda place: F.element_at(table, place.cast("int"))),
+                           lambda t: F.size(own).between(t["low"], t["high"]))
+        scores = F.transform(fitting, lambda t: F.struct((-2.0 * F.size(F.array_intersect(own, t["pairs"])) / (
+            F.size(own) + F.size(t["pairs"]))).alias("order"), t["template"].alias("template")))
+        return F.when(F.arrays_overlap(own, every), F.array_min(scores))
+
+    # as a lambda's variable a passage's bigrams are made once; as a column, Spark would write them out at each use
+    best = cut.select("doc_id", F.get(F.transform(F.array(bigrams(F.col("passage"))), nearest), F.lit(0)).alias("best"))
+    names = F.create_map(*[F.lit(x) for name in sets for x in (name, license_of(name))])
+    found = best.where(F.col("best.order") <= -least).groupBy("doc_id", names[F.col("best.template")].alias("license")).agg(
+        F.min("best").alias("best"), F.count(F.lit(1)).alias("passages"))
+    entry = F.struct("license", F.col("best.template").alias("template"), (-F.col("best.order")).alias("dice"), "passages")
+    whole = found.groupBy("doc_id").agg(F.collect_list(entry).alias("all"))  # as many as licences
+    return whole.select("doc_id", F.inline(F.filter("all", lambda own: ~_outdone(own["license"], F.col("all")))))
+
+
+def _outdone(license: Column, every: Column) -> Column:
+    """Whether the licence is shared wording, and a licence of the family is among all."""
+    more = F.lit(False)
+    for family, starts in SHARED.items():
+        more = more | ((license == family) & F.exists(every, lambda other: _starts(other["license"], starts)))
+    return more
+
+
+def _starts(name: Column, starts: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for start in starts:
+        found = found | name.startswith(start)
+    return found

@@ -25,7 +25,8 @@ CHAT = f"""
     FROM marked GROUP BY conv_id
 """
 
-_TEMPLATES = ", ".join(f"('{name}', {licenses.bigrams_of(text)!r})" for name, text in licenses.TEMPLATES.items())
+_TEMPLATES = ", ".join(f"('{name}', '{licenses.license_of(name)}', {licenses.bigrams_of(text)!r})" for name, text in licenses.EVERY.items())
+_OUTDONE = " OR ".join(f"a.license = '{family}' AND starts_with(b.license, '{start}')" for family, starts in licenses.SHARED.items() for start in starts)
 _WORDS = "list_filter(string_split_regex({}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
 
 LICENSES = f"""
@@ -41,13 +42,14 @@ LICENSES = f"""
          worded AS (SELECT doc_id, row_number() OVER () AS n, {_WORDS.format('passage')} AS w FROM passages),
          paired AS (SELECT doc_id, n, unnest(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS pair FROM worded),
          sizes AS (SELECT n, count(*) AS size FROM paired GROUP BY n),
-         templates AS (SELECT name, own, len(own) AS size FROM (VALUES {_TEMPLATES}) AS t(name, own)),
-         parts AS (SELECT name, size, unnest(own) AS pair FROM templates),
-         scored AS (SELECT doc_id, n, name, 2.0 * count(*) / (any_value(s.size) + any_value(t.size)) AS dice
-                    FROM paired JOIN parts t USING (pair) JOIN sizes s USING (n) GROUP BY doc_id, n, name),
-         best AS (SELECT doc_id, n, name, dice, row_number() OVER (PARTITION BY doc_id, n ORDER BY dice DESC, name) AS place FROM scored)
-    SELECT doc_id, name AS license, CAST(max(dice) AS DOUBLE) AS dice, count(*) AS passages
-    FROM best WHERE place = 1 AND dice >= {licenses.LEAST} GROUP BY doc_id, name
+         templates AS (SELECT name, license, own, len(own) AS size FROM (VALUES {_TEMPLATES}) AS t(name, license, own)),
+         parts AS (SELECT name, license, size, unnest(own) AS pair FROM templates),
+         scored AS (SELECT doc_id, n, name, license, 2.0 * count(*) / (any_value(s.size) + any_value(t.size)) AS dice
+                    FROM paired JOIN parts t USING (pair) JOIN sizes s USING (n) GROUP BY doc_id, n, name, license),
+         best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n ORDER BY dice DESC, name) AS place FROM scored),
+         named AS (SELECT doc_id, license, min({{'low': -dice, 'name': name}}).name AS template, CAST(max(dice) AS DOUBLE) AS dice, count(*) AS passages
+                   FROM best WHERE place = 1 AND dice >= {licenses.LEAST} GROUP BY doc_id, license)
+    SELECT * FROM named a WHERE NOT EXISTS (SELECT 1 FROM named b WHERE a.doc_id IS NOT DISTINCT FROM b.doc_id AND ({_OUTDONE}))
 """
 
 _LEFT = "n_words - n_removed"
