@@ -35,6 +35,8 @@ IDENTIFIERS, SECRETS, ENDPOINTS = (1, 3), (0, 2, 4), (5,)
 #: Code points between two parts that belong together.
 REACH = 200
 PLACEHOLDER = "<SECRET>"
+#: Rows that repeat one another and are written out in one go.
+LOT = 4096
 
 
 def _parts(text: Column, kind: str, pattern: str, gate: Column, counts) -> Column:
@@ -70,8 +72,8 @@ def _located(docs: DataFrame) -> DataFrame:
     lists = [F.when(F.size(kind) > 0, steps()).otherwise(none) for kind, (_, steps) in
              zip(KINDS, [*parts, (None, broken)])]
     rows = found.select("*", breaks).select("doc_id", "mark", F.concat(*lists).alias("parts"))
-    once = rows.groupBy("doc_id", "mark").agg(F.collect_list("parts").alias("all")).select(
-        "doc_id", "mark", F.size("all").alias("copies"), F.explode_outer(F.col("all")[0]).alias("part"))
+    once = rows.groupBy("doc_id", "mark").agg(F.first("parts").alias("parts"), F.count(F.lit(1)).alias("copies")).select(
+        "doc_id", "mark", "copies", F.explode_outer("parts").alias("part"))
     of_kind = W.partitionBy("doc_id", "mark", "part.kind").orderBy("part.n")
     end = F.sum(F.col("part.gap") + F.col("part.own")).over(of_kind).cast("int")
     return once.withColumn("end", end).select(
@@ -79,7 +81,7 @@ def _located(docs: DataFrame) -> DataFrame:
         (F.col("end") - F.col("part.own")).alias("start"), "end")
 
 
-def _linked(parts: DataFrame) -> DataFrame:
+def _linked(parts: DataFrame, reach: int) -> DataFrame:
     """The interval join: which parts are reported, by the nearest parts of each class in the same scope."""
     doc = W.partitionBy("doc_id", "mark").orderBy("start", "kind")
     scoped = parts.withColumn("scope", F.count(F.when(F.col("kind") == BREAK, 1)).over(doc))
@@ -90,7 +92,7 @@ def _linked(parts: DataFrame) -> DataFrame:
     def near(kinds: tuple[int, ...]) -> Column:
         left = F.max(F.when(F.col("kind").isin(*kinds), F.col("end"))).over(before)
         right = F.min(F.when(F.col("kind").isin(*kinds), F.col("start"))).over(after)
-        return F.coalesce(F.col("start") - left <= REACH, F.lit(False)) | F.coalesce(right - F.col("end") <= REACH, F.lit(False))
+        return F.coalesce(F.col("start") - left <= reach, F.lit(False)) | F.coalesce(right - F.col("end") <= reach, F.lit(False))
 
     def inside(kinds: tuple[int, ...]) -> Column:
         left = F.max(F.when(F.col("kind").isin(*kinds), F.col("end"))).over(before)
@@ -111,20 +113,22 @@ def _linked(parts: DataFrame) -> DataFrame:
     return sights.withColumn("shown", shown).withColumn("upto", upto)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``doc_id, mark, spans`` for every row of ``docs`` (``doc_id``, ``text``).
 
     ``mark`` is a hash of the text; ``spans`` an array of ``start, kind, end, upto`` by start and kind, where ``kind`` is a
     place in ``KINDS`` and ``upto`` the end of all earlier spans. Null text counts as empty; null ids are kept; rows that
-    repeat come out as often. A document without a span has an empty array. All work on one document is linear in its
-    length but for the sort of its parts.
+    repeat come out as often. A document without a span has an empty array, an empty table gives an empty one. Parts that
+    begin at one place are told apart by kind. Weak parts further apart than ``reach`` are not linked. All work on one
+    document, however long, is linear in its length but for the sort of its parts.
     """
     texts = pick(docs, {"doc_id": "long", "text": "string"}).select("doc_id", text_of().alias("text"))
-    parts = _linked(_located(texts.withColumn("mark", F.xxhash64("text"))))
+    parts = _linked(_located(texts.withColumn("mark", F.xxhash64("text"))), reach)
     span = F.when(F.col("shown").isNotNull(), F.struct("start", "kind", "end", "upto"))
-    return parts.groupBy("doc_id", "mark").agg(
-        F.sort_array(F.collect_list(span)).alias("spans"), F.max("copies").alias("copies")).select(
-        "doc_id", "mark", "spans", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("col")
+    found = parts.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(span)).alias("spans"), F.max("copies").alias("copies"))
+    lots = found.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {LOT}"))))
+    rows = F.least(F.lit(LOT).cast("long"), F.col("copies") - F.col("lot") * LOT).cast("int")
+    return lots.select("doc_id", "mark", "spans", F.explode(F.array_repeat(F.lit(0), rows))).drop("col")
 
 
 def listed(spans: Column) -> Column:
@@ -134,11 +138,15 @@ def listed(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, placeholder: str = PLACEHOLDER) -> DataFrame:
-    """The documents with every reported span replaced; ``n_chars``, if there, follows the new text. No row is dropped."""
+def redact(docs: DataFrame, placeholder: str = PLACEHOLDER, reach: int = REACH) -> DataFrame:
+    """The documents with every reported span replaced; ``n_chars``, if there, follows the new text. No row is dropped.
+
+    A null text stays null; null ids, repeated rows, long texts and an empty table are as in :func:`scan`; of spans that
+    overlap the whole stretch is replaced once. A text without a span, and columns of any name, stay as they are.
+    """
     key = F.struct("doc_id", "mark").alias("key")  # nulls in it are alike
     whole = pick(docs, {"doc_id": "long", "text": "string"}, row=True).withColumn("mark", F.xxhash64(text_of())).select(key, "row")
-    found = scan(docs).where(F.size("spans") > 0).select(key, "spans").groupBy("key").agg(F.first("spans").alias("spans"))
+    found = scan(docs, reach).where(F.size("spans") > 0).select(key, "spans").groupBy("key").agg(F.first("spans").alias("spans"))
     text, spans = F.coalesce(kept(docs.columns, "text").cast("string"), F.lit("")), F.col("spans")
     pieces = F.transform(spans, lambda s: F.when(s["start"] >= s["upto"], F.concat(
         F.substring(text, s["upto"] + 1, s["start"] - s["upto"]), F.lit(placeholder))).otherwise(""))

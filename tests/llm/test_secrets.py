@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.llm import secrets
 from daybook.llm.queries import QUERIES
@@ -137,3 +138,18 @@ def test_links_against_all_pairs(frame):
     assert sum(kind > 2 for spans in want.values() for _, kind, _ in spans) > 100
     for i, text in rows:
         assert got[i] == want[i], text
+
+
+def test_copies_are_counted_not_collected(frame, monkeypatch):
+    docs = frame([(None, "x password=abcdefghijklmnop")] * 3, "doc_id long, text string")
+    plan = secrets._located(docs.withColumn("mark", F.xxhash64("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "first(parts" in plan and "count(1)" in plan
+    assert [len(row.spans) for row in secrets.scan(docs).collect()] == [1, 1, 1]
+    monkeypatch.setattr(secrets, "LOT", 2)
+    assert [len(row.spans) for row in secrets.scan(docs).collect()] == [1, 1, 1]
+    assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_reach_is_a_parameter(frame):
+    docs = frame([(1, "user=jo " + "word " * 100 + "A1b2C3d4E5f6G7h8I9j0K")], "doc_id long, text string")
+    assert [len(secrets.scan(docs, reach).first().spans) for reach in (200, 600)] == [0, 2]
