@@ -1,15 +1,18 @@
 """URL filter: rules on hosts and paths, and for the rest a tree of path templates judged by labelled pages.
 
 Numbers and hexadecimal ids in a path segment are variables by their looks. Level by level, the children of a node with few
-pages become a wildcard, and so do those whose share of bad labels does not differ from that of their siblings by a
+labels become a wildcard, and so do those whose share of bad labels does not differ from that of their siblings by a
 two-proportion test: what is left apart is statistically its own branch. No child needs a share of its parent's pages, so a
-large host keeps as small a branch apart as a small one. A template's share of bad labels is
-smoothed toward its host's, and the host's toward that of all pages. The tree is built on counts per distinct path shape.
+large host keeps as small a branch apart as a small one, and no depth is the last: a branch ends where its labels are too
+few for any test. A template's share of bad labels is smoothed toward its host's, and the host's toward that of all pages.
+The tree is built on counts per distinct path shape.
 """
 
 from __future__ import annotations
 
+import itertools
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +22,10 @@ from daybook.llm.common import pick, stored
 #: Fixed values of the contract: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: A child stays literal only with so many pages.
+#: Labels that a child and its siblings need each for the test, which takes counts as normal.
 SUPPORT = 10
-#: Not asked of a child: the plain tree of the tests reads it, and agrees where no branch is below it.
-SHARE = 0.05
-#: Standard errors by which its bad share must differ from its siblings'.
+#: Standard errors by which a child's bad share must differ from its siblings'.
 DISTINCT = 1.96
-#: Segments of a template; what follows is one more segment, a wildcard.
-DEPTH = 8
 #: Labels that the prior counts for, and the bad share beyond which a template is blocked.
 PRIOR, LIMIT = 5.0, 0.5
 
@@ -57,25 +56,27 @@ def shape_of(path: Column) -> Column:
 
 
 def templates(shapes: DataFrame) -> DataFrame:
-    """``host, shape, template`` from ``host, shape`` (array) ``, pages, labels, bad``, one row per host and shape."""
-    grown = stored(shapes.withColumn("template", F.lit("")), "templates")
-    for level in range(DEPTH + 1):
+    """``host, shape, template`` from ``host, shape`` (array) ``, pages, labels, bad``, one row per host and shape.
+
+    One round per level, while any node has labels enough to part its children. Shapes of other nodes are done with: the
+    rest of their segments are wildcards.
+    """
+    open_, done = stored(shapes.withColumn("template", F.lit("")), "templates"), []
+    for level in itertools.count():
+        node = ["host", "template"]
+        parents = open_.where(F.size("shape") > level).groupBy(*node).agg(*[
+            F.sum(name).alias(f"all_{name}") for name in ("labels", "bad")]).where(F.col("all_labels") >= 2 * SUPPORT)
         segment = F.get("shape", F.lit(level))
-        deeper = grown.where(F.size("shape") > level)
-        if deeper.isEmpty():
-            break
-        if level == DEPTH:
-            return grown.withColumn("template", F.when(F.size("shape") > DEPTH, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
-        sums = [F.sum(name).alias(name) for name in ("pages", "labels", "bad")]
-        parents = deeper.groupBy("host", "template").agg(*[F.sum(name).alias(f"all_{name}") for name in ("labels", "bad")])
-        children = deeper.groupBy("host", "template", segment.alias("segment")).agg(*sums).where(F.col("pages") >= SUPPORT)
-        apart = children.join(parents, ["host", "template"]).where(_differs()).select(
-            "host", "template", "segment", F.lit(True).alias("apart"))
-        named = grown.withColumn("segment", segment).join(apart, ["host", "template", "segment"], "left")
-        child = F.when(F.col("apart"), F.col("segment")).otherwise("*")
-        grown = stored(named.withColumn("template", F.when(
-            F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), child))).select(grown.columns), "templates")
-    return grown
+        children = open_.join(parents, node).where(segment.isNotNull()).groupBy(*node, segment.alias("segment")).agg(
+            F.sum("labels").alias("labels"), F.sum("bad").alias("bad"), F.first("all_labels").alias("all_labels"), F.first("all_bad").alias("all_bad"))
+        nodes = children.select(*node, "segment", _differs().alias("apart"))
+        named = stored(open_.withColumn("segment", segment).join(nodes, [*node, "segment"], "left"), "named")
+        step = F.when(F.col("apart"), F.col("segment")).otherwise("*")
+        rest = F.concat("template", F.repeat(F.lit("/*"), F.greatest(F.size("shape") - level, F.lit(0))))
+        done.append(named.where("apart IS NULL").withColumn("template", rest).select(shapes.columns + ["template"]))
+        open_ = named.where("apart IS NOT NULL").withColumn("template", F.concat("template", F.lit("/"), step)).select(shapes.columns + ["template"])
+        if open_.isEmpty():
+            return reduce(DataFrame.union, done)
 
 
 def _differs() -> Column:
@@ -83,7 +84,7 @@ def _differs() -> Column:
     rest, pool = F.col("all_labels") - F.col("labels"), F.col("all_bad") / F.col("all_labels")
     error = F.sqrt(pool * (1 - pool) * (1 / F.col("labels") + 1 / rest))
     apart = F.abs(F.col("bad") / F.col("labels") - (F.col("all_bad") - F.col("bad")) / rest) > DISTINCT * error
-    return F.when((F.col("labels") > 0) & (rest > 0), apart).otherwise(False)
+    return F.when((F.col("labels") >= SUPPORT) & (rest >= SUPPORT), apart).otherwise(False)
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -92,7 +93,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]]
     ``labels`` (``doc_id``, ``quality``, ``toxic``) belong to the page of that id; bad is quality 0 or toxic 1, a label
     with neither known is left out, and of several for one page the worst counts. A null url, or one without ``://``, has
     an empty host and path, and a template of its own. Null ids are kept and have no label; repeated rows count and come
-    out as often. Without any label everything beyond the rules is allowed.
+    out as often. Urls are read whole, however long. Without any label everything beyond the rules is allowed; no pages
+    give an empty table. Columns of other names are not read.
     """
     bad = F.greatest(1 - F.col("quality"), F.col("toxic"))
     judged = pick(labels, {"doc_id": "long", "quality": "int", "toxic": "int"}).groupBy("doc_id").agg(F.max(bad).alias("bad"))

@@ -36,10 +36,6 @@ def plain(pages, labels):
         shape = re.sub(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8,}(?![0-9A-Za-z])", "{h}", path)
         rows.append([page, host, path, [s for s in re.sub("[0-9]+", "{n}", shape).split("/") if s], worst.get(page), ""])
     for level in range(max((len(r[3]) for r in rows), default=0)):
-        if level == U.DEPTH:
-            for r in rows:
-                r[5] += "/**" if len(r[3]) > U.DEPTH else ""
-            break
         node, child = defaultdict(list), defaultdict(list)
         deep = [r for r in rows if len(r[3]) > level]
         for r in deep:
@@ -50,7 +46,7 @@ def plain(pages, labels):
             every = node[host, template]
             own, all_ = [b for b in bad if b is not None], [b for b in every if b is not None]
             rest, pool = len(all_) - len(own), sum(all_) / len(all_) if all_ else 0
-            if len(bad) >= U.SUPPORT and len(bad) >= U.SHARE * len(every) and own and rest:
+            if len(own) >= U.SUPPORT and rest >= U.SUPPORT:
                 error = (pool * (1 - pool) * (1 / len(own) + 1 / rest)) ** 0.5
                 if abs(sum(own) / len(own) - (sum(all_) - sum(own)) / rest) > U.DISTINCT * error:
                     kept.add((host, template, segment))
@@ -107,7 +103,7 @@ def test_tree(frame):
     assert U.judge(frame([], PAGES), frame(labels, LABELS)).count() == 0
 
 
-def test_small_branches_of_a_large_host(frame, monkeypatch):
+def test_small_branches_of_a_large_host(frame):
     """Bad sections with a fortieth or 3 % of a host's pages, beside clean ones as small."""
     sections = [("one.org", f"s{'abcdefghij'[i % 10]}{'wxyz'[i // 10]}", i == 7) for i in range(40)]
     sections += [("ten.org", f"t{'abcdefghij'[i % 10]}{'wxyz'[i // 10]}", i < 10) for i in range(33)]
@@ -115,12 +111,23 @@ def test_small_branches_of_a_large_host(frame, monkeypatch):
     pages = [(i, f"http://{host}/{name}/{i}") for i, (host, name, _) in enumerate(rows)]
     labels = [(i, int(not bad), 0) for i, (_, _, bad) in enumerate(rows)]
     out = got(U.judge(frame([(*p, "") for p in pages], PAGES), frame(labels, LABELS)))
-    monkeypatch.setattr(U, "SHARE", 0)  # of the plain tree
     assert out == plain(pages, labels)
     blocked = {row[0] for row in out if row[4] == "block"}
     assert blocked == {i for i, (_, _, bad) in enumerate(rows) if bad} and len(blocked) == 330
 
 
+def test_deep_branches(frame):
+    """A bad branch that parts from a clean one at its twentieth segment, and labels too few for a test."""
+    stem = "/".join("abcdefghijklmnopqrs")
+    pages = [(i, f"http://a.org/{stem}/{'bad' if i % 4 == 0 else 'good'}/{i}") for i in range(400)]
+    pages += [(1000 + i, f"http://b.org/{'bad' if i == 0 else 'good'}/{i}") for i in range(30)]
+    labels = [(page, int("bad" not in url), 0) for page, url in pages]
+    out = got(U.judge(frame([(*p, "") for p in pages], PAGES), frame(labels, LABELS)))
+    assert out == plain(pages, labels)
+    assert {row[0] for row in out if row[4] == "block"} == {i for i in range(0, 400, 4)}
+    assert {row[5].count("/") for row in out} == {21, 2} and {row[5] for row in out if row[1] == "b.org"} == {"/*/*"}
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     pages = [(p.page_id, p.url) for p in spark.read.parquet(f"{folder}/pages.parquet").collect()]
