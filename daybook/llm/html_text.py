@@ -1,7 +1,8 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut at its block-level tags into blocks of text. What is known about a block, the elements around it, its length
-and how much of it is links, becomes a cost for either label: the capacities of its edges to the terminals. Edges to the
+A page is cut at its block-level tags into blocks of text. What is known about a block, the elements around it and their
+names, its length and how much of it is links, becomes a cost for either label: the log-odds of a logistic regression, fitted
+on labelled pages (:mod:`daybook.llm.layouts`), are the capacities of its edges to the terminals. Edges to the
 next block and to the element both stand in make it costly to part neighbours. The minimum cut separates content from
 boilerplate. Blocks whose own cost outweighs all their edges are settled beforehand, which changes no minimum; a
 maximum flow decides the rest.
@@ -10,15 +11,19 @@ maximum flow decides the rest.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, partial
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from daybook.llm.common import pick
+from daybook.llm.layouts import labelled_pages
 
 #: Fixed values of HTML: a comment, a declaration, or a tag with its attributes; a quoted value may hold ``>``.
 TAG = re.compile(
@@ -30,32 +35,23 @@ BLOCKS = frozenset(
     "tr ul".split())
 VOID = frozenset(["hr"])
 #: Elements whose inside is never text of the page.
-SKIPPED = frozenset("script style noscript template title iframe object svg math canvas select textarea button audio video".split())
+SKIPPED = frozenset("script style noscript template title iframe object svg canvas select textarea button audio video".split())
 RAW = frozenset("script style title textarea".split())
 #: Elements that a start tag of another closes: a paragraph ends at any block, an item at the next.
 CLOSED_BY = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
 #: How far up the closing looks: not beyond these.
 SCOPES = frozenset("ul ol menu dl table body html article section div main aside nav".split())
 
-#: What elements say about their inside.
-BOILER_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
-CONTENT_TAGS = frozenset("article main".split())
-BOILER_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion menu menubar nav navbar "
-    "navigation breadcrumb breadcrumbs sidebar sidebox aside rail widget foot footer footnav masthead topbar toolbar cookie cookies consent "
-    "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup signin login search form comment "
-    "comments commentlist discussion discuss disqus replies reply respond share sharing social related recommended "
-    "pagination pager contentinfo complementary skip copyright legal disclaimer".split())
-HEADER_NAMES = frozenset(["header", "head", "heading"])
-CONTENT_NAMES = frozenset("article content main maincontent post entry story articlebody body".split())
-
-#: Costs in favour of content.
-OUTSIDE, INSIDE, UNKNOWN = -9.0, 5.0, 0.0
-PER_WORD, MOST_WORDS, SENTENCE, LINKS, BIAS = 0.1, 40, 0.5, 3.0, -1.2
-#: By the innermost element, and for short blocks that read like a site's small print.
-BY_TAG = {"p": 0.5, "h1": 1.0, "h2": 0.8, "h3": 0.6, "h4": 0.5, "h5": 0.4, "h6": 0.4, "blockquote": 0.6, "pre": 0.8, "figcaption": 0.5,
-          "li": 0.8, "dd": 0.8, "dt": 0.8, "td": 0.8, "th": 0.8}
-SMALL_PRINT, SMALL_WORDS, SMALL = re.compile(r"©|\(c\) ?\d|copyright|all rights reserved|privacy policy|terms of (?:use|service)", re.I), 25, -1.5
+#: Elements that may tell what their inside is, and parts of names that tell how a page is set up, not what an element holds.
+TELLING = frozenset("nav footer aside form menu dialog fieldset article main header table".split())
+STATES = frozenset("has no not with without is js enabled enable disabled off on open opened closed hide hidden show visible active".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Short blocks that read like a site's small print.
+SMALL_PRINT, SMALL_WORDS = re.compile(r"©|\(c\) ?\d|copyright|all rights reserved|privacy policy|terms of (?:use|service)", re.I), 25
+#: Words beyond which a block is long; labelled pages, the seed that makes them, and the weights' prior variance.
+MOST_WORDS, LABELLED, SEED, SPREAD = 60, 1500, 11, 9.0
+#: Cost of a block that is not shown.
+UNSHOWN = -1e6
 #: Costs of parting neighbours: next to each other in one element or not, a block and its element, an element and its own.
 BESIDE, NEXT, WITHIN, UP, CONTRAST = 1.0, 0.6, 0.7, 0.6, 0.8
 
@@ -65,41 +61,39 @@ class Element:
     tag: str
     number: int
     parent: int
-    hint: float
+    told: frozenset[str] | None
 
 
 @dataclass
 class Block:
     text: str
     element: int
-    hint: float
+    told: frozenset[str] | None
     linked: int
     tag: str
 
 
-def _hint(tag: str, attributes: str, above: float) -> float:
-    """Whether an element's inside is content or boilerplate, as far as its tag, names and surroundings tell."""
-    if above == OUTSIDE or tag in BOILER_TAGS:
-        return OUTSIDE
-    named: set[str] = set()
+def _told(tag: str, attributes: str, above: frozenset[str] | None) -> frozenset[str] | None:
+    """What an element and those around it tell about its inside, as features; nothing (None) if it is not shown."""
+    if above is None:
+        return None
+    found = {f"in:{tag}" if tag != "header" or not above & {"in:article", "in:main"} else "in:header of text"} if tag in TELLING else set()
     for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        value, name = "".join(values).lower(), name.lower()
+        value, name = "".join(values), name.lower()
         if name in ("class", "id", "role"):
-            named.update(re.findall(r"[a-z]+", value))
-        elif name == "hidden" or name == "aria-hidden" and value == "true" or "display:none" in value.replace(" ", ""):
-            return OUTSIDE
-    if tag not in ("html", "body", "article", "main") and named & BOILER_NAMES:
-        return OUTSIDE
-    if (tag == "header" or named & HEADER_NAMES and tag[0] != "h") and above != INSIDE and not named & CONTENT_NAMES:
-        return OUTSIDE
-    if tag in CONTENT_TAGS or named & CONTENT_NAMES and tag not in ("html", "body"):
-        return INSIDE
-    return above
+            if tag not in HEADINGS and tag not in ("html", "body"):
+                for given in value.split():
+                    parts = [part.lower() for part in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", given)]
+                    if not STATES.intersection(parts):
+                        found.update(f"name:{part}" for part in parts)
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or "display:none" in value.replace(" ", "").lower():
+            return None
+    return above | found if found else above
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
     """The blocks of a page that hold text, in order, and its elements."""
-    elements = [Element("", 0, -1, UNKNOWN)]
+    elements = [Element("", 0, -1, frozenset())]
     stack, blocks, run = [elements[0]], [], []
     linked = links = 0
     open_tags: Counter[str] = Counter()
@@ -110,7 +104,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
         text = " ".join(html.unescape("".join(run)).split())
         if text:
             top = stack[-1]
-            blocks.append(Block(text, top.number, top.hint, linked, top.tag))
+            blocks.append(Block(text, top.number, top.told, linked, top.tag))
         run.clear()
         linked = 0
 
@@ -160,7 +154,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
                 if stack[depth].tag in SCOPES:
                     break
             if tag not in VOID:
-                element = Element(tag, len(elements), stack[-1].number, _hint(tag, match[3], stack[-1].hint))
+                element = Element(tag, len(elements), stack[-1].number, _told(tag, match[3], stack[-1].told))
                 elements.append(element)
                 stack.append(element)
                 open_tags[tag] += 1
@@ -172,12 +166,43 @@ def blocks_of(page: str) -> tuple[list[Block], list[Element]]:
     return blocks, elements
 
 
-def _cost(block: Block) -> float:
+def features(block: Block) -> dict[str, float]:
+    """What is known about a block. Names count once more beside a tag that says that they are inside an article."""
     words = block.text.count(" ") + 1
-    ends = block.text[-1] in ".!?:;…\"”»"
-    small = SMALL if _small(block) else 0.0
-    return (block.hint + BY_TAG.get(block.tag, 0.0) + small + PER_WORD * min(words, MOST_WORDS) + SENTENCE * ends
-            - LINKS * _linked(block) + BIAS)
+    found = {"bias": 1.0, "words": math.log(min(words, MOST_WORDS)), "long": min(words, MOST_WORDS) / MOST_WORDS,
+             "ends": float(block.text[-1] in ".!?:;…\"”»"), "links": _linked(block), "small print": float(_small(block)), f"tag:{block.tag}": 1.0}
+    inside = bool(block.told & {"in:article", "in:main"})
+    for told in block.told:
+        found[told] = 1.0
+        if inside and told.startswith("name:"):
+            found[f"{told} of text"] = 1.0
+    return found
+
+
+@lru_cache(maxsize=1)
+def fitted() -> dict[str, float]:
+    """Weights of the features: a logistic regression with a normal prior on blocks of labelled pages, by Newton's method."""
+    rows, labels = [], []
+    for page, content in labelled_pages(LABELLED, SEED):
+        for block in blocks_of(page)[0]:
+            rows.append(features(block))
+            labels.append(block.text in content)
+    names = {name: i for i, name in enumerate(sorted({name for row in rows for name in row}))}
+    x, y = np.zeros((len(rows), len(names))), np.array(labels, dtype=float)
+    for i, row in enumerate(rows):
+        x[i, [names[name] for name in row]] = list(row.values())
+    weights = np.zeros(len(names))
+    for _ in range(12):
+        p = 1 / (1 + np.exp(-(x @ weights)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(names)) / SPREAD
+        weights += np.linalg.solve(hessian, x.T @ (y - p) - weights / SPREAD)
+    return {name: float(weights[i]) for name, i in names.items()}
+
+
+def _cost(block: Block, weights: dict[str, float]) -> float:
+    if block.told is None:
+        return UNSHOWN
+    return sum(value * weights.get(name, 0.0) for name, value in features(block).items())
 
 
 def _tie(a: Block, b: Block, elements: list[Element]) -> float:
@@ -264,8 +289,9 @@ def _flow(nodes: list[int], costs: list[float], near: list[dict[int, float]]) ->
                 path.pop()
 
 
-def main_text(page: str | None) -> str:
+def main_text(page: str | None, weights: dict[str, float] | None = None) -> str:
     """The content of a page, its blocks joined by blanks; empty for a page without any."""
+    weights = fitted() if weights is None else weights
     blocks, elements = blocks_of(page or "")
     if not blocks:
         return ""
@@ -278,13 +304,13 @@ def main_text(page: str | None) -> str:
     edges = [(i, place[block.element], WITHIN) for i, block in enumerate(blocks)]
     edges += [(i - 1, i, _tie(blocks[i - 1], blocks[i], elements)) for i in range(1, n)]
     edges += [(place[k], place[elements[k].parent], UP) for k in used if elements[k].parent in place]
-    side = minimum_cut([_cost(block) for block in blocks] + [0.0] * len(place), edges)
+    side = minimum_cut([_cost(block, weights) for block in blocks] + [0.0] * len(place), edges)
     return " ".join(block.text for block, content in zip(blocks, side) if content)
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _extract(batches: Iterator[pa.RecordBatch], weights: dict[str, float]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(page) for page in batch.column("html").to_pylist()]
+        texts = [main_text(page, weights) for page in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, type=pa.string()),
              pa.array(map(len, texts), type=pa.int64())], names=["page_id", "url", "text", "n_chars"])
@@ -295,7 +321,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null html counts as empty and gives an empty text, as a page without content does. Null ids and urls are kept; repeated
     rows come out as often. Broken markup is read as far as it goes: what is not a tag is text, an element left open ends
-    with its parent, a script left open takes the rest.
+    with its parent, a script left open takes the rest. Pages of any length are read whole; an empty table gives an empty one.
     """
     frame = pick(pages, {"page_id": "long", "url": "string", "html": "string"})
-    return frame.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return frame.mapInArrow(partial(_extract, weights=fitted()), "page_id long, url string, text string, n_chars long")

@@ -8,6 +8,7 @@ import re
 import pytest
 
 from daybook.llm import html_text
+from daybook.llm.layouts import labelled_pages
 from daybook.llm.queries import QUERIES
 
 
@@ -28,7 +29,7 @@ def test_cut_is_minimal():
 
 LONG = "A paragraph of the story with quite a few words in it, so that it reads like one."
 PAGES = [
-    (None, ""), ("", ""), ("plain text", ""), ("<p>" + LONG, LONG),
+    (None, ""), ("", ""), ("plain text", "plain text"), ("<p>" + LONG, LONG),
     (f"<nav>Home About</nav><div><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div><footer>(c)</footer>", f"{LONG} Yes. {LONG}"),
     (f"<header><h1>Site</h1></header><main><header><h1>Title</h1></header><p>{LONG}</main>", f"Title {LONG}"),
     (f"<article><p>{LONG}<aside>More</aside><form>Mail <input></form><div class='comments'><p>{LONG}</p></div></article>", LONG),
@@ -54,6 +55,40 @@ PAGES += [
 ]
 
 
+#: Names that sound like boilerplate on what holds the article.
+PAGES += [(f"<div {names}><h1>A title of it</h1><p>{LONG}</p><p>{LONG}</p></div>", f"A title of it {LONG} {LONG}") for names in [
+    'class="no-sidebar"', 'class="entry-content has-sidebar"', 'class="post share-enabled"', 'class="article legal"', 'class="content with-comments"',
+    'class="main widget-off"', 'id="page" class="js-search"', 'class="wrapper noSidebar"', 'class="article comments-open"']]
+PAGES += [(f"<article><h1>T</h1><p>{LONG}</p><h2 id={name}>Its heading</h2><p>{LONG}</p></article>", f"T {LONG} Its heading {LONG}")
+          for name in ("legal", "search", "form", "share", "alert", "menu")]
+PAGES += [(f"<article><h1>T</h1><p>{LONG}</p><section id={name}><h2>Head</h2><p>{LONG}</p><p>{LONG}</p></section></article>", f"T {LONG} Head {LONG} {LONG}")
+          for name in ("discussion", "search", "legal", "form", "share", "social", "related", "notice", "alert")]
+PAGES += [
+    (f"<article><p>Take <math><mi>x</mi></math> here</p><p>{LONG}</p></article>", f"Take x here {LONG}"),
+    (f"<div>{LONG} {LONG}</div><div>{LONG} {LONG}</div>", f"{LONG} {LONG} {LONG} {LONG}"),
+    (f"<h1>Head</h1>{LONG} {LONG}<br><br>{LONG}", f"Head {LONG} {LONG} {LONG}"),
+    (f"<div class=x><div class=y><h1>Head</h1><div>{LONG}</div><div>{LONG}</div></div><div class=z><a href=q>Foo bar</a></div></div>", f"Head {LONG} {LONG}"),
+    (f"<div hidden><p>{LONG}</p></div><article><p style='display: none'>{LONG}</p><p>{LONG}</p></article>", LONG)]
+
+
+def test_costs_hold_on_other_layouts():
+    """Pages that the costs were not fitted on: their blocks' own labels, and after the cut whole pages."""
+    weights, right, blocks, exact = html_text.fitted(), 0, 0, 0
+    for page, content in labelled_pages(200, html_text.SEED + 1):
+        found = html_text.blocks_of(page)[0]
+        blocks += len(found)
+        right += sum((html_text._cost(block, weights) > 0) == (block.text in content) for block in found)
+        exact += html_text.main_text(page) == " ".join(block.text for block in found if block.text in content)
+    assert right > 0.97 * blocks and exact > 0.93 * 200
+
+
+def test_names_weigh_less_than_text():
+    """No name alone settles a block: in an article, a paragraph under any fitted name but those of comments and the like stays."""
+    weights = html_text.fitted()
+    assert all(abs(weight) < 20 for weight in weights.values())
+    assert weights["name:legal"] < 0 < weights["name:legal of text"] + weights["in:article"]
+
+
 @pytest.mark.parametrize("page, text", PAGES)
 def test_pages(page, text):
     assert html_text.main_text(page) == text
