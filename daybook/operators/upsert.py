@@ -36,13 +36,47 @@ def one_version(staged: DataFrame, key: Sequence[str], on_conflict: str = "error
         *[F.col("low").getField(c).alias(c) if c in rest else quoted(c) for c in staged.columns])
 
 
+# Keys per word of the filter: 16 bits each, of which four are set. More keys than ``CROWDED`` leave too few zeros.
+ROOM, CROWDED, BITS, WORD_BYTES = 4, 16, 4, 32
+
+
+def filter_words(keys: int, limit: int) -> int:
+    """Words of a filter for so many keys, within a limit in bytes; none if it could not tell enough of them apart."""
+    words = min(max(1, keys // ROOM), limit // WORD_BYTES)
+    return words if words and keys <= CROWDED * words else 0
+
+
+def _word_and_mask(key: Sequence[str], words: int) -> list[Column]:
+    """The word of the filter that a key falls in, and the bits that it sets there."""
+    columns = [quoted(k) for k in key]
+    places = F.xxhash64(*columns, F.lit(1))
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(places, 6 * i).bitwiseAND(63).cast("int"))
+            for i in range(BITS)]
+    return [F.pmod(F.xxhash64(*columns), F.lit(words)).alias("word"), reduce(Column.bitwiseOR, bits).alias("mask")]
+
+
+def key_filter(keys: DataFrame, key: Sequence[str], words: int) -> DataFrame:
+    """A Bloom filter as a frame: ``word, bits``, each key's bits together in one word. No more rows than words."""
+    return keys.select(*_word_and_mask(key, words)).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+
+
+def with_maybe(df: DataFrame, key: Sequence[str], filter_: DataFrame, words: int, name: str = "maybe") -> DataFrame:
+    """``df`` with a column that is false only for rows whose key is surely not in the filter. Nothing is shuffled."""
+    marked = df.select("*", *_word_and_mask(key, words)).join(F.broadcast(filter_), "word", "left")
+    found = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
+    return marked.select(*[quoted(c) for c in df.columns], found.alias(name))
+
+
 def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], broadcast_keys: bool = False,
-           unique: bool = False, on_conflict: str = "error", order: Sequence[str] = ()) -> DataFrame:
+           unique: bool = False, on_conflict: str = "error", order: Sequence[str] = (), words: int = 0,
+           gather: str | None = None) -> DataFrame:
     """Target rows whose key is not staged, plus the distinct staged rows. NULLs overwrite too.
 
     Only the staged keys meet the target. ``broadcast_keys`` is for callers that have measured those keys
     (see ``plans.batch``): the target then stays where it is. Otherwise Spark decides by its own size
-    estimate and falls back to a shuffled join. If the staged rows hold two versions of a key, ``on_conflict``
+    estimate and falls back to a shuffled join. With ``words`` (see :func:`filter_words`) a Bloom filter of the keys is
+    broadcast first: rows that it rules out stay where they are, the others are joined exactly, so the result is the same.
+    ``gather`` gathers what was shuffled by that column. If the staged rows hold two versions of a key, ``on_conflict``
     and ``order`` decide as in :func:`one_version`; ``unique`` says that there is one row per key already.
     """
     columns = [quoted(c) for c in target.columns]
@@ -53,7 +87,14 @@ def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], broadcast_k
         keys = keys.distinct()
     if broadcast_keys:
         keys = F.broadcast(keys)
-    return target.join(keys, list(key), "left_anti").select(*columns).unionByName(incoming.select(*columns))
+    stay = []
+    if words and not broadcast_keys:
+        marked = with_maybe(target, key, key_filter(keys, key, words), words)
+        stay, target = [marked.filter(~F.col("maybe")).select(*columns)], marked.filter("maybe")
+    moved = target.join(keys, list(key), "left_anti").select(*columns).unionByName(incoming.select(*columns))
+    if gather:
+        moved = moved.hint("rebalance", quoted(gather))
+    return reduce(DataFrame.unionByName, stay, moved)
 
 
 def changed_days(target: DataFrame, staged: DataFrame, key: Sequence[str], day: str) -> DataFrame:

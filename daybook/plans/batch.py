@@ -1,15 +1,16 @@
 """One batch from raw rows to updated tables.
 
 Steps per batch: the raw source is read once into a typed wide frame; then, table by table and parents first,
-staging -> merge -> commit. A merge writes the new contents of the touched folders once, as a new version beside
-the current one; the commit makes it current by one small file. Every finished step is in the ledger, and a batch
-that is run again takes up where it stopped. A merge notes the state of the table it is based on: if another
-batch has been committed in between, it is made again, so nothing that came later is undone.
+staging -> merge -> table. A merge writes the new contents of the touched folders to a folder of its own; they then replace
+those folders of the table. Every finished step is in the table of batches, and a batch that is run again takes up where it
+stopped: a merge that was not complete is made again on the table as it is now, a complete one is put into the table first,
+by this batch or by the next one that writes the table, so nothing that came later is undone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +20,26 @@ from daybook.operators.dedup import latest_per_key
 from daybook.operators.projection import (
     CELLS, drop_null_key, has_cells, key_is_set, narrow, project_all, quoted, wide_name, with_date)
 from daybook.operators.quality import fk_violations
-from daybook.operators.upsert import upsert
+from daybook.operators.upsert import filter_words, upsert
 from daybook.sources.tables import (
-    Commit, TableStore, append_ledger, finished_steps, folder_names, read_if_there, read_ledger)
+    TableStore, checks_schema, drop_folder, finished_steps, folder_checks, in_folders, is_ready, mark_ready, no_rows, note_step, one_row,
+    read_if_there, subfolders)
+from daybook.plans.refresh import Report
+from daybook.sources.workbook import decode_workbooks, with_hash
 from daybook.specs import TableSpec
 
-# Staged keys are broadcast up to this measured size; beyond it the join shuffles.
+# Staged keys are broadcast up to this measured size; beyond it the join shuffles what a Bloom filter of the keys lets pass.
 BROADCAST_LIMIT = 64 * 1024 * 1024
+# Size of that filter at most; with more keys than it can tell apart, all touched rows are shuffled.
+FILTER_LIMIT = 256 * 1024 * 1024
+AUDIT_SCHEMA = T.StructType([
+    T.StructField("position", T.IntegerType()), *[T.StructField(n, T.StringType()) for n in ("table_name", "title", "status")],
+    *[T.StructField(n, T.LongType()) for n in (
+        "sheet_rows", "valid_dates", "removed", "copies", "staged", "before", "affected", "inserted", "updated", "after",
+        "table_before", "table_after")]])
+FILES_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("sha", "path", "batch")])
 BATCH_ORDER = ("modified", "path", "row_no")
 WHOLE_BATCH = "*"
-CHANGED_SCHEMA = T.StructType([T.StructField("column_name", T.StringType()), T.StructField("day", T.DateType())])
 
 
 class ConflictingRows(ValueError):
@@ -86,8 +97,8 @@ def stage_sheet(store: TableStore, raw: DataFrame, specs: Sequence[TableSpec], b
     keyed = [F.count_if(key_is_set(*[wide_name(spec, k) for k in spec.key])).alias(spec.name) for spec in specs]
     row = wide.agg(F.count(F.lit(1)).alias("all rows"), dated_rows.alias("dated rows"), *keyed).first()
     for spec in specs:
-        append_ledger(store, batch, table_name=spec.name, step="typed", keyed=row[spec.name])
-    append_ledger(store, batch, table_name=WHOLE_BATCH, step="sheet", rows=row["all rows"], dated=row["dated rows"])
+        note_step(store, batch, table_name=spec.name, step="typed", keyed=row[spec.name])
+    note_step(store, batch, table_name=WHOLE_BATCH, step="sheet", rows=row["all rows"], dated=row["dated rows"])
 
 
 def stage_table(store: TableStore, spec: TableSpec, rows: DataFrame, batch: str, on_conflict: str = "error",
@@ -140,11 +151,11 @@ def measure_staged(spec: TableSpec, staged: DataFrame, unique: bool = False) ->
     return row["keys"], row["bytes"]
 
 
-def touched_part(store: TableStore, spec: TableSpec, keyed: DataFrame, log: list[Commit] | None = None) -> DataFrame:
-    """The table's rows in the folders that ``keyed`` (rows with the layout column) falls in."""
-    touched = set(folder_names(spec, keyed))
-    log = store.log(spec) if log is None else log
-    return store.read(spec, with_layout=True, log=[c for c in log if c.folder in touched])
+def touched_part(store: TableStore, spec: TableSpec, folders: Sequence[str]) -> DataFrame:
+    """The table's rows in the given layout folders. The names go into the scan as literals, so it prunes."""
+    column = spec.layout.column
+    values = [F.lit(folder.split("=", 1)[1]).cast(spec.layout.spark_type) for folder in folders]
+    return store.read(spec, with_layout=True).filter(F.col(column).isin(*values))
 
 
 def check_parent(store: TableStore, spec: TableSpec, parent: TableSpec, staged: DataFrame,
@@ -156,7 +167,8 @@ def check_parent(store: TableStore, spec: TableSpec, parent: TableSpec, staged:
     pairs = spec.parent.columns
     references = drop_null_key(staged, *[c for c, _ in pairs]).select(
         *[quoted(c).alias(p) for c, p in pairs]).distinct()
-    known = touched_part(store, parent, parent.with_layout(references)).select(*[p for _, p in pairs])
+    known = in_folders(store.read(parent, with_layout=True), parent.layout.column, parent.with_layout(references)).select(
+        *[p for _, p in pairs])
     size = references.agg(F.coalesce(F.sum(_octets(references, references.columns)), F.lit(0))).first()[0]
     if size <= broadcast_limit:
         known = known.join(F.broadcast(references), [p for _, p in pairs], "left_semi")
@@ -181,77 +193,77 @@ def parents_of(specs: Sequence[TableSpec], stored: Sequence[TableSpec] = ()) ->
     return found
 
 
-def note_changed(store: TableStore, spec: TableSpec, batch: str, inside: DataFrame, staged: DataFrame,
-                 small: bool) -> None:
-    """Keep the days, by date column, of the rows that the batch replaces and of those it brings."""
-    dates = [c.name for c in spec.columns if c.type == "date"]
-    if not dates:
+def note_moves(store: TableStore, spec: TableSpec, batch: str, inside: DataFrame, staged: DataFrame, small: bool) -> None:
+    """Keep the rows that the batch replaces and those it brings, if the table has a day that reports can be made by."""
+    if not any(c.type == "date" for c in spec.columns):
         return
     keys = staged.select(*spec.key)
     replaced = inside.join(F.broadcast(keys) if small else keys, list(spec.key), "left_semi")
-    days = F.explode(F.array(*[F.struct(F.lit(d).alias("column_name"), quoted(d).alias("day")) for d in dates]))
-    both = replaced.select(*dates).unionByName(staged.select(*dates)).select(days.alias("d")).select("d.*")
-    both.where("day IS NOT NULL").distinct().coalesce(1).write.mode("overwrite").parquet(store.changed_path(spec, batch))
+    columns = list(spec.column_names)
+    both = replaced.select(*columns, F.lit(-1).alias("sign")).unionByName(staged.select(*columns, F.lit(1).alias("sign")))
+    both.write.mode("overwrite").parquet(store.moves_path(spec, batch))
 
 
 def changed_days(store: TableStore, spec: TableSpec, batch: str, column: str) -> DataFrame:
     """Days of ``column`` in which a batch has changed rows, as they were and as they are, for ``refresh_incremental``."""
-    noted = read_if_there(store.spark, store.changed_path(spec, batch), CHANGED_SCHEMA)
-    return noted.where(F.col("column_name") == column).select(F.col("day").alias(column))
-
-
-def merge_table(store: TableStore, spec: TableSpec, batch: str, keys: int, small: bool) -> dict[str, int]:
-    """Write the new contents of the touched folders as a version of its own and count what changes."""
-    staged, log = store.staged(spec, batch), store.log(spec)
-    base = log[-1].number if log else 0
-    inside = touched_part(store, spec, staged, log)
-    merged = upsert(inside, staged, spec.key, broadcast_keys=small, unique=True)
-    if not small:  # the join has spread every folder over all tasks: gather them, hot ones in several files
-        merged = merged.hint("rebalance", F.col(spec.layout.column))
-    version = version_name(batch, base)
-    store.write(merged, spec, store.data_path(spec, f"version={version}"))
-    note_changed(store, spec, batch, inside, staged, small)
-    before = inside.count()
-    after = store.version(spec, version).count()
+    return store.moves(spec, batch).where(F.col(column).isNotNull()).select(column).distinct()
+
+
+def merge_table(store: TableStore, spec: TableSpec, batch: str, keys: int, size: int, broadcast_limit: int, attempt: int) -> dict[str, int]:
+    """Write the new contents of the touched folders to a folder of their own and count what changes."""
+    small = size <= broadcast_limit
+    staged, folders = store.staged(spec, batch), subfolders(store.spark, store.staging_path(spec, batch))
+    inside = touched_part(store, spec, folders)
+    # unless the keys are small, the join spreads what it shuffles over all tasks: it is gathered by folder again
+    merged = upsert(inside, staged, spec.key, broadcast_keys=small, unique=True, gather=None if small else spec.layout.column,
+                    words=0 if small else filter_words(keys, FILTER_LIMIT))
+    target = store.merged_path(spec, batch)
+    drop_folder(store.spark, target)
+    store.write(merged, spec, f"{target}/rows")
+    note_moves(store, spec, batch, inside, staged, small)
+    folder_checks(store.merged(spec, batch), spec).coalesce(1).write.mode("overwrite").partitionBy(spec.layout.column).parquet(
+        f"{target}/checks")
+    after = store.spark.read.schema(checks_schema(spec)).parquet(f"{target}/checks").agg(F.sum("rows")).first()[0]
+    touched = F.col(spec.layout.column).isin(*[F.lit(f.split("=", 1)[1]).cast(spec.layout.spark_type) for f in folders])
+    before, whole = (x or 0 for x in store.checks(spec).agg(F.sum(F.when(touched, F.col("rows"))), F.sum("rows")).first())
     inserted = after - before
-    return {"staged": keys, "before": before, "affected": keys, "inserted": inserted,
-            "updated": keys - inserted, "after": after, "base": base}
-
-
-def version_name(batch: str, base: int) -> str:
-    return f"{batch}.{base}"
+    counts = {"staged": keys, "before": before, "affected": keys, "inserted": inserted, "updated": keys - inserted,
+              "after": after, "table_before": whole, "table_after": whole + inserted, "attempt": attempt}
+    note_step(store, batch, table_name=spec.name, step="merged", **counts)
+    mark_ready(store.spark, target)
+    return counts
 
 
 def upsert_table(store: TableStore, spec: TableSpec, batch: str, done: dict, parent: TableSpec | None = None,
                  broadcast_limit: int = BROADCAST_LIMIT, on_conflict: str = "error") -> None:
-    """Merge a staged batch into its table and commit it, then drop the staging rows. An empty batch is skipped."""
-    counts, log = done.get((spec.name, "merged")), store.log(spec)
-    committed = any(c.batch == batch for c in log)
-    moved = counts is not None and counts["base"] != (log[-1].number if log else 0)
-    if counts is None or moved and not committed:
-        staged = store.staged(spec, batch)
-        keys, size = measure_staged(spec, staged, unique=on_conflict == "latest")
+    """Merge a staged batch and put it into its table, then drop what it staged. An empty batch is skipped."""
+    store.finish_others(spec, batch)
+    counts = done.get((spec.name, "merged"))
+    if not _complete(store, spec, batch, counts):
+        keys, size = measure_staged(spec, store.staged(spec, batch), unique=on_conflict == "latest")
         if keys == 0:
-            append_ledger(store, batch, table_name=spec.name, step="skipped", staged=0, before=0, affected=0,
-                          inserted=0, updated=0, after=0)
+            whole = store.checks(spec).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            note_step(store, batch, table_name=spec.name, step="skipped", staged=0, before=0, affected=0, inserted=0, updated=0,
+                      after=0, table_before=whole, table_after=whole)
             return
         if parent is not None:
-            check_parent(store, spec, parent, staged, broadcast_limit)
-        counts = merge_table(store, spec, batch, keys, size <= broadcast_limit)
-        append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "merged"})
-    if not committed:
-        version = version_name(batch, counts["base"])
-        folders = folder_names(spec, store.version(spec, version))
-        store.commit(spec, batch, counts["base"] + 1, folders, version)
-    append_ledger(store, batch, **{**counts, "table_name": spec.name, "step": "applied"})
+            check_parent(store, spec, parent, store.staged(spec, batch), broadcast_limit)
+        counts = merge_table(store, spec, batch, keys, size, broadcast_limit, 1 + (counts["attempt"] if counts else 0))
+    if is_ready(store.spark, store.merged_path(spec, batch)):
+        store.apply(spec, batch)
+    note_step(store, batch, **{**counts, "table_name": spec.name, "step": "applied"})
     clear_batch(store, spec, batch)
 
 
+def _complete(store: TableStore, spec: TableSpec, batch: str, counts: dict | None) -> bool:
+    """Whether the batch's merge was completed: it waits to be put into the table, or is in it and gone already."""
+    folder = store.merged_path(spec, batch)
+    return counts is not None and (is_ready(store.spark, folder) or batch not in subfolders(store.spark, store.path("merged", spec.name)))
+
+
 def clear_batch(store: TableStore, spec: TableSpec, batch: str) -> None:
-    """Drop the staging rows of an applied batch, and the versions that it has made the last but two."""
+    """Drop the staging rows of an applied batch."""
     store.drop("staging", spec.name, batch)
-    log = store.log(spec)
-    store.drop_old(spec, log, {c.folder for c in log if c.batch == batch})
 
 
 def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_of, on_conflict: str = "error",
@@ -260,7 +272,7 @@ def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_o
     """Stage and upsert every table in the given order, parents first; returns the audit.
 
     ``rows_of(spec)`` gives a table's typed rows, with the columns of ``order`` for the policy ``latest``. Tables that
-    are only referred to are given as ``stored``. Tables are committed one by one: a failure leaves the earlier ones
+    are only referred to are given as ``stored``. Tables are written one by one: a failure leaves the earlier ones
     updated, and running the batch again goes on from there.
     """
     parents = parents_of(specs, stored)
@@ -270,42 +282,74 @@ def upsert_all(store: TableStore, specs: Sequence[TableSpec], batch: str, rows_o
             clear_batch(store, spec, batch)
         if (spec.name, "applied") in done or (spec.name, "skipped") in done:
             continue
-        if (spec.name, "merged") not in done:
+        if not _complete(store, spec, batch, done.get((spec.name, "merged"))):
             stage_table(store, spec, rows_of(spec), batch, on_conflict, order)
         upsert_table(store, spec, batch, done, parents.get(spec.name), broadcast_limit, on_conflict)
     return audit(store, specs, batch)
 
 
 def ingest_batch(store: TableStore, raw: DataFrame, specs: Sequence[TableSpec], batch: str,
-                 date_header: str | None = None, on_conflict: str = "error") -> DataFrame:
-    """Raw rows to updated tables; returns the audit. Safe to run again with the same batch name."""
+                 date_header: str | None = None, on_conflict: str = "error", reports: Sequence[Report] = ()) -> DataFrame:
+    """Raw rows to updated tables and the reports on them; returns the audit. Safe to run again with the same batch name."""
     if (WHOLE_BATCH, "sheet") not in finished_steps(store, batch):
         stage_sheet(store, raw, specs, batch, date_header)
     wide = read_if_there(store.spark, sheet_path(store, batch), wide_schema(specs, raw))
     result = upsert_all(store, specs, batch, lambda spec: narrow(wide, spec, batch_order(wide)), on_conflict)
+    for report in reports:
+        report.refresh(store, batch)
     store.drop("sheet", batch)
     return result
 
 
+def unseen_files(store: TableStore, files: DataFrame, batch: str) -> DataFrame:
+    """The files of a batch, given as ``path, modificationTime, content``, whose contents no finished batch has had.
+
+    Contents are hashed in one pass, which keeps path and hash only; of files with equal contents the first by path counts.
+    """
+    known = read_if_there(store.spark, store.path("files"), FILES_SCHEMA).select("sha")
+    hashed = with_hash(files).groupBy("sha").agg(F.min("path").alias("path"))
+    hashed.join(known, "sha", "left_anti").write.mode("overwrite").parquet(store.path("incoming", batch))
+    fresh = store.spark.read.schema("sha string, path string").parquet(store.path("incoming", batch)).select("path")
+    size = fresh.agg(F.coalesce(F.sum(_octets(fresh, ["path"])), F.lit(0))).first()[0]
+    return files.join(F.broadcast(fresh) if size <= BROADCAST_LIMIT else fresh, "path", "left_semi")
+
+
+def ingest_files(store: TableStore, files: DataFrame, specs: Sequence[TableSpec], batch: str, date_header: str | None = None,
+                 on_conflict: str = "error", reports: Sequence[Report] = (), header: int = 1) -> DataFrame:
+    """Workbook files to updated tables, like :func:`ingest_batch`; a file that was sent again as it was is not decoded.
+
+    So a file that is delivered twice changes nothing, even if its rows have been corrected by another one in between.
+    """
+    if (WHOLE_BATCH, "files") in finished_steps(store, batch):
+        return audit(store, specs, batch)
+    fresh = unseen_files(store, files, batch) if (WHOLE_BATCH, "sheet") not in finished_steps(store, batch) else files
+    result = ingest_batch(store, decode_workbooks(fresh, header), specs, batch, date_header, on_conflict, reports)
+    hashes = store.spark.read.schema("sha string, path string").parquet(store.path("incoming", batch))
+    hashes.write.mode("overwrite").parquet(store.path("files", f"batch={batch}"))
+    note_step(store, batch, table_name=WHOLE_BATCH, step="files")
+    store.drop("incoming", batch)
+    return result
+
+
 def audit(store: TableStore, specs: Sequence[TableSpec], batch: str) -> DataFrame:
     """One row per table of a batch, in upsert order, with its status and counts.
 
     ``sheet_rows`` and ``valid_dates`` are those of the raw sheet, ``removed`` its rows without the table's key and
-    ``copies`` the further ones that repeated a row or key; they are NULL for rows that came typed. ``before`` and
-    ``after`` count the touched folders, which is where all of the change lies.
+    ``copies`` the further ones that repeated a row or key; they are NULL for rows that came typed. ``before`` and ``after``
+    count the touched folders, which is where all of the change lies, ``table_before`` and ``table_after`` the whole table.
     """
-    def by_table(values):
-        pairs = [F.lit(x) for spec, value in zip(specs, values) for x in (spec.name, value)]
-        return F.create_map(*pairs)[F.col("table_name")]
-
     steps = finished_steps(store, batch)
     sheet = steps.get((WHOLE_BATCH, "sheet"), {})
-    rows, dated = sheet.get("rows"), sheet.get("dated")
-    keyed = by_table([F.lit(steps.get((spec.name, "typed"), {}).get("keyed")).cast("bigint") for spec in specs])
-    ledger = read_ledger(store, batch).filter(F.col("step").isin("applied", "skipped")).dropDuplicates(["table_name"])
-    return ledger.select(
-        by_table([F.lit(i) for i in range(1, len(specs) + 1)]).alias("position"), "table_name",
-        by_table([F.lit(s.title) for s in specs]).alias("title"), F.col("step").alias("status"),
-        F.lit(rows).cast("bigint").alias("sheet_rows"), F.lit(dated).cast("bigint").alias("valid_dates"),
-        (F.lit(rows).cast("bigint") - keyed).alias("removed"), (keyed - F.col("staged")).alias("copies"),
-        "staged", "before", "affected", "inserted", "updated", "after")
+    rows = []
+    for position, spec in enumerate(specs, start=1):
+        step = next((s for s in ("applied", "skipped") if (spec.name, s) in steps), None)
+        if step is None:
+            continue
+        counts, keyed = steps[spec.name, step], steps.get((spec.name, "typed"), {}).get("keyed")
+        figures = {name: counts[name] for name in (
+            "staged", "before", "affected", "inserted", "updated", "after", "table_before", "table_after")}
+        rows.append(one_row(store.spark, AUDIT_SCHEMA, {
+            "position": position, "table_name": spec.name, "title": spec.title, "status": step, "sheet_rows": sheet.get("rows"),
+            "valid_dates": sheet.get("dated"), **figures,
+            "removed": None if keyed is None else sheet["rows"] - keyed, "copies": None if keyed is None else keyed - counts["staged"]}))
+    return reduce(DataFrame.unionByName, rows) if rows else no_rows(store.spark, AUDIT_SCHEMA)

@@ -66,7 +66,7 @@ def plant_drying(spark, folder):
 @query(f"""
     SELECT position, table_name, title, 'applied' AS status, n + weeks AS sheet_rows, n AS valid_dates,
            weeks AS removed, CAST(0 AS BIGINT) AS copies, n AS staged, CAST(0 AS BIGINT) AS "before",
-           n AS affected, n AS inserted, CAST(0 AS BIGINT) AS updated, n AS "after"
+           n AS affected, n AS inserted, CAST(0 AS BIGINT) AS updated, n AS "after", CAST(0 AS BIGINT) AS table_before, n AS table_after
     FROM (VALUES (1, 'overview', 'Overview'), (2, 'fleet', 'Fleet'), (3, 'washing_machines', 'Washing'),
                  (4, 'drying', 'Drying')) AS t(position, table_name, title),
          (SELECT count(*) AS n FROM ({DAILY_SQL})),

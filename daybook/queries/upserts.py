@@ -6,16 +6,22 @@ together cover the whole table: 1999 is updated, later years are inserted.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from daybook.operators.upsert import row_diff, summary_message, table_audit, upsert, upsert_stats
+from daybook.operators.kpi import last_n_days
+from daybook.operators.upsert import filter_words, one_version, row_diff, summary_message, table_audit, upsert, upsert_stats
+from daybook.plans.batch import FILTER_LIMIT, upsert_all
 from daybook.plans.batch import changed_days as batch_days
-from daybook.plans.batch import stage_table, upsert_all
-from daybook.plans.refresh import refresh_incremental, refresh_view
+from daybook.plans.diff import stored_diff
+from daybook.plans.refresh import Report, refresh_incremental, refresh_snapshot, refresh_view
 from daybook.queries.registry import load, query
 from daybook.session import shared_folder
+from daybook.sources.bucketed import write_bucketed
+from daybook.sources.footers import newest_day, stored_figures
 from daybook.sources.tables import TableStore
-from daybook.specs import Buckets, ColumnSpec, ParentRef, TableSpec
+from daybook.specs import Buckets, ColumnSpec, ParentRef, Periods, TableSpec
 
 STORED_UNTIL = "DATE'2000-01-01'"
 SENT_FROM = "DATE'1999-01-01'"
@@ -27,6 +33,9 @@ ORDERS = TableSpec("orders", (
     ColumnSpec("o_orderpriority", "string", "o_orderpriority"),
 ), ("o_orderkey",), Buckets(("o_orderkey",), 8), label="Orders")
 
+# The same orders, kept by year: a batch falls in the folders of its years only.
+DATED_ORDERS = TableSpec("dated_orders", ORDERS.columns, ("o_orderdate", "o_orderkey"), Periods("o_orderdate", "year"))
+
 LINES = TableSpec("lines", (
     ColumnSpec("l_orderkey", "bigint", "l_orderkey"),
     ColumnSpec("l_linenumber", "int", "l_linenumber"),
@@ -86,6 +95,14 @@ def upsert_orders(spark, folder):
     return upsert(stored_orders(spark, folder), sent_orders(spark, folder), ["o_orderkey"])
 
 
+@query(ORDERS_AFTER)
+def upsert_filtered(spark, folder):
+    """The upsert of many keys: a Bloom filter of them spares the orders that it rules out the shuffle."""
+    staged = one_version(sent_orders(spark, folder), ORDERS.key)
+    words = filter_words(staged.count(), FILTER_LIMIT)
+    return upsert(stored_orders(spark, folder), staged, ORDERS.key, unique=True, words=words)
+
+
 UPSERT_COUNTS = f"""
     SELECT count(*) FILTER (WHERE o_orderdate >= {SENT_FROM}) AS affected,
            count(*) FILTER (WHERE o_orderdate >= {STORED_UNTIL}) AS inserted,
@@ -162,12 +179,12 @@ def upsert_all_audit(spark, folder):
            CAST(o.affected + l.affected AS BIGINT) AS total_rows FROM o, l
 """, name="summary_message")
 def upsert_message(spark, folder):
-    """The message of a batch, out of its audit."""
-    store = TableStore(spark, shared_folder(spark, "message"))
+    """The message of a batch, out of the audit of its tables."""
     sent = sent_orders(spark, folder)
-    rows = {"orders": sent, "lines": line_rows(spark, folder, sent)}
-    return summary_message(upsert_all(
-        store, [ORDERS, LINES], "first", lambda spec: rows[spec.name], "latest", order=LAST_BY))
+    staged = {ORDERS: sent, LINES: line_rows(spark, folder, sent)}
+    parts = [upsert_stats(df.limit(0), df, spec.key).withColumns({"position": F.lit(i), "title": F.lit(spec.title)})
+             for i, (spec, df) in enumerate(staged.items(), start=1)]
+    return summary_message(parts[0].unionByName(parts[1]))
 
 
 @query(f"""
@@ -178,13 +195,10 @@ def upsert_message(spark, folder):
     FROM orders
 """, name="table_audit")
 def table_counts(spark, folder):
-    """Whole stored tables and their real staging, before and after a batch."""
-    store = stored_store(spark, folder, "counts", ORDERS)
-    stage_table(store, ORDERS, sent_orders(spark, folder), "corrections")
-    phases = {"before": store.read(ORDERS), "staged": store.staged(ORDERS, "corrections").count()}
-    upsert_all(store, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
-    return table_audit({"orders": {
-        **phases, "after": store.read(ORDERS), "staged_after": store.staged(ORDERS, "corrections")}})
+    """The table, and what is staged for it, before and after a batch."""
+    stored, staged = stored_orders(spark, folder), one_version(sent_orders(spark, folder), ORDERS.key)
+    return table_audit({"orders": {"before": stored, "staged": staged, "after": upsert(stored, staged, ORDERS.key, unique=True),
+                                   "staged_after": 0}})
 
 
 @query(f"""
@@ -193,10 +207,79 @@ def table_counts(spark, folder):
 """)
 def stored_row_diff(spark, folder):
     """A stored table as it was before a batch against what it is after it."""
-    store = stored_store(spark, folder, "diff", ORDERS)
-    before = store.read(ORDERS)
-    upsert_all(store, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
-    return row_diff(before, store.read(ORDERS), ["o_orderkey"])
+    before, after = stored_store(spark, folder, "before", ORDERS), stored_store(spark, folder, "after", ORDERS)
+    upsert_all(after, [ORDERS], "corrections", lambda _: sent_orders(spark, folder))
+    return stored_diff(before, after, ORDERS).select("o_orderkey", "change")
+
+
+@query(f"""
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+           CASE WHEN o_orderdate >= {STORED_UNTIL} THEN 'inserted' ELSE 'updated' END AS change
+    FROM orders WHERE o_orderdate >= {SENT_FROM}
+""")
+def stored_changes(spark, folder):
+    """What a batch changed in a stored table, by checksums first: folders of equal checksum are not read."""
+    before, after = (dated_store(spark, folder, label) for label in ("before", "after"))
+    upsert_all(after, [DATED_ORDERS], "corrections", lambda _: sent_orders(spark, folder))
+    return stored_diff(before, after, DATED_ORDERS, changes_only=True)
+
+
+@query("""
+    SELECT count(*) AS "rows", min(CAST(o_orderdate AS DATE)) AS oldest, max(CAST(o_orderdate AS DATE)) AS newest FROM orders
+    WHERE o_orderdate < DATE'2000-01-01'
+""")
+def footer_figures(spark, folder):
+    """Rows, first and last day of a stored table, out of the footers of its files."""
+    return stored_figures(dated_store(spark, folder, "footers"), DATED_ORDERS, "o_orderdate")
+
+
+@query("""
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice FROM orders
+    WHERE o_orderdate < DATE'2000-01-01' AND CAST(o_orderdate AS DATE) > (
+        SELECT max(CAST(o_orderdate AS DATE)) - 7 FROM orders WHERE o_orderdate < DATE'2000-01-01')
+""")
+def stored_last_7_days(spark, folder):
+    """The newest week of a stored table: the footers tell the newest day, the scan gets it as a literal."""
+    store = dated_store(spark, folder, "newest")
+    day = newest_day(store, DATED_ORDERS, "o_orderdate")
+    found = last_n_days(store.read(DATED_ORDERS, with_layout=True), "o_orderdate", 7, as_of=day, layout=DATED_ORDERS.layout)
+    return found.select("o_orderkey", "o_orderdate", "o_totalprice")
+
+
+@query(ORDERS_AFTER)
+def catalog_table(spark, folder):
+    """Two batches into a table that SQL users see by its name."""
+    database = f"daybook_{uuid.uuid4().hex}"
+    base = shared_folder(spark, "catalog")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    store = TableStore(spark, f"{base}/store", database=database)
+    upsert_all(store, [DATED_ORDERS], "history", lambda _: stored_orders(spark, folder))
+    upsert_all(store, [DATED_ORDERS], "corrections", lambda _: sent_orders(spark, folder))
+    return spark.sql(f"SELECT o_orderkey, o_orderdate, o_totalprice, o_orderpriority FROM {database}.{DATED_ORDERS.name}")
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, count(l_linenumber) AS lines, round(sum(l_extendedprice), 2) AS amount
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
+""")
+def colocated_join(spark, folder):
+    """Orders beside the sums of their lines, both bucketed by order: neither the join nor the grouping shuffles."""
+    orders, lines = bucketed_tables(spark, folder)
+    amounts = lines.groupBy("o_orderkey").agg(F.count("l_linenumber").alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+    return orders.select("o_orderkey", "o_totalprice").join(amounts, "o_orderkey")
+
+
+def bucketed_tables(spark, folder, buckets=8):
+    base, tag = shared_folder(spark, "bucketed"), uuid.uuid4().hex
+    lines = load(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_extendedprice")
+    return [write_bucketed(rows, f"daybook_{name}_{tag}", f"{base}/{name}", ["o_orderkey"], buckets)
+            for name, rows in (("orders", order_rows(spark, folder)), ("lines", lines))]
+
+
+def dated_store(spark, folder, label):
+    store = TableStore(spark, shared_folder(spark, label))
+    upsert_all(store, [DATED_ORDERS], "history", lambda _: stored_orders(spark, folder))
+    return store
 
 
 @query("""
@@ -261,6 +344,37 @@ def incremental_refresh(spark, folder):
     return read_report(spark, path)
 
 
+MONTHLY = {"orders": ("count", "o_orderkey"), "revenue": ("sum", "o_totalprice"), "mean_key": ("avg", "o_orderkey"),
+           "greatest": ("max", "o_totalprice")}
+
+
+@query(f"""
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, o_orderpriority, count(*) AS orders,
+           round(sum(o_totalprice), 2) AS revenue, avg(o_orderkey) AS mean_key, max(o_totalprice) AS greatest
+    FROM (SELECT m.*, o.o_orderpriority FROM ({MOVED_ROWS}) m JOIN orders o USING (o_orderkey)) GROUP BY 1, 2
+""")
+def summary_delta_refresh(spark, folder):
+    """A report kept by what a batch moved: its old rows are subtracted, its new ones added."""
+    base = shared_folder(spark, "delta")
+    store = TableStore(spark, f"{base}/store")
+    report = Report(ORDERS, "o_orderdate", "month", MONTHLY, f"{base}/report", ("o_orderpriority",))
+    upsert_all(store, [ORDERS], "history", lambda _: order_rows(spark, folder))
+    report.rebuild(store)
+    upsert_all(store, [ORDERS], "moves", lambda _: moved_orders(spark, folder))
+    report.refresh(store, "moves")
+    return report.read(spark).withColumn("revenue", F.round("revenue", 2))
+
+
+@query(REPORT_SQL.format(rows=ORDERS_AFTER))
+def view_swap(spark, folder):
+    """A report view turned from one snapshot to the next, by an upsert in between."""
+    root, view = shared_folder(spark, "snapshots"), "orders_by_month"
+    stored, sent = stored_orders(spark, folder), sent_orders(spark, folder)
+    refresh_snapshot(stored, "o_orderdate", "month", REPORT, root, view)
+    refresh_snapshot(upsert(stored, sent, ["o_orderkey"]), "o_orderdate", "month", REPORT, root, view)
+    return spark.table(view).select("period", "orders", F.round("revenue", 2).alias("revenue"))
+
+
 @query(REPORT_SQL.format(rows=ORDERS_AFTER), name="refresh_view")
 def full_refresh(spark, folder):
     path = shared_folder(spark, "report")

@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -50,11 +51,18 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return _made[-1]
 
 
-def drop_shared_folders(spark: SparkSession) -> None:
-    """Delete the folders that this driver has made below the shared one, once their results are no longer needed."""
-    while _made:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+def shared_folders() -> list[str]:
+    """The folders that this driver has made below the shared one and not dropped, in that order."""
+    return list(_made)
+
+
+def drop_shared_folders(spark: SparkSession, folders: Iterable[str] | None = None) -> None:
+    """Delete the given folders, or all that this driver has made below the shared one, once nothing reads them any more."""
+    for path in shared_folders() if folders is None else list(folders):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if path in _made:
+            _made.remove(path)
 
 
 def ship_package(spark: SparkSession) -> str:

@@ -139,8 +139,10 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, dict[int, str]]]:
         book = _Book(archive)
         position = -1
         with archive.open(book.sheet) as part:
-            for _, node in ElementTree.iterparse(part):
-                if node.tag != f"{MAIN}row":
+            rows = None
+            for event, node in ElementTree.iterparse(part, ("start", "end")):
+                if node.tag != f"{MAIN}row" or event == "start":
+                    rows = node if node.tag == f"{MAIN}sheetData" and event == "start" else rows
                     continue
                 position = int(node.get("r")) - 1 if node.get("r") else position + 1
                 row, column = {}, -1
@@ -149,7 +151,7 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, dict[int, str]]]:
                     text = book.cell_text(cell)
                     if text is not None:
                         row[column] = text
-                node.clear()
+                rows.clear()  # a row that stayed in its sheet would stay in memory
                 if row:
                     yield position, row
 

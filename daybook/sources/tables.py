@@ -1,22 +1,23 @@
-"""Typed tables as Parquet folders below one root that all executors share.
-
-tables/<name>/data/version=<batch>/<layout folder>   rows; a folder is written once and never changed
-tables/<name>/log                                    which version of each folder is current: one small file per batch
-staging/<name>/<batch>                               typed, deduplicated rows of one batch
-changed/<name>/<batch>                               days of the batch's old and new rows, by date column
-ledger/<batch>                                       which steps of a batch are done, with their counts
-
-A commit is one file that appears in the log whole or not at all, so a reader sees a table before or after a batch. The
-version of a folder before the last is kept for readers that have already begun; older ones are dropped.
+"""Typed tables as partitioned Parquet folders below one root that all executors share.
+
+tables/<name>/<layout folder>     the rows
+checks/<name>/<layout folder>     number of rows and checksum of each folder
+staging/<name>/<batch>            typed, deduplicated rows of one batch
+merged/<name>/<batch>             new contents of the folders that the batch falls in, until they are in the table
+moves/<name>/<batch>              the rows that the batch replaced and those it brought, for a refresh of reports
+batches/<batch>                   finished steps of a batch, with their counts
+
+All writes are Spark's own: a merge goes to a folder of its own first, then replaces the touched folders of the table by
+``partitionOverwriteMode=dynamic``. Putting a finished merge into the table can be done over and over, so a batch that broke
+off there is carried on by whoever writes the table next.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +26,15 @@ from daybook.specs import TableSpec
 
 def create_table_ddl(spec: TableSpec, location: str, database: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` for a catalog, on the table's folder."""
-    name = f"`{database}`.`{spec.name}`" if database else f"`{spec.name}`"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored_schema)
-    return (f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+    return (f"CREATE TABLE IF NOT EXISTS {catalog_name(spec, database)} ({columns}) USING parquet "
             f"PARTITIONED BY (`{spec.layout.column}`) LOCATION '{location}'")
 
 
+def catalog_name(spec: TableSpec, database: str | None = None) -> str:
+    return f"`{database}`.`{spec.name}`" if database else f"`{spec.name}`"
+
+
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame made without Python workers."""
     return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
@@ -47,15 +51,6 @@ def ensure_table(spark: SparkSession, spec: TableSpec, location: str) -> None:
     no_rows(spark, spec.stored_schema).write.mode("ignore").partitionBy(spec.layout.column).parquet(location)
 
 
-def folder_names(spec: TableSpec, keyed: DataFrame) -> list[str]:
-    """The names of the layout folders that rows with the layout column fall in.
-
-    They come to the driver: as many as calendar periods or buckets, never as many as rows.
-    """
-    column = spec.layout.column
-    return sorted(f"{column}={row[0]}" for row in keyed.select(F.col(column).cast("string")).distinct().collect())
-
-
 def in_folders(df: DataFrame, folder: str, keyed: DataFrame) -> DataFrame:
     """Rows of ``df`` in the folders that ``keyed``, which has the same folder column, falls in.
 
@@ -65,10 +60,36 @@ def in_folders(df: DataFrame, folder: str, keyed: DataFrame) -> DataFrame:
     return df.filter(F.col(folder).isin(names))
 
 
+def _path(spark: SparkSession, path: str):
+    """A path of the shared file system, and that file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, system = _path(spark, path)
+    system.delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder: layout folders or batches, never as many as rows. None if it does not exist."""
+    folder, system = _path(spark, path)
+    if not system.exists(folder):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(folder)
+                  if entry.isDirectory() and not entry.getPath().getName().startswith(("_", ".")))
+
+
+def mark_ready(spark: SparkSession, path: str) -> None:
+    """Mark a folder whose contents are complete and may be put where they belong, by whomever."""
+    marker, system = _path(spark, f"{path}/_READY")
+    system.create(marker, True).close()
+
+
+def is_ready(spark: SparkSession, path: str) -> bool:
+    marker, system = _path(spark, f"{path}/_READY")
+    return system.exists(marker)
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -81,80 +102,70 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return no_rows(spark, schema)
 
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("number", T.LongType()),
-    *[T.StructField(n, T.StringType()) for n in ("batch", "folder", "version")],
-])
+def checksum(columns: list[str]) -> Column:
+    """Order-free checksum of a group of rows: all hashes by XOR, NULLs told apart by place."""
+    parts = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return F.bit_xor(F.xxhash64(*parts))
 
 
-@dataclass(frozen=True)
-class Commit:
-    """One entry of a table's log: batch number and name, and the version it gave to a folder."""
-
-    number: int
-    batch: str
-    folder: str
-    version: str
+def folder_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``rows, digest`` per layout folder of rows that carry the layout column."""
+    return df.groupBy(spec.layout.column).agg(
+        F.count(F.lit(1)).alias("rows"), checksum(spec.column_names).alias("digest")).select("rows", "digest", spec.layout.column)
 
 
 @dataclass(frozen=True)
 class TableStore:
     """The tables of one root folder. One writer per table at a time.
 
-    ``ledger`` may lie elsewhere: a stream keeps it with its checkpoint, whose batch numbers it holds.
+    ``batches`` may lie elsewhere: a stream keeps its finished batches with its checkpoint, whose batch numbers they hold.
+    With a ``database`` each table is in the session's catalog as well, and every batch adds its new folders there.
     """
 
     spark: SparkSession
     root: str
-    ledger: str | None = None
+    batches: str | None = None
+    database: str | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
-    def data_path(self, spec: TableSpec, *parts: str) -> str:
-        return self.path("tables", spec.name, "data", *parts)
+    def data_path(self, spec: TableSpec) -> str:
+        return self.path("tables", spec.name)
 
-    def log_path(self, spec: TableSpec) -> str:
-        return self.path("tables", spec.name, "log")
+    def checks_path(self, spec: TableSpec) -> str:
+        return self.path("checks", spec.name)
 
     def staging_path(self, spec: TableSpec, batch: str) -> str:
         return self.path("staging", spec.name, batch)
 
-    def changed_path(self, spec: TableSpec, batch: str) -> str:
-        return self.path("changed", spec.name, batch)
-
-    def log(self, spec: TableSpec) -> list[Commit]:
-        """All commits, oldest first. A commit has as many entries as it touches folders: periods or buckets, not rows."""
-        rows = read_if_there(self.spark, self.log_path(spec), LOG_SCHEMA).collect()
-        return sorted((Commit(*row) for row in rows), key=lambda c: (c.number, c.folder))
-
-    def commit(self, spec: TableSpec, batch: str, number: int, folders: Iterable[str], version: str) -> None:
-        """Make ``version`` the current one of the given folders: one file, all or nothing."""
-        entries = F.explode(F.array(*[F.lit(f) for f in sorted(folders)])) if folders else None
-        row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(number).cast("bigint").alias("number"), F.lit(batch).alias("batch"), entries.alias("folder"),
-            F.lit(version).alias("version"))
-        row.write.mode("append").parquet(self.log_path(spec))
-
-    def read(self, spec: TableSpec, with_layout: bool = False, log: list[Commit] | None = None) -> DataFrame:
-        """The table as of now, or as of the end of ``log``."""
-        current = {c.folder: c.version for c in (self.log(spec) if log is None else log)}
-        if current:
-            paths = [self.data_path(spec, f"version={version}", folder) for folder, version in sorted(current.items())]
-            df = (self.spark.read.schema(spec.stored_schema).option("basePath", self.data_path(spec)).parquet(*paths)
-                  .select(*spec.stored_schema.names))
-        else:
-            df = no_rows(self.spark, spec.stored_schema)
+    def merged_path(self, spec: TableSpec, batch: str) -> str:
+        return self.path("merged", spec.name, batch)
+
+    def moves_path(self, spec: TableSpec, batch: str) -> str:
+        return self.path("moves", spec.name, batch)
+
+    def read(self, spec: TableSpec, with_layout: bool = False) -> DataFrame:
+        """The table as of now."""
+        df = read_if_there(self.spark, self.data_path(spec), spec.stored_schema).select(*spec.stored_schema.names)
         return df if with_layout else df.select(*spec.column_names)
 
-    def version(self, spec: TableSpec, version: str) -> DataFrame:
-        return read_if_there(self.spark, self.data_path(spec, f"version={version}"), spec.stored_schema)
+    def checks(self, spec: TableSpec) -> DataFrame:
+        """``rows, digest`` of each folder, as they were written with the rows."""
+        return read_if_there(self.spark, self.checks_path(spec), checks_schema(spec))
 
     def staged(self, spec: TableSpec, batch: str) -> DataFrame:
         return read_if_there(self.spark, self.staging_path(spec, batch), spec.stored_schema)
 
+    def merged(self, spec: TableSpec, batch: str) -> DataFrame:
+        return read_if_there(self.spark, f"{self.merged_path(spec, batch)}/rows", spec.stored_schema)
+
+    def moves(self, spec: TableSpec, batch: str) -> DataFrame:
+        """The rows of a batch with their ``sign``: -1 as they were before it, 1 as it brought them."""
+        return read_if_there(self.spark, self.moves_path(spec, batch), moves_schema(spec))
+
     def register_views(self, *specs: TableSpec) -> None:
-        """Each table as a temp view of its name, for SQL users."""
+        """Each table as a temp view of its name, for SQL users without a catalog."""
         for spec in specs:
             self.read(spec, with_layout=True).createOrReplaceTempView(spec.name)
 
@@ -163,43 +174,69 @@ class TableStore:
         (df.select(*spec.stored_schema.names).write.mode("overwrite").option("partitionOverwriteMode", "static")
            .partitionBy(spec.layout.column).parquet(path))
 
+    def put(self, df: DataFrame, spec: TableSpec, path: str) -> None:
+        """Replace the folders that the rows fall in; all others stay."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(spec.layout.column).parquet(path))
+
+    def apply(self, spec: TableSpec, batch: str) -> None:
+        """Put a finished merge into the table. To be done again after a failure, with the same result."""
+        folder = self.merged_path(spec, batch)
+        self.put(self.merged(spec, batch), spec, self.data_path(spec))
+        self.put(self.spark.read.schema(checks_schema(spec)).parquet(f"{folder}/checks"), spec, self.checks_path(spec))
+        if self.database is not None:
+            self.register(spec, subfolders(self.spark, f"{folder}/rows"))
+        drop_folder(self.spark, folder)
+
+    def finish_others(self, spec: TableSpec, batch: str) -> None:
+        """Carry on other batches that broke off while they were put into the table; their merges are complete."""
+        for other in subfolders(self.spark, self.path("merged", spec.name)):
+            if other != batch and is_ready(self.spark, self.merged_path(spec, other)):
+                self.apply(spec, other)
+
+    def register(self, spec: TableSpec, folders: list[str] | None = None) -> None:
+        """The table in the catalog, with the given layout folders (all, if none are) as its partitions."""
+        self.spark.sql(create_table_ddl(spec, self.data_path(spec), self.database))
+        name, column = catalog_name(spec, self.database), spec.layout.column
+        folders = subfolders(self.spark, self.data_path(spec)) if folders is None else folders
+        values = [folder.split("=", 1)[1] for folder in folders]
+        parts = " ".join(f"PARTITION (`{column}`={'NULL' if v == '__HIVE_DEFAULT_PARTITION__' else repr(v)})" for v in values)
+        if parts:
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        self.spark.catalog.refreshTable(name)
+
     def drop(self, *parts: str) -> None:
         drop_folder(self.spark, self.path(*parts))
 
-    def drop_old(self, spec: TableSpec, log: list[Commit], folders: Iterable[str]) -> None:
-        """Of the given folders, drop all versions but the current and the one before."""
-        for folder in folders:
-            versions = list(dict.fromkeys(c.version for c in log if c.folder == folder))
-            for version in versions[-3:-2]:
-                drop_folder(self.spark, self.data_path(spec, f"version={version}", folder))
+
+def checks_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType([T.StructField("rows", T.LongType()), T.StructField("digest", T.LongType()),
+                         T.StructField(spec.layout.column, spec.layout.spark_type)])
+
+
+def moves_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType([*[T.StructField(c.name, c.spark_type) for c in spec.columns], T.StructField("sign", T.IntegerType())])
 
 
-LEDGER_SCHEMA = T.StructType([
+BATCH_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("step", T.StringType()),
     *[T.StructField(n, T.LongType()) for n in (
-        "rows", "dated", "keyed", "staged", "before", "affected", "inserted", "updated", "after", "base")],
+        "rows", "dated", "keyed", "staged", "before", "affected", "inserted", "updated", "after", "table_before", "table_after",
+        "attempt")],
 ])
 
 
-def _ledger_path(store: TableStore, batch: str) -> str:
-    return f"{store.ledger or store.path('ledger')}/{batch}"
+def batch_path(store: TableStore, batch: str) -> str:
+    return f"{store.batches or store.path('batches')}/{batch}"
 
 
-def read_ledger(store: TableStore, batch: str) -> DataFrame:
-    """Finished steps of one batch; empty if the batch is new."""
-    return read_if_there(store.spark, _ledger_path(store, batch), LEDGER_SCHEMA)
-
-
-def append_ledger(store: TableStore, batch: str, **step: object) -> None:
+def note_step(store: TableStore, batch: str, **step: object) -> None:
     """Record a finished step. One small file, which appears whole or not at all."""
-    one_row(store.spark, LEDGER_SCHEMA, step).write.mode("append").parquet(_ledger_path(store, batch))
+    one_row(store.spark, BATCH_SCHEMA, step).write.mode("append").parquet(batch_path(store, batch))
 
 
 def finished_steps(store: TableStore, batch: str) -> dict[tuple[str, str], dict]:
-    """Counts by (table, step); of a step that was done again, those of the last merge.
-
-    A batch has a handful of steps per table.
-    """
-    rows = sorted(read_ledger(store, batch).collect(), key=lambda r: -1 if r.base is None else r.base)
+    """Counts by (table, step), those of the last attempt; a batch has a handful of steps per table. Empty if it is new."""
+    rows = sorted(read_if_there(store.spark, batch_path(store, batch), BATCH_SCHEMA).collect(), key=lambda r: r.attempt or 0)
     return {(r.table_name, r.step): r.asDict() for r in rows}

@@ -7,6 +7,7 @@ streams their rows in Arrow batches. The file format itself limits a sheet to 1,
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -27,6 +28,8 @@ RAW_SCHEMA = T.StructType([
 # Workbook files by their suffix, whatever its case.
 WORKBOOK_GLOB, WORKBOOK_NAME = "*.[xX][lL][sS][xXmM]", r"(?i)\.xls[xm]$"
 ROWS_PER_BATCH = 4096
+# Batches of a sheet that wait until the rest has proved readable; a longer sheet is read through once before.
+BATCHES_HELD = 16
 FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
 _CELLS = pa.map_(pa.string(), pa.string())
@@ -59,21 +62,31 @@ def decode_workbooks(files: DataFrame, header: int = 1) -> DataFrame:
     """Sheet rows of workbooks given as ``path, modificationTime, content``, header on row index ``header``.
 
     A file that cannot be read gives one row without cells, its ``error`` set and ``row_no`` -1, and no other row: its
-    rows go out when the last has been decoded.
+    rows go out when the last has been decoded. Of a long sheet no more than ``BATCHES_HELD`` batches are held for that.
     """
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 path, modified = batch.column("path")[i], batch.column("modificationTime")[i]
+                content = batch.column("content")[i].as_py()
                 try:
-                    rows = list(_sheet_batches(path, modified, batch.column("content")[i].as_py(), header))
+                    held, more = _held(path, modified, content, header)
                 except Exception as broken:  # whatever a broken file makes the decoder raise, it is that file's fault
-                    rows = [_raw_batch(path, modified, [-1], [[]], f"{type(broken).__name__}: {broken}")]
-                yield from rows
+                    held, more = [_raw_batch(path, modified, [-1], [[]], f"{type(broken).__name__}: {broken}")], False
+                yield from held
+                if more:
+                    yield from islice(_sheet_batches(path, modified, content, header), len(held), None)
 
     return files.select("path", "modificationTime", "content").mapInArrow(decode, RAW_SCHEMA)
 
 
+def _held(path, modified, content: bytes, header: int) -> tuple[list[pa.RecordBatch], bool]:
+    """The first batches of a sheet, and whether there are more; raises unless the whole sheet can be read."""
+    batches = _sheet_batches(path, modified, content, header)
+    held = list(islice(batches, BATCHES_HELD))
+    return held, sum(1 for _ in batches) > 0
+
+
 def _sheet_batches(path, modified, content: bytes, header: int) -> Iterator[pa.RecordBatch]:
     numbers: list[int] = []
     cells: list[list[tuple[str, str | None]]] = []
@@ -122,10 +135,20 @@ def _named(paths: str | Sequence[str], encoded: bool) -> str | list[str]:
     return unquote(paths) if isinstance(paths, str) else [unquote(p) for p in paths]
 
 
-def workbook_stream(spark: SparkSession, folder: str, header: int = 1, max_files: int | None = None) -> DataFrame:
-    """Sheet rows of workbooks as they arrive in ``folder``."""
+def file_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Workbook files as they arrive in ``folder``, not decoded: ``streaming.ingest_stream`` leaves out those it has had."""
     reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option(
         "pathGlobFilter", WORKBOOK_GLOB)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return decode_workbooks(reader.load(folder), header)
+    return reader.load(folder)
+
+
+def workbook_stream(spark: SparkSession, folder: str, header: int = 1, max_files: int | None = None) -> DataFrame:
+    """Sheet rows of workbooks as they arrive in ``folder``."""
+    return decode_workbooks(file_stream(spark, folder, max_files), header)
+
+
+def with_hash(files: DataFrame) -> DataFrame:
+    """Files with the SHA-256 of their contents: the same bytes under another name are the same workbook."""
+    return files.withColumn("sha", F.sha2("content", 256))

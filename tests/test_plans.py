@@ -13,7 +13,8 @@ from daybook.operators.kpi import daily_series, period_summaries, period_summary
 from daybook.operators.projection import fan_out, project, to_raw
 from daybook.operators.quality import coverage, unusual_values
 from daybook.operators.upsert import upsert
-from daybook.session import drop_shared_folders, shared_folder
+from daybook.queries import QUERIES
+from daybook.session import drop_shared_folders, shared_folder, shared_folders
 from daybook.specs import DATE_HEADER, DRYING, Buckets, ColumnSpec, TableSpec
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
@@ -110,10 +111,42 @@ def test_a_cluster_needs_a_shared_folder():
 
 
 def test_shared_folders_can_be_dropped(spark):
-    path = shared_folder(spark, "gone")
-    spark.range(3).write.parquet(path)
+    path, other = shared_folder(spark, "gone"), shared_folder(spark, "stays")
+    for folder in (path, other):
+        spark.range(3).write.parquet(folder)
+    drop_shared_folders(spark, [path])
+    assert not os.path.exists(path) and os.path.exists(other) and path not in shared_folders()
     drop_shared_folders(spark)
-    assert not os.path.exists(path)
+    assert not os.path.exists(other) and shared_folders() == []
+
+
+HIDDEN = """
+import importlib.abc, sys
+class Hide(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path, target=None):
+        if name.split(".")[0] in {hidden!r} or name in {hidden!r}:
+            raise ModuleNotFoundError("No module named " + repr(name), name=name)
+sys.meta_path.insert(0, Hide())
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as entry
+print("queries", len(entry.queries()), len(entry.oracle_sql()), "pipeline" in entry.queries())
+"""
+
+
+@pytest.mark.parametrize("hidden", [["xxhash"], ["public_tokenizers"], ["daybook.llm"], ["corpus_pipeline"],
+                                    ["daybook.llm.common"], ["daybook.operators.kpi"]])
+def test_the_entry_without_the_corpus_operators(hidden):
+    """What only the corpus operators need may be absent; a part of the library itself may not."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", HIDDEN.format(hidden=hidden, repo=repo)], capture_output=True, text=True, timeout=120)
+    if hidden[0] in ("daybook.llm.common", "daybook.operators.kpi") and os.path.isdir(os.path.join(repo, "daybook", "llm")):
+        assert "ModuleNotFoundError" in done.stderr and not done.stdout
+    elif hidden[0] == "daybook.operators.kpi":
+        assert "ModuleNotFoundError" in done.stderr
+    else:
+        words = done.stdout.split()
+        assert words[0] == "queries" and int(words[1]) >= len(QUERIES), done.stderr[-2000:]
+        assert words[3] == "False" and (hidden == ["corpus_pipeline"] or int(words[1]) == int(words[2]) == len(QUERIES))
 
 
 def test_workers_get_the_package_from_the_archive(tmp_path):
