@@ -34,7 +34,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     ``segments`` are the pieces of ``formatted`` in order, each with whether it counts for the loss: the texts of the
     assistant do, all else does not. Null text or role counts as empty; turns with the same number go by role, then text;
     a null number comes first; rows with a null ``conv_id`` make one conversation. Repeated rows are turns of their own.
-    A conversation becomes one row, so it has to fit into one; there is no further limit, and all work is linear in it.
+    A conversation becomes one row, so it has to fit into one; there is no further limit, however long its texts are, and all
+    work is linear in it. An empty table gives an empty one, and columns of other names are not read.
     """
     rows = pick(turns, {"conv_id": "long", "turn": "long", "role": "string", "text": "string"}).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))

@@ -117,8 +117,9 @@ def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
     ``quality`` and ``toxic`` are the regressions' chances, ``site`` the shrunk mean of the other documents of the same
     path, ``score`` the chance after both. Null text counts as empty, a null source or language as the empty one; null ids
-    are kept; repeated rows count and come out as often. Without labels of a class the known rate stands for the model. An
-    empty table gives an empty one.
+    are kept; repeated rows count and come out as often. Very long texts are read whole, a score at the limit is kept, and
+    columns of other names are not read. Without labels of a class the known rate stands for the model. An empty table gives
+    an empty one. Documents have no url: their language stands for the path.
     """
     found = stored(evidence(docs, fit(docs, labels, sample)), "evidence")
     sums = [F.count(F.lit(1)).alias("docs"), F.sum("p").alias("total"), F.sum(F.col("p") ** 2).alias("squares")]

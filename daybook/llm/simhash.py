@@ -215,7 +215,8 @@ def classes(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each class stays, with all its columns: that of the smallest id.
 
-    Rows with a null id come last; of rows with the same id that of the smallest text hash stays, once.
+    Rows with a null id come last; of rows with the same id that of the smallest text hash stays, once. Null texts count as
+    empty; very long texts are rows like others, an empty table gives an empty one.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first")
     chosen = classes(docs).groupBy("root").agg(first).select(*_key(F.col("first.doc_id"), F.col("first.mark")))

@@ -3,7 +3,8 @@
 import re
 
 import corpus_pipeline
-from daybook.llm import decontaminate, secrets
+from daybook.llm import decontaminate, line_rules, secrets
+from daybook.session import shared_folders
 from test_decontaminate import every_window
 from test_line_rules import judged, normal
 from test_packing import check, tokenizer  # noqa: F401  (a fixture)
@@ -14,12 +15,13 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def shared_lines(rows):
-    holders, texts = {}, {}
-    for _, text, source in rows:
-        texts.setdefault(source, set()).add(text)
+    holders, hosts = {}, {}
+    for doc, text, source in rows:
+        hosts.setdefault(source, set()).add(doc)
         for line in text.split("\n"):
-            holders.setdefault((source, normal(line)), set()).add(text)
-    return {key for key, own in holders.items() if key[1] and len(own) >= 20 and len(own) > 0.2 * len(texts[key[0]])}
+            holders.setdefault((source, normal(line)), set()).add(doc)
+    return {key for key, own in holders.items() if key[1] and len(own) >= line_rules.SHARED
+            and len(own) > line_rules.SHARE * len(hosts[key[0]])}
 
 
 def redacted(text):
@@ -47,7 +49,12 @@ def test_run(spark, tokenizer):  # noqa: F811
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     items = [decontaminate.item_of(r.item_id, r.text, None) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     want = plain(docs, items)
-    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    made = len(shared_folders())
+    result = corpus_pipeline.run(spark, FOLDER)
+    # of the first four stages only the last one's output is left; packing keeps what its own result reads
+    left = [folder.rsplit("/", 1)[1].rsplit("-", 1)[0] for folder in shared_folders()[made:]]
+    assert left[0] == "secret_scans" and not {name for name, _ in corpus_pipeline.STAGES[:3]} & set(left)
+    rows = result.collect()
     assert 0 < len(want) < len(docs) and any(secrets.PLACEHOLDER in text for _, text in want)
     check(rows, want, tokenizer, 2048)
 
@@ -71,6 +78,19 @@ def test_empty_and_extra_columns(spark):
         assert (rows > 0) == ("mark" in frame.columns)
 
 
+def test_nulls_in_every_column(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(20)
+    words = " ".join(f"word{chr(97 + i)}" for i in range(20))
+    odd = spark.createDataFrame([(None, words, None, None, None), (None, None, None, None, None), (10**9, None, "en", "s", 0),
+                                 (10**9 + 1, "", "en", "s", 0)], docs.schema)
+    frame = docs.union(odd)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, FOLDER)
+        assert [row.text for row in frame.where("doc_id IS NULL").collect()] == [words]
+    packed = corpus_pipeline.STAGES[-1][1](spark, frame, FOLDER)
+    assert packed.where("doc_id IS NULL").count() == 1 and packed.where("doc_id >= 1000000000").count() == 0
+
+
 def test_nothing_of_the_library_needs_it():
     for line in open(corpus_pipeline.__file__.replace("corpus_pipeline.py", "daybook/__init__.py")):
         assert not re.search(r"\bllm\b", line)
