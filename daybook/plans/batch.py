@@ -223,9 +223,12 @@ def merge_table(store: TableStore, spec: TableSpec, batch: str, keys: int, size:
     note_moves(store, spec, batch, inside, staged, small)
     folder_checks(store.merged(spec, batch), spec).coalesce(1).write.mode("overwrite").partitionBy(spec.layout.column).parquet(
         f"{target}/checks")
-    after = store.spark.read.schema(checks_schema(spec)).parquet(f"{target}/checks").agg(F.sum("rows")).first()[0]
     touched = F.col(spec.layout.column).isin(*[F.lit(f.split("=", 1)[1]).cast(spec.layout.spark_type) for f in folders])
-    before, whole = (x or 0 for x in store.checks(spec).agg(F.sum(F.when(touched, F.col("rows"))), F.sum("rows")).first())
+    none = F.lit(0).cast("bigint")
+    new = store.spark.read.schema(checks_schema(spec)).parquet(f"{target}/checks").select(
+        F.col("rows").alias("after"), none.alias("before"), none.alias("whole"))
+    old = store.checks(spec).select(none, F.when(touched, F.col("rows")), "rows")
+    after, before, whole = (x or 0 for x in new.union(old).agg(F.sum("after"), F.sum("before"), F.sum("whole")).first())
     inserted = after - before
     counts = {"staged": keys, "before": before, "affected": keys, "inserted": inserted, "updated": keys - inserted,
               "after": after, "table_before": whole, "table_after": whole + inserted, "attempt": attempt}
