@@ -210,17 +210,24 @@ def changed_days(store: TableStore, spec: TableSpec, batch: str, column: str) ->
 
 
 def merge_table(store: TableStore, spec: TableSpec, batch: str, keys: int, size: int, broadcast_limit: int, attempt: int) -> dict[str, int]:
-    """Write the new contents of the touched folders to a folder of their own and count what changes."""
+    """Write the new contents of the touched folders to a folder of their own and count what changes.
+
+    If the table has none of these folders, the staged rows are their new contents and are not written again; of the first
+    load of a table, which reports are made from as a whole, no moves are kept.
+    """
     small = size <= broadcast_limit
     staged, folders = store.staged(spec, batch), subfolders(store.spark, store.staging_path(spec, batch))
+    existing = subfolders(store.spark, store.data_path(spec))
     inside = touched_part(store, spec, folders)
     # unless the keys are small, the join spreads what it shuffles over all tasks: it is gathered by folder again
     merged = upsert(inside, staged, spec.key, broadcast_keys=small, unique=True, gather=None if small else spec.layout.column,
                     words=0 if small else filter_words(keys, FILTER_LIMIT))
     target = store.merged_path(spec, batch)
     drop_folder(store.spark, target)
-    store.write(merged, spec, f"{target}/rows")
-    note_moves(store, spec, batch, inside, staged, small)
+    if set(folders) & set(existing):
+        store.write(merged, spec, f"{target}/rows")
+    if existing:
+        note_moves(store, spec, batch, inside, staged, small)
     folder_checks(store.merged(spec, batch), spec).coalesce(1).write.mode("overwrite").partitionBy(spec.layout.column).parquet(
         f"{target}/checks")
     touched = F.col(spec.layout.column).isin(*[F.lit(f.split("=", 1)[1]).cast(spec.layout.spark_type) for f in folders])

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from daybook.functions import period_start
 from daybook.operators.kpi import period_summary
 from daybook.operators.projection import quoted
-from daybook.sources.tables import TableStore, drop_folder, in_folders, is_ready, mark_ready, read_if_there, subfolders
+from daybook.sources.tables import TableStore, drop_folder, in_folders, is_ready, is_written, mark_ready, read_if_there, subfolders
 from daybook.specs import Periods, TableSpec
 
 # Days after the first that may still lie in the period.
@@ -149,13 +149,18 @@ class Report:
             "period").parquet(f"{self.path}/state")
 
     def refresh(self, store: TableStore, batch: str) -> None:
-        """Bring the report up to a batch that is in the table. A batch that it holds already changes nothing."""
+        """Bring the report up to a batch that is in the table. A batch that it holds already changes nothing; a report that
+        is not there yet is made from the whole table."""
         spark, pending = store.spark, f"{self.path}/pending"
         for waiting in subfolders(spark, pending):  # a refresh that broke off once its figures were complete
             if is_ready(spark, f"{pending}/{waiting}"):
                 self._put(spark, waiting)
         if batch in subfolders(spark, f"{self.path}/done"):
             return
+        if not is_written(spark, f"{self.path}/state"):
+            self.rebuild(store)
+            mark_ready(spark, f"{self.path}/done/{batch}")
+            return
         self.changes(store, batch).write.mode("overwrite").parquet(f"{pending}/{batch}")
         mark_ready(spark, f"{pending}/{batch}")
         self._put(spark, batch)

@@ -4,7 +4,7 @@ tables/<name>/<layout folder>     the rows
 checks/<name>/<layout folder>     number of rows and checksum of each folder
 staging/<name>/<batch>            typed, deduplicated rows of one batch
 merged/<name>/<batch>             new contents of the folders that the batch falls in, until they are in the table
-moves/<name>/<batch>              the rows that the batch replaced and those it brought, for a refresh of reports
+moves/<name>/<batch>              rows that the batch replaced and those it brought, for a refresh of reports; none of a first load
 batches/<batch>                   finished steps of a batch, with their counts
 
 All writes are Spark's own: a merge goes to a folder of its own first, then replaces the touched folders of the table by
@@ -81,6 +81,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
                   if entry.isDirectory() and not entry.getPath().getName().startswith(("_", ".")))
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's last write to this folder came to its end."""
+    marker, system = _path(spark, f"{path}/_SUCCESS")
+    return system.exists(marker)
+
+
 def mark_ready(spark: SparkSession, path: str) -> None:
     """Mark a folder whose contents are complete and may be put where they belong, by whomever."""
     marker, system = _path(spark, f"{path}/_READY")
@@ -158,7 +164,10 @@ class TableStore:
         return read_if_there(self.spark, self.staging_path(spec, batch), spec.stored_schema)
 
     def merged(self, spec: TableSpec, batch: str) -> DataFrame:
-        return read_if_there(self.spark, f"{self.merged_path(spec, batch)}/rows", spec.stored_schema)
+        """New contents of a batch's folders: merged ones, or the staged rows as they are if the table had none of them."""
+        merged = "rows" in subfolders(self.spark, self.merged_path(spec, batch))
+        path = f"{self.merged_path(spec, batch)}/rows" if merged else self.staging_path(spec, batch)
+        return self.spark.read.schema(spec.stored_schema).parquet(path).select(*spec.stored_schema.names)
 
     def moves(self, spec: TableSpec, batch: str) -> DataFrame:
         """The rows of a batch with their ``sign``: -1 as they were before it, 1 as it brought them."""
@@ -185,7 +194,7 @@ class TableStore:
         self.put(self.merged(spec, batch), spec, self.data_path(spec))
         self.put(self.spark.read.schema(checks_schema(spec)).parquet(f"{folder}/checks"), spec, self.checks_path(spec))
         if self.database is not None:
-            self.register(spec, subfolders(self.spark, f"{folder}/rows"))
+            self.register(spec, subfolders(self.spark, f"{folder}/checks"))
         drop_folder(self.spark, folder)
 
     def finish_others(self, spec: TableSpec, batch: str) -> None:
