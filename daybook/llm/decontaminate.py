@@ -1,8 +1,9 @@
 """Benchmark decontamination: latent semantic retrieval, then longest common subsequences.
 
 Passages are weighted by TF-IDF over hashed words, with document frequencies counted over all documents. A randomised SVD
-of passages gives each word a place in a latent space: it is fitted on the items and a bounded sample of passages, in
-distributed products with a thin matrix. Every stretch of every document, at window sizes that follow the items' lengths,
+of passages gives each word a place in a latent space: it is fitted on every passage of the items and of all documents, in
+distributed products with a thin matrix. The items' passages weigh as much as all documents' together, or their words would
+have no axes in a large table. Every stretch of every document, at window sizes that follow the items' lengths,
 is compared with the items by the cosine in that space. A candidate leaks an item if enough of the item's words, in
 order, are found around the window, or somewhat fewer and its answer (its last sentence, or the column ``answer``).
 
@@ -13,9 +14,9 @@ from __future__ import annotations
 
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ from daybook.session import shared_folder
 
 BUCKETS = 1 << 14
 RANK, MORE, ROUNDS = 64, 8, 2
-#: Tasks that share the products; each sends one thin matrix in single precision.
-SHARES = 4
-#: Sampled documents and their passages that the SVD is fitted on at most, by the smallest hash of id and place.
-SAMPLE_DOCS, SAMPLE = 2048, 8192
+#: Tasks that share the products, or two for each core if that is more; each sends one thin matrix in single precision.
+SHARES = 32
 PASSAGE = 48
+#: Passages worked on at once in a product, and rows gathered at once.
+LOT, PART = 8192, 2048
+#: Rows that are added up one after the other before what they came to is added up.
+LAYERS = 64
 BLOCK = 2000
 #: Cosine of a candidate; shares of an item's words in order that make a leak, alone or with the answer's.
 CANDIDATE = 0.5
@@ -73,28 +76,55 @@ def buckets_of(chunks: list[str]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, chunks), dtype=np.int32, count=len(chunks))
 
 
+def _cut(texts: pa.Array) -> pa.ListArray:
+    """The chunks of each text, cut where Python's ``str.split`` does."""
+    rare = pc.any(pc.match_substring_regex(texts, RARE_BLANK)).as_py()
+    return pc.utf8_split_whitespace(texts) if rare else pc.ascii_split_whitespace(texts)
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Of a column of texts: where each one's chunks start, all chunks' buckets, their codes, and the chunk of each code.
 
     Each different chunk is looked at once, and in Python each that still differs without case and edges in ASCII, which
     changes no word.
     """
-    texts = pc.fill_null(texts, "")
-    rare = pc.any(pc.match_substring_regex(texts, RARE_BLANK)).as_py()  # both cut where Python's str.split does
-    cut = pc.utf8_split_whitespace(texts) if rare else pc.ascii_split_whitespace(texts)
+    cut = _cut(pc.fill_null(texts, ""))
     coded = cut.flatten().dictionary_encode()
     bare = pc.ascii_trim(pc.ascii_lower(coded.dictionary), characters=ASCII_EDGES).dictionary_encode()
-    buckets = buckets_of(bare.dictionary.to_pylist())[bare.indices.to_numpy()]
+    buckets = buckets_of(bare.dictionary.to_numpy(zero_copy_only=False).tolist())[bare.indices.to_numpy()]
     codes = coded.indices.to_numpy(zero_copy_only=False)
     starts = np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))))
     return starts, buckets[codes], codes, coded.dictionary
 
 
+def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        starts, ids, _, _ = tokens_of(batch.column("text"))
+        own = memoryview(ids.astype("<u2").tobytes())
+        coded = pa.array([own[2 * a:2 * b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], type=pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns, coded], names=[*batch.schema.names, "ids"])
+    pa.default_memory_pool().release_unused()
+
+
+def with_buckets(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the buckets of all chunks, two bytes each, so that texts are cut once for all that follows."""
+    return docs.select("doc_id", "text").mapInArrow(_code, "doc_id long, text string, ids binary")
+
+
+def _ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of a column of buckets, as ``with_buckets`` writes them or as lists: where each row's start, and all of them."""
+    if pa.types.is_list(column.type):
+        return np.concatenate(([0], np.cumsum(pc.list_value_length(column)))), column.flatten().to_numpy().astype(np.uint16)
+    rows = column.to_pylist()
+    return np.cumsum([0, *map(len, rows)]) // 2, np.frombuffer(b"".join(rows), "<u2")
+
+
 def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many documents of the task each bucket is; the last row counts the documents."""
+    only_cache("latent words", {})  # the texts are cut: their words are let go
     counts = np.zeros(BUCKETS + 2, dtype=np.int64)
     for batch in batches:
-        starts, ids, _, _ = tokens_of(batch.column("text"))
+        starts, ids = _ids_of(batch.column("ids"))
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
             there = np.zeros(BUCKETS + 2, dtype=bool)
             there[ids[a:b]] = True
@@ -105,9 +135,10 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """IDF of each bucket over all documents; zero for chunks without a word only, so that a word which every document holds
-    still counts. One number per bucket comes to the driver."""
-    found = docs.select("text").mapInArrow(_held, "bucket long, held long").groupBy("bucket").agg(F.sum("held").alias("held")).collect()
+    """IDF of each bucket over all documents (with their texts, or ``with_buckets``); zero for chunks without a word only, so
+    that a word which every document holds still counts. One number per bucket comes to the driver."""
+    coded = docs if "ids" in docs.columns else with_buckets(docs)
+    found = coded.select("ids").mapInArrow(_held, "bucket long, held long").groupBy("bucket").agg(F.sum("held").alias("held")).collect()
     held = np.zeros(BUCKETS + 2)
     for row in found:
         held[row["bucket"]] = row["held"]
@@ -118,18 +149,19 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            ids = buckets_of((text or "").split())
-            cuts = [ids[at:at + PASSAGE] for at in range(0, len(ids), PASSAGE)]
-            places = [xxhash.xxh64_intdigest(f"{doc}:{n}") >> 1 for n in range(len(cuts))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(places, type=pa.int64()), pa.array(cuts, type=pa.list_(pa.int32()))], names=["place", "ids"])
+        starts, ids = _ids_of(batch.column("ids"))
+        cuts = [ids[at:min(at + PASSAGE, b)] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()) for at in range(a, b, PASSAGE)]
+        yield pa.RecordBatch.from_arrays([pa.array(cuts, type=pa.list_(pa.int32()))], names=["ids"])
+
+
+def _count_passages(coded: DataFrame) -> int:
+    return coded.agg(F.sum(F.ceil(F.octet_length("ids") / (2 * PASSAGE)))).first()[0] or 0
 
 
 def sample_passages(docs: DataFrame) -> DataFrame:
-    chosen = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
-    return texts.mapInArrow(_passages, "place long, ids array<int>").orderBy("place").limit(SAMPLE)
+    """Every passage of every document as a list of buckets: the rows that :func:`latent_words` makes of documents, and
+    despite the name no sample."""
+    return with_buckets(docs).select("ids").mapInArrow(_passages, "ids array<int>")
 
 
 def _weighted(ids: list[np.ndarray], weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -142,43 +174,113 @@ def _weighted(ids: list[np.ndarray], weights: np.ndarray) -> Iterator[tuple[np.n
             yield there, row / norm
 
 
+def _lots(batches: Iterator[pa.RecordBatch], squared: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Passages of the rows, ``LOT`` at a time: their buckets, filled up with ``BUCKETS``, and their rows' ``mass`` (one, if there
+    is no such column) over the squared lengths."""
+    for batch in batches:
+        starts, ids = _ids_of(batch.column("ids"))
+        many = -(-np.diff(starts) // PASSAGE)
+        first = np.repeat(starts[:-1], many) + PASSAGE * (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
+        last = np.repeat(starts[1:], many)
+        mass = np.repeat(batch.column("mass").to_numpy() if "mass" in batch.schema.names else np.ones(len(many)), many)
+        for at in range(0, len(first), LOT):
+            place = first[at:at + LOT, None] + np.arange(PASSAGE)
+            inside = place < last[at:at + LOT, None]
+            rows = np.where(inside, ids[np.minimum(place, len(ids) - 1)], np.uint16(BUCKETS))
+            ordered, before = np.ascontiguousarray(np.sort(rows, axis=1).T), np.zeros(len(rows))
+            square = squared[ordered[0]]
+            for k in range(1, PASSAGE):  # n equal buckets: n * n is the sum of the first n odd numbers
+                before = (before + 1) * (ordered[k] == ordered[k - 1])
+                square += squared[ordered[k]] * (2 * before + 1)
+            yield rows, np.divide(mass[at:at + LOT], square, out=np.zeros(len(rows)), where=square > 0)
+
+
+def _times(rows: np.ndarray, thin: np.ndarray) -> np.ndarray:
+    """Sums of the thin matrix's rows over each passage's buckets."""
+    out, more = np.zeros((len(rows), thin.shape[1]), np.float32), np.empty((PART, thin.shape[1]), np.float32)
+    for at in range(0, len(rows), PART):
+        part = out[at:at + PART]
+        for own in np.ascontiguousarray(rows[at:at + PART].T):
+            part += np.take(thin, own, axis=0, out=more[:len(own)], mode="clip")
+    return out
+
+
+def _add_by(buckets: np.ndarray, which: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+    """Add ``rows[which]`` to the rows of ``out`` that the buckets name: the equal ones ``LAYERS`` at a time, then their sums."""
+    order = np.argsort(buckets, kind="stable")
+    which, counts = which[order], np.bincount(buckets, minlength=len(out))
+    lots, ends = -(-counts // LAYERS), np.cumsum(counts)
+    own = np.repeat(np.arange(len(out)), lots)
+    begin = (ends - counts)[own] + LAYERS * (np.arange(len(own)) - np.repeat(np.cumsum(lots) - lots, lots))
+    size = np.minimum(LAYERS, ends[own] - begin)
+    order = np.argsort(-size, kind="stable")
+    own, begin, size = own[order], begin[order], -size[order]
+    sums, more = np.empty((len(own), rows.shape[1]), np.float32), np.empty((PART, rows.shape[1]), np.float32)
+    for at in range(0, len(own), PART):
+        part, place = sums[at:at + PART], begin[at:at + PART]
+        np.take(rows, which[place], axis=0, out=part, mode="clip")
+        for k in range(1, -int(size[at])):
+            many = int(np.searchsorted(size[at:at + PART], -k))  # with more than k rows
+            part[:many] += np.take(rows, which[place[:many] + k], axis=0, out=more[:many], mode="clip")
+    if lots.max(initial=0) > 1:
+        _add_by(own, np.arange(len(own)), sums, out)
+    else:
+        out[own] += sums
+
+
 def _product(weights: np.ndarray, thin: np.ndarray):
-    """Rows of passages A of a task -> its share of A'A times ``thin``, in blocks of rows."""
+    """Rows of documents -> a task's share of A'A times ``thin``, A being the TF-IDF rows of their passages, in blocks of rows."""
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(thin.shape)
-        for batch in batches:
-            for there, row in _weighted([np.array(x) for x in batch.column("ids").to_pylist()], weights):
-                out[there] += row[:, None] * (row @ thin[there])
+        out, weighted = np.zeros(thin.shape), (thin * weights[:, None]).astype(np.float32)
+        for rows, inverse in _lots(batches, weights ** 2):
+            image = _times(rows, weighted) * inverse[:, None].astype(np.float32)
+            worded = np.flatnonzero(rows != BUCKETS)
+            _add_by(rows.ravel()[worded], worded // PASSAGE, image, out)
+        out *= weights[:, None]
         at = list(range(0, len(out), 1024))
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), pa.array([out[k:k + 1024].astype(np.float32).tobytes() for k in at])], names=["block", "part"])
     return multiply
 
 
+def _spread(weights: np.ndarray, thin: np.ndarray):
+    """Rows of documents -> a task's share of (A thin)'(A thin)."""
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, weighted = np.zeros((thin.shape[1],) * 2), (thin * weights[:, None]).astype(np.float32)
+        for rows, inverse in _lots(batches, weights ** 2):
+            image = _times(rows, weighted) * np.sqrt(inverse)[:, None].astype(np.float32)
+            total += image.T @ image
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
+    return multiply
+
+
 def _add(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(part, np.float32).astype(np.float64) for part in table.column("part").to_pylist())
     return pa.table({"block": [table.column("block")[0].as_py()], "part": [total.tobytes()]})
 
 
 def latent_words(passages: DataFrame, weights: np.ndarray) -> np.ndarray:
-    """Each bucket's IDF-weighted place in the latent space, by a randomised SVD of the passages.
+    """Each bucket's IDF-weighted place in the latent space, by a randomised SVD of all passages.
 
-    The range of A'A is found by products with a thin random matrix, orthogonalised between rounds; the thin matrix is all
-    that the driver holds. Axes are scaled to the same spread, but for those that no more than a ``FEW`` passages make: they would
-    part near copies in a small table.
+    Rows of ``passages`` are the ``ids`` of whole documents, or of single passages: each is cut into passages, which count
+    as often as the column ``mass`` says, if there is one. The range of A'A
+    is found by products with a thin random matrix, orthogonalised between rounds; the thin matrix is all that the driver
+    holds. Axes are scaled to the same spread, but for those that no more than a ``FEW`` passages make: they would part near
+    copies in a small table.
     """
+    shares = max(SHARES, 2 * passages.sparkSession.sparkContext.defaultParallelism)
+    passages = passages.coalesce(shares)
     rng = np.random.default_rng(SEED)
-    basis = rng.standard_normal((BUCKETS + 1, RANK + MORE))
-    for last in [False] * ROUNDS + [True]:
-        basis, _ = np.linalg.qr(basis)
+    basis, _ = np.linalg.qr(rng.standard_normal((BUCKETS + 1, RANK + MORE)))
+    for _ in range(ROUNDS):
         parts = passages.mapInArrow(_product(weights, basis), "block long, part binary").groupBy("block").applyInArrow(
             _add, "block long, part binary").collect()
-        image = np.concatenate([np.frombuffer(row["part"]) for row in sorted(parts, key=lambda row: row["block"])]).reshape(basis.shape)
-        if not last:
-            basis = image
-    squares, turn = np.linalg.eigh(basis.T @ image)
+        image = np.concatenate([np.frombuffer(row["part"]) for row in sorted(parts, key=lambda row: row["block"])])
+        basis, _ = np.linalg.qr(image.reshape(basis.shape))
+    spreads = passages.mapInArrow(_spread(weights, basis), "part binary").collect()
+    squares, turn = np.linalg.eigh(sum(np.frombuffer(row["part"]) for row in spreads).reshape(basis.shape[1], -1))
     order = np.argsort(-squares)[:RANK]
-    order = order[squares[order] > 1e-9]
+    order = order[squares[order] > 1e-9 * max(1.0, squares.max())]
     axes = basis @ turn[:, order] / np.sqrt(squares[order] + FEW)
     return np.ascontiguousarray(axes * weights[:, None], dtype=np.float32)
 
@@ -256,6 +358,7 @@ def _search(items: list[Item], places: np.ndarray):
     by_size = sizes_of(items)
     longest = max(by_size)
     targets: dict[int, tuple] = {}
+    blank = np.full(2 * longest, BUCKETS, dtype=np.uint16)
 
     def unit(rows: np.ndarray) -> np.ndarray:
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
@@ -264,33 +367,36 @@ def _search(items: list[Item], places: np.ndarray):
         targets.update({size: (np.array(own), unit(np.stack([places[buckets_of(items[i].words)].sum(axis=0) for i in own])).T.copy(),
                                _shared_words([items[i] for i in own])) for size, own in by_size.items()})
         for batch in batches:
-            docs = batch.column("doc_id").to_pylist()
-            starts, ids, codes, chunks = tokens_of(batch.column("text"))
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            starts, ids = _ids_of(batch.column("ids"))
+            around = np.concatenate([blank, ids, blank])
             found: dict[tuple[int, int], tuple] = {}
+            chunks = cache(lambda row: _cut(texts.slice(row, 1)).flatten())  # of the few texts with a candidate
             for low in range(0, len(ids), SPAN):
-                for i, first, cosine in _candidates(ids, low):
-                    _confirm(items[i], i, starts, codes, chunks, first, cosine, found)
+                for i, first, cosine in _candidates(ids, around, low):
+                    _confirm(items[i], i, starts, chunks, first, cosine, found)
             rows = [(docs[row], items[i].number, *best) for (row, i), best in found.items()]
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=NAMES)
 
-    def _candidates(ids: np.ndarray, low: int) -> Iterator[tuple[int, int, float]]:
+    def _candidates(ids: np.ndarray, around: np.ndarray, low: int) -> Iterator[tuple[int, int, float]]:
         """Windows that begin in a span and are close to an item, and hold enough of its words, in whatever order."""
         own = np.full(-(-min(SPAN + longest, len(ids) - low + longest) // STEP) * STEP, BUCKETS, dtype=np.int32)
         own[:min(len(own), len(ids) - low)] = ids[low:low + len(own)]
         blocks = places[own[0::STEP]]
+        more = np.empty_like(blocks)
         for k in range(1, STEP):
-            blocks += places[own[k::STEP]]
+            blocks += np.take(places, own[k::STEP], axis=0, out=more, mode="clip")
         sums = _windows(blocks, list(targets))
         for size, (which, target, held_words) in targets.items():
             stride = stride_of(size)
             windows = sums[size][:-(-min(SPAN, len(ids) - low) // STEP):stride // STEP]
             norms = np.sqrt(np.einsum("ij,ij->i", windows, windows))
             near = windows @ target
-            w, k = np.nonzero(near > CANDIDATE * np.maximum(norms, 1e-12)[:, None])
+            w, k = np.divmod(np.flatnonzero(near > CANDIDATE * np.maximum(norms, 1e-12)[:, None]), len(which))
             first = low + w * stride
-            enough = held_words(ids, first, size, k) >= PARTLY * np.array([len(items[i].words) for i in which])[k]
+            enough = held_words(around, len(blank) + first, size, k) >= PARTLY * np.array([len(items[i].words) for i in which])[k]
             for a, b, at in zip(w[enough].tolist(), k[enough].tolist(), first[enough].tolist()):
                 yield int(which[b]), at, float(near[a, b] / max(norms[a], 1e-12))
 
@@ -303,7 +409,8 @@ def _around(first: int | np.ndarray, size: int):
 
 
 def _shared_words(items: list[Item]):
-    """A function that counts how many of an item's words there are around windows: no common subsequence is longer."""
+    """A function that counts how many of an item's words there are around windows of buckets that go on beyond the windows: no
+    common subsequence is longer."""
     own = [np.unique(buckets_of(item.words), return_counts=True) for item in items]
     most = max(len(buckets) for buckets, _ in own)
     slots = np.full((len(items), BUCKETS + 1), most, dtype=np.int32 if most > 60_000 else np.uint16)
@@ -311,15 +418,15 @@ def _shared_words(items: list[Item]):
     for k, (buckets, counts) in enumerate(own):
         slots[k, buckets], limits[k, :len(buckets)] = np.arange(len(buckets)), counts
 
+    flat_slots = slots.ravel()
+
     def count(ids: np.ndarray, first: np.ndarray, size: int, item: np.ndarray) -> np.ndarray:
         begin, n = _around(first, size)
         out = np.zeros(len(first), dtype=np.int64)
-        lot = max(1, (1 << 20) // (n + most))
+        lot = max(1, (1 << 17) // (n + most))
         for a in range(0, len(first), lot):
             part = item[a:a + lot]
-            place = begin[a:a + lot, None] + np.arange(n)
-            inside = (place >= 0) & (place < len(ids))
-            slot = slots[part[:, None], np.where(inside, ids[np.clip(place, 0, len(ids) - 1)], BUCKETS)]
+            slot = flat_slots[ids[begin[a:a + lot, None] + np.arange(n)] + (BUCKETS + 1) * part[:, None]]
             flat = slot + (most + 1) * np.arange(len(part))[:, None]
             held = np.bincount(flat.ravel(), minlength=len(part) * (most + 1)).reshape(len(part), -1)
             out[a:a + lot] = np.minimum(held, limits[part]).sum(axis=1)
@@ -328,17 +435,17 @@ def _shared_words(items: list[Item]):
     return count
 
 
-def _confirm(item: Item, i: int, starts: np.ndarray, codes: np.ndarray, chunks: pa.Array, first: int, cosine: float,
+def _confirm(item: Item, i: int, starts: np.ndarray, chunks: Callable[[int], pa.Array], first: int, cosine: float,
              found: dict[tuple[int, int], tuple]) -> None:
     """Note the leak in each document around a window, if there is one."""
     size = next(n for n, own in sizes_of([item]).items())
     begin, n = _around(first, size)
-    low, high = max(0, begin), min(len(codes), begin + n)
+    low, high = max(0, begin), min(int(starts[-1]), begin + n)
     words, answers = item.masks
     row = int(np.searchsorted(starts, low, side="right")) - 1
     while row < len(starts) - 1 and starts[row] < high:
         a, b = max(low, int(starts[row])), min(high, int(starts[row + 1]))
-        seen = [word(chunks[code].as_py()) for code in codes[a:b].tolist()]
+        seen = [word(chunk) for chunk in chunks(row).slice(a - int(starts[row]), b - a).to_pylist()] if a < b else []
         share = common(words, len(item.words), seen) / len(item.words)
         answer = common(answers, len(item.answer), seen) / len(item.answer) if item.answer else 1.0
         if share >= COMMON or share >= PARTLY and answer >= ANSWER:
@@ -365,10 +472,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     none = texts.sparkSession.createDataFrame([], schema)
     if not n:
         return none
+    texts = stored(with_buckets(texts), "buckets")
     weights = inverse_frequencies(texts)
-    known = asked.select(F.col("item_id").alias("doc_id"), "text").mapInArrow(_passages, "place long, ids array<int>").orderBy("place").limit(SAMPLE)
-    passages = stored(sample_passages(texts).union(known), "passages").repartition(SHARES)
-    places = latent_words(passages, weights)
+    known = stored(with_buckets(asked.select(F.col("item_id").alias("doc_id"), "text")), "item_buckets")
+    mass = max(1.0, _count_passages(texts) / max(1, _count_passages(known)))
+    places = latent_words(texts.select("ids", F.lit(1.0).alias("mass")).union(known.select("ids", F.lit(mass))), weights)
     blocks, path = -(-n // BLOCK), shared_folder(docs.sparkSession, "leaks")
     for block in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()

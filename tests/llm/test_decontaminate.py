@@ -153,6 +153,51 @@ def test_svd_keeps_angles(spark, frame):
     assert np.linalg.norm(exact @ axes, axis=1) == pytest.approx(np.ones(6), abs=0.02)
 
 
+def many_documents(rng, prefix=""):
+    """More documents and passages than a sample that the space was once fitted on, items of other words, and paraphrases."""
+    words = [prefix + "".join(rng.choices("abcdefghij", k=5)) for _ in range(3000)]
+    items = [(i, " ".join("".join(rng.choices("klmnopqrst", k=6)) for _ in range(40))) for i in range(150)]
+    docs = [(i, " ".join(words[int(3000 * rng.random() ** 2)] for _ in range(200))) for i in range(2500)]
+    docs += [(9000 + i, f"{docs[i][1][:300]} {paraphrased(text, rng)} {docs[i + 1][1][:300]}") for i, text in items]
+    return docs, items
+
+
+def test_recall_among_many_documents(frame):
+    """Rare words of items have their places however many documents there are."""
+    docs, items = many_documents(random.Random(4))
+    want = every_window(docs[-len(items):], [D.item_of(n, text, None) for n, text in items])
+    got = {(row.doc_id, row.item_id) for row in D.leaks(frame(docs, DOCS), frame(items, ITEMS)).collect()}
+    assert len(want) > 100 and got <= want and len(got) >= 0.99 * len(want)
+
+
+def test_every_passage_is_fitted(frame):
+    docs = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(4500)] + [(None, "one more"), (7, "again"), (7, "again"), (8, None), (9, "")]
+    passages = [row.ids for row in D.sample_passages(frame(docs, DOCS)).collect()]
+    assert sum(set(ids) != {D.BUCKETS} for ids in passages) == 2 * 4500 + 3
+
+
+def test_products_against_plain_ones(monkeypatch):
+    """Repeats in a passage, passages of no word, lots and layers that are filled more than once, and masses."""
+    monkeypatch.setattr(D, "LOT", 7)
+    monkeypatch.setattr(D, "PART", 3)
+    monkeypatch.setattr(D, "LAYERS", 2)
+    rng = np.random.default_rng(3)
+    docs = [rng.choice([5, 5, 5, 9, 70, 71, 72, D.BUCKETS], n).astype("<u2") for n in (0, 1, 48, 49, 500, 3)] + [np.full(60, D.BUCKETS, "<u2")]
+    mass = np.array([1, 2, 1, 3, 1, 5, 1.0])
+    batch = pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in docs], pa.binary()), pa.array(mass)], names=["ids", "mass"])
+    weights, thin = rng.random(D.BUCKETS + 1), rng.standard_normal((D.BUCKETS + 1, 4))
+    weights[D.BUCKETS] = 0
+    product, spread = np.zeros(thin.shape), np.zeros((4, 4))
+    for doc, m in zip(docs, mass):
+        for there, row in D._weighted([doc[at:at + D.PASSAGE] for at in range(0, len(doc), D.PASSAGE)], weights):
+            image = row @ thin[there]
+            product[there] += m * row[:, None] * image
+            spread += m * np.outer(image, image)
+    parts = next(D._product(weights, thin)(iter([batch])))["part"].to_pylist()
+    assert np.allclose(np.concatenate([np.frombuffer(part, np.float32) for part in parts]).reshape(thin.shape), product, rtol=1e-4, atol=1e-5)
+    assert np.allclose(np.frombuffer(next(D._spread(weights, thin)(iter([batch])))["part"][0].as_py()).reshape(4, 4), spread, rtol=1e-4)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     got = {(row.doc_id, row.item_id) for row in QUERIES["op3_benchmark_decontamination"](spark, folder).collect()}
