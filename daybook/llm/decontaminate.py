@@ -41,8 +41,10 @@ BLOCK = 2000
 #: Cosine of a candidate; shares of an item's words in order that make a leak, alone or with the answer's.
 CANDIDATE = 0.5
 COMMON, PARTLY, ANSWER = 0.8, 0.6, 0.8
+#: Bytes of the texts that are cut at once.
+TEXT = 1 << 21
 #: Words of a block, whose sums windows are made of; words worked on at once; words remembered by a Python worker.
-STEP, SPAN, REMEMBERED = 4, 1 << 16, 800_000
+STEP, SPAN, REMEMBERED = 4, 1 << 16, 200_000
 #: Passages that an axis is taken to have beside those that it is made of.
 FEW = 8.0
 SEED = 20
@@ -54,7 +56,8 @@ RARE_BLANK = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{202
 
 def word(chunk: str) -> str:
     """A blank-separated chunk in lower case, without what is no letter or digit at its ends."""
-    return EDGES.sub("", chunk.lower())
+    lower = chunk.lower()
+    return lower if lower.isalnum() else EDGES.sub("", lower)
 
 
 class _Hashed(dict):
@@ -97,13 +100,22 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
     return starts, buckets[codes], codes, coded.dictionary
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in their order, about ``TEXT`` bytes of text at a time; a longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff((np.cumsum(sizes, dtype=np.int64) - sizes) // TEXT)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        starts, ids, _, _ = tokens_of(batch.column("text"))
-        own = memoryview(ids.astype("<u2").tobytes())
-        coded = pa.array([own[2 * a:2 * b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], type=pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, coded], names=[*batch.schema.names, "ids"])
-    pa.default_memory_pool().release_unused()
+        for part in _parts(batch):  # what a whole batch's chunks take would be many times its texts
+            starts, ids, _, _ = tokens_of(part.column("text"))
+            coded = pa.Array.from_buffers(pa.binary(), part.num_rows, [
+                None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))])
+            yield pa.RecordBatch.from_arrays([*part.columns, coded], names=[*part.schema.names, "ids"])
+        pa.default_memory_pool().release_unused()
 
 
 def with_buckets(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Decontamination against a search of every window without the latent space, and its parts against plain versions."""
 
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -206,3 +208,46 @@ def test_query(spark):
     docs = [(r.doc_id, plain(r.text)) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     whole = {(doc, item) for doc, text in docs for item, asked in items if asked in text}
     assert whole and whole <= got
+
+
+def test_texts_are_cut_in_parts(monkeypatch):
+    """Rows, order and buckets of a batch that is cut in parts, with nulls, empty and long texts, and rare white space."""
+    monkeypatch.setattr(D, "TEXT", 100)
+    rng = random.Random(11)
+    texts = [None, "", "x" * 500, "one\u00a0two\u2003three", None] + [" ".join(rng.choices("abcdé!", k=rng.randint(0, 90))) for _ in range(60)]
+    rng.shuffle(texts)
+    whole = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, *range(len(texts) - 1)], pa.int64()), "text": pa.array(texts, pa.string())})
+    parts = list(D._code(iter([whole, whole.slice(0, 0), whole.slice(5, 30)])))
+    again = pa.Table.from_batches(parts)
+    assert again.select(["doc_id", "text"]).equals(pa.Table.from_batches([whole, whole.slice(5, 30)]))
+    starts, ids, _, _ = D.tokens_of(whole["text"])
+    want = [ids[a:b].astype("<u2").tobytes() for a, b in zip(starts[:-1], starts[1:])]
+    again.validate(full=True)
+    assert again["ids"].to_pylist() == want + want[5:35]
+    bytes_of = [[len((text or "").encode()) for text in part["text"].to_pylist()] for part in parts]
+    assert all(sum(own) < 2 * 100 or sum(own) - own[-1] < 100 for own in bytes_of) and len(parts) > 20
+
+
+#: Two batches of 20 MB of words that hardly repeat: MB that a worker needs beside one batch.
+MEASURE = """
+import random, resource
+import pyarrow as pa
+from daybook.llm import decontaminate as D
+rng = random.Random(5)
+def batches():
+    for _ in range(2):
+        texts = [" ".join(["%x" % rng.getrandbits(36) for _ in range(100)] + ["common word"] * 250) for _ in range(5000)]
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": texts})
+made = sum(batch.num_rows for batch in batches())  # what making them takes is no part of it
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = sum(part.num_rows for part in D._code(batches()))
+assert rows == made == 10000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+
+
+def test_memory_of_a_worker():
+    """Two workers share an executor's memory with the JVM: texts are cut, and words remembered, within a few times a batch."""
+    folder = D.__file__.replace("/daybook/llm/decontaminate.py", "")
+    done = subprocess.run([sys.executable, "-c", MEASURE], cwd=folder, capture_output=True, text=True, check=True, timeout=300)
+    assert float(done.stdout) < 100
