@@ -15,7 +15,7 @@ import os
 import string
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -33,11 +33,11 @@ CAPACITY = 2048
 #: Id after each document.
 END = 0
 #: Words whose ids a Python worker remembers; on overflow it keeps those that it learned first.
-REMEMBERED, COMMON = 800_000, 250_000
+REMEMBERED, COMMON = 500_000, 250_000
 #: Words of the texts that are looked through for new words at once.
 LEARNED = 1 << 14
 #: Pieces in one Arrow batch that goes back to Spark.
-BATCH = 2048
+BATCH = 512
 
 #: ASCII marks; a run of them is one token of the tokenizer's first cut, apart from the letters before it.
 MARKS = string.punctuation
@@ -101,7 +101,7 @@ class _Encoder:
                 known[tail] = self._one(tail)
             known[word] = known[core] + known[tail]
 
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         lot: list[list[str]] = []
         size = 0
         for text in texts:
@@ -140,7 +140,7 @@ def _pieces_of(path: str, capacity: int, keep_ids: bool):
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
 
         for batch in batches:
-            ids_of = encode(batch.column("text").to_pylist())
+            ids_of = encode(text.as_py() for text in batch.column("text"))  # no more texts at once than words are learned of
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
@@ -286,20 +286,16 @@ def _best_fit(made: Plan, counts: np.ndarray, capacity: int) -> None:
 
 
 def _place(runs: list[tuple[int, int, int, int, int]]):
-    """Ranks of pieces -> their bins and offsets, by the last run of their length that starts at or before them."""
+    """Lengths and ranks of pieces -> their bins and offsets, by the last run of their length that starts at or before them."""
     table = np.array(sorted(runs) or [(0, 0, 0, 0, 0)], dtype=np.int64)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = (table[:, 0] << 44) + table[:, 1]
-        for batch in batches:
-            rank = batch.column("nth").to_numpy() + batch.column("earlier").to_numpy()
-            run = table[np.searchsorted(starts, (batch.column("length").to_numpy() << 44) + rank, side="right") - 1]
-            kept = [i for i, name in enumerate(batch.schema.names) if name not in ("part", "nth", "earlier")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in kept] + [pa.array(run[:, 2] + rank - run[:, 1]), pa.array(run[:, 4])],
-                names=[batch.schema.names[i] for i in kept] + ["sequence_id", "offset"])
+    def place(lengths: pa.Array, ranks: pa.Array) -> pa.Array:
+        only_cache("packing places", {})  # the texts are cut: their words are let go
+        starts, rank = (table[:, 0] << 44) + table[:, 1], ranks.to_numpy()
+        run = table[np.searchsorted(starts, (lengths.to_numpy() << 44) + rank, side="right") - 1]
+        return pa.StructArray.from_arrays([pa.array(run[:, 2] + rank - run[:, 1]), pa.array(run[:, 4])], ["sequence_id", "offset"])
 
-    return place
+    return F.arrow_udf(place, "sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -314,7 +310,6 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     earlier = F.coalesce(F.sum("count").over(
         W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ranked = cut.join(counts.select("part", "length", earlier.alias("earlier")), ["part", "length"])
-    names = ["doc_id long", "piece int", "start long", "length long", "ids_crc32 long"] + ["ids array<int>"] * keep_ids
-    columns = [name.split()[0] for name in names]
-    return ranked.select(*columns, "nth", "earlier").mapInArrow(
-        _place(plan(histogram, capacity).runs), ", ".join(names + ["sequence_id long", "offset long"]))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
+    place = _place(plan(histogram, capacity).runs)  # the ids themselves stay in the JVM
+    return ranked.select(*columns, place("length", F.col("nth") + F.col("earlier")).alias("place")).select(*columns, "place.*")

@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -121,3 +123,40 @@ def test_query(spark, tokenizer):
     texts = [(d.doc_id, d.text) for d in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     rows = QUERIES["op5_best_fit_packing"](spark, folder).collect()
     assert check(rows, texts, tokenizer, 2048) <= 1.02 * sum(r.length for r in rows) / 2048 + 1
+
+
+def test_ids_stay_out_of_the_last_python_step(frame):
+    """Places are found from lengths and ranks; pieces do not go through Python again for them."""
+    packed = packing.pack(frame([(1, "a b")], "doc_id long, text string"), keep_ids=True)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython [place(length" in plan
+
+
+#: Two batches of 20 MB, 800,000 words that do not repeat among them: MB that a worker needs beside one batch.
+MEASURE = """
+import random, resource, string
+import public_tokenizers
+import pyarrow as pa
+from daybook.llm import packing
+class Task:
+    get = classmethod(lambda cls: cls)
+    partitionId = staticmethod(lambda: 0)
+packing.TaskContext = Task
+rng = random.Random(5)
+def batches():
+    for _ in range(2):
+        texts = [" ".join(["".join(rng.choices(string.ascii_letters, k=8)) for _ in range(80)] + ["common word"] * 250) for _ in range(5000)]
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": texts})
+made = sum(batch.num_rows for batch in batches())  # what making them takes is no part of it
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+cut = packing._pieces_of(public_tokenizers.path("word_bpe_49k.json"), packing.CAPACITY, True)
+assert sum(part.num_rows for part in cut(batches())) == made == 10000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+
+
+def test_memory_of_a_worker():
+    """Two workers share an executor's memory with the JVM: words remembered, and rows kept, are a few times a batch."""
+    folder = packing.__file__.replace("/daybook/llm/packing.py", "")
+    done = subprocess.run([sys.executable, "-c", MEASURE], cwd=folder, capture_output=True, text=True, check=True, timeout=300)
+    assert float(done.stdout) < 120
